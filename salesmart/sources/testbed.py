@@ -1,0 +1,138 @@
+"""The seven raw tables, derived from TPC-H-like order tables.
+
+Whole tables are mapped. Two keys are shifted by one so that some sales have no
+employee and some cities no country, and two are null for some rows: sales of
+returned goods have no sales person (a third of all), and orders of unspecified
+priority have no customer.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def _nanos(timestamp: str) -> Column:
+    return F.unix_micros(F.col(timestamp).cast("timestamp")) * F.lit(1000)
+
+
+def _brand_number() -> Column:
+    return F.regexp_extract("p_brand", "([0-9]+)$", 1).cast("bigint")
+
+
+def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with their order."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).select(
+        F.col("l_orderkey").alias("SalesID"),
+        F.when(F.col("l_returnflag") != "R", F.col("l_suppkey") + 1).alias("SalesPersonID"),
+        F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", F.col("o_custkey")).alias("CustomerID"),
+        F.col("l_partkey").alias("ProductID"),
+        F.col("l_quantity").cast("bigint").alias("Quantity"),
+        F.col("l_discount").alias("Discount"),
+        F.col("l_extendedprice").alias("TotalPrice"),
+        _nanos("o_orderdate").alias("SalesDate"),
+        F.col("l_orderkey").cast("string").alias("TransactionNumber"),
+    )
+
+
+def raw_sales_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as sales, which have times finer than a second."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return events.select(
+        F.col("event_id").alias("SalesID"),
+        F.lit(None).cast("bigint").alias("SalesPersonID"),
+        F.col("user_id").alias("CustomerID"),
+        F.lit(None).cast("bigint").alias("ProductID"),
+        F.lit(None).cast("bigint").alias("Quantity"),
+        F.lit(None).cast("double").alias("Discount"),
+        F.col("value").alias("TotalPrice"),
+        _nanos("ts").alias("SalesDate"),
+        F.lit(None).cast("string").alias("TransactionNumber"),
+    )
+
+
+def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts, with a made-up modification date within two years."""
+    modified = F.lit(788_918_400) + F.col("p_partkey") % 730 * 86_400  # from 1995-01-01
+    return spark.read.parquet(f"{sf_dir}/part.parquet").select(
+        F.col("p_partkey").alias("ProductID"),
+        F.col("p_name").alias("ProductName"),
+        F.col("p_retailprice").alias("Price"),
+        _brand_number().alias("CategoryID"),
+        F.col("p_type").alias("Class"),
+        (modified * F.lit(1_000_000_000)).alias("ModifyDate"),
+        F.lit("Unknown").alias("Resistant"),
+        F.lit("FALSE").alias("IsAllergic"),
+        F.col("p_size").cast("double").alias("VitalityDays"),
+    )
+
+
+def raw_products_resent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All products, with those of the ECONOMY class sent a second time."""
+    products = raw_products(spark, sf_dir)
+    return products.unionAll(products.where(F.col("Class") == "ECONOMY"))
+
+
+def raw_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers."""
+    return spark.read.parquet(f"{sf_dir}/supplier.parquet").select(
+        F.col("s_suppkey").alias("EmployeeID"),
+        F.col("s_name").alias("FirstName"),
+        F.lit("M").alias("MiddleInitial"),
+        F.lit("Staff").alias("LastName"),
+        F.lit("X").alias("Gender"),
+        F.col("s_nationkey").cast("bigint").alias("CityID"),
+    )
+
+
+def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers."""
+    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+        F.col("c_custkey").alias("CustomerID"),
+        F.col("c_name").alias("FirstName"),
+        F.lit("M").alias("MiddleInitial"),
+        F.col("c_mktsegment").alias("LastName"),
+        F.col("c_nationkey").cast("bigint").alias("CityID"),
+        F.lit("1 Main St").alias("Address"),
+    )
+
+
+def raw_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The brand of every part, one row per part: the dimension removes the copies."""
+    return spark.read.parquet(f"{sf_dir}/part.parquet").select(
+        _brand_number().alias("CategoryID"), F.col("p_brand").alias("CategoryName")
+    )
+
+
+def raw_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations."""
+    return spark.read.parquet(f"{sf_dir}/nation.parquet").select(
+        F.col("n_nationkey").cast("bigint").alias("CityID"),
+        F.col("n_name").alias("CityName"),
+        (F.col("n_nationkey") + 10_000).cast("bigint").alias("Zipcode"),
+        F.col("n_regionkey").cast("bigint").alias("CountryID"),
+    )
+
+
+def raw_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions, keyed one higher than the cities refer to them."""
+    return spark.read.parquet(f"{sf_dir}/region.parquet").select(
+        (F.col("r_regionkey") + 1).cast("bigint").alias("CountryID"),
+        F.col("r_name").alias("CountryName"),
+        F.substring("r_name", 1, 2).alias("CountryCode"),
+    )
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All seven raw tables."""
+    return {
+        "sales": raw_sales(spark, sf_dir),
+        "products": raw_products(spark, sf_dir),
+        "employees": raw_employees(spark, sf_dir),
+        "customers": raw_customers(spark, sf_dir),
+        "categories": raw_categories(spark, sf_dir),
+        "cities": raw_cities(spark, sf_dir),
+        "countries": raw_countries(spark, sf_dir),
+    }
