@@ -19,10 +19,10 @@ SALES = """
 
 EVENT_SALES = """
   SELECT event_id AS "SalesID",
-         CAST(NULL AS BIGINT) AS "SalesPersonID",
+         user_id AS "SalesPersonID",
          user_id AS "CustomerID",
-         CAST(NULL AS BIGINT) AS "ProductID",
-         CAST(NULL AS BIGINT) AS "Quantity",
+         event_id AS "ProductID",
+         CAST(1 AS BIGINT) AS "Quantity",
          CAST(NULL AS DOUBLE) AS "Discount",
          value AS "TotalPrice",
          epoch_us(ts) * 1000 AS "SalesDate",
@@ -143,39 +143,49 @@ def matched(dimension: str, key: str) -> str:
     return f'SELECT s.* FROM ({SALES}) s LEFT JOIN ({dimension}) d ON s."{key}" = d."{key}"'
 
 
-TOP_PRODUCTS = f"""
-  SELECT "ProductID", {money("Revenue")} FROM ({fact()}) GROUP BY 1"""
+def top_products(sales: str = SALES) -> str:
+    return f"""
+  SELECT "ProductID", {money("Revenue")} FROM ({fact(sales)}) GROUP BY 1"""
+
 
-AVG_ORDER_VALUE = f"""
+def avg_order_value(sales: str = SALES) -> str:
+    return f"""
   SELECT round(avg(order_total), 6) AS "avg_order_value"
-  FROM (SELECT "SalesID", CAST(sum(CAST("TotalPrice" AS DECIMAL(18,2))) AS DOUBLE) AS order_total
-        FROM ({fact()}) GROUP BY 1)"""
+  FROM (SELECT "SalesID", {money("order_total")} FROM ({fact(sales)}) GROUP BY 1)"""
+
+
+def sales_by_employee(sales: str = SALES) -> str:
+    return f"""
+  SELECT "EmployeeID", {money("employee_sales")} FROM ({fact(sales)}) GROUP BY 1"""
+
 
 PRICE_TRENDS = f"""
   SELECT "CategoryID", CAST(month("ModifyTimestamp") AS INTEGER) AS "month", round(avg("Price"), 6) AS "avg_price"
   FROM (SELECT DISTINCT * FROM ({PRODUCTS})) GROUP BY 1, 2"""
 
-SALES_BY_EMPLOYEE = f"""
-  SELECT "EmployeeID", {money("employee_sales")} FROM ({fact()}) GROUP BY 1"""
 
-DIMENSIONS = {
-    "dim_products": f"SELECT DISTINCT * FROM ({PRODUCTS})",
-    "dim_customers": f"SELECT DISTINCT * FROM ({CUSTOMERS})",
-    "dim_employees": f"SELECT DISTINCT * FROM ({EMPLOYEES})",
-    "dim_categories": f"SELECT DISTINCT * FROM ({CATEGORIES})",
-    "dim_locations": LOCATIONS,
-    "dim_dates": DATES.format(sales=SALES),
-}
+def dimensions(sales: str = SALES) -> dict[str, str]:
+    return {
+        "dim_products": f"SELECT DISTINCT * FROM ({PRODUCTS})",
+        "dim_customers": f"SELECT DISTINCT * FROM ({CUSTOMERS})",
+        "dim_employees": f"SELECT DISTINCT * FROM ({EMPLOYEES})",
+        "dim_categories": f"SELECT DISTINCT * FROM ({CATEGORIES})",
+        "dim_locations": LOCATIONS,
+        "dim_dates": DATES.format(sales=sales),
+    }
+
+
+def kpis(sales: str = SALES) -> dict[str, str]:
+    return {
+        "kpi_total_sales_by_date": total_sales(sales),
+        "kpi_top_products": top_products(sales),
+        "kpi_avg_order_value": avg_order_value(sales),
+        "kpi_customer_type_counts": customer_types(sales),
+        "kpi_price_trends": PRICE_TRENDS,
+        "kpi_sales_by_employee": sales_by_employee(sales),
+        "kpi_employee_daily_sales": employee_sales(sales),
+    }
 
-KPIS = {
-    "kpi_total_sales_by_date": total_sales(),
-    "kpi_top_products": TOP_PRODUCTS,
-    "kpi_avg_order_value": AVG_ORDER_VALUE,
-    "kpi_customer_type_counts": customer_types(),
-    "kpi_price_trends": PRICE_TRENDS,
-    "kpi_sales_by_employee": SALES_BY_EMPLOYEE,
-    "kpi_employee_daily_sales": employee_sales(),
-}
 
 RAW = {
     "categories": CATEGORIES,
@@ -208,7 +218,9 @@ ORACLE = {
     "external_tables": row_counts({f"{name}_ext": sql for name, sql in RAW.items()}),
     "stored_fact_sales": fact(),
     "stored_price_trends": PRICE_TRENDS,
-    "mart_table_counts": row_counts({**DIMENSIONS, "fact_sales": fact(), **KPIS}),
+    "mart_table_counts": row_counts(
+        {**dimensions(EVENT_SALES), "fact_sales": fact(EVENT_SALES), **kpis(EVENT_SALES)}
+    ),
     "sales_left_products": matched(PRODUCTS, "ProductID"),
     "sales_left_products_resent": matched(PRODUCTS_RESENT, "ProductID"),
     "sales_left_repeated_products": matched(PRODUCTS_RESENT, "ProductID"),
@@ -220,16 +232,16 @@ ORACLE = {
   SELECT "SalesID", "CustomerID", "SalesTimestamp", "FirstPurchaseDate", "CustomerType"
   FROM ({labelled(EVENT_SALES)})""",
     "first_purchase_per_customer": first_purchases(),
-    **DIMENSIONS,
+    **dimensions(),
     "dim_products_resent": f"SELECT DISTINCT * FROM ({PRODUCTS_RESENT})",
     "dim_dates_events": DATES.format(sales=EVENT_SALES),
     "fact_sales_rows": fact(),
     "fact_sales_resent_products": fact(products=PRODUCTS_RESENT),
-    **KPIS,
+    **kpis(),
     "kpi_total_sales_by_date_events": total_sales(EVENT_SALES),
     "kpi_total_sales_by_date_events_day": total_sales(EVENT_SALES, "day"),
     "kpi_top_products_first_10": f"""
-  SELECT * FROM ({TOP_PRODUCTS}) ORDER BY "Revenue" DESC NULLS LAST, "ProductID" NULLS LAST LIMIT 10""",
+  SELECT * FROM ({top_products()}) ORDER BY "Revenue" DESC NULLS LAST, "ProductID" NULLS LAST LIMIT 10""",
     "kpi_customer_type_counts_day": customer_types(grain="day"),
     "kpi_customer_type_counts_events": customer_types(EVENT_SALES),
     "kpi_customer_type_counts_events_day": customer_types(EVENT_SALES, "day"),

@@ -7,7 +7,7 @@ sum of doubles depend on the order of the rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +24,6 @@ from salesmart.sources import testbed
 from salesmart.sources.catalog import register_external
 from salesmart.sources.csv_ingest import csv_to_parquet
 from salesmart.sources.raw import RawFiles, with_product_times, with_sales_times
-from salesmart.sources.schemas import RAW_TABLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +44,21 @@ def query(function: Query) -> Query:
     return run
 
 
+def mart_store(spark: SparkSession) -> MartStore:
+    """A fresh place for mart tables.
+
+    In a local session the day partitions hold a few kilobytes each and the time
+    goes into creating files, so writes are spread over all cores whatever their
+    size, and directories are listed by one task per core.
+    """
+    if spark.sparkContext.master.startswith("local"):
+        cores = str(spark.sparkContext.defaultParallelism)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionNum", cores)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1k")
+        spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", cores)
+    return MartStore.files(new_folder(spark, "mart"))
+
+
 def rounded(df: DataFrame, column: str, places: int) -> DataFrame:
     return df.withColumn(column, F.round(column, places))
 
@@ -54,23 +68,26 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_sales(raw["sales"], raw["products"], raw["customers"], raw["employees"])
 
 
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return testbed.raw_sales_of_events(spark, sf_dir)
+
+
 def fact_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = testbed.raw_tables(spark, sf_dir)
-    events = testbed.raw_sales_of_events(spark, sf_dir)
-    return fact_sales(events, raw["products"], raw["customers"], raw["employees"])
+    return fact_sales(events(spark, sf_dir), raw["products"], raw["customers"], raw["employees"])
 
 
-def written_raw(spark: SparkSession, sf_dir: str, *tables: str) -> str:
-    """A folder with some raw tables as Parquet, to scan them as a user would."""
+def written_raw(spark: SparkSession, raw: Mapping[str, DataFrame]) -> str:
+    """A folder with raw tables as Parquet, to scan them as a user would."""
     folder = new_folder(spark, "raw")
-    raw = testbed.raw_tables(spark, sf_dir)
-    for table in tables:
-        raw[table].write.parquet(f"{folder}/{table}.parquet")
+    for table, df in raw.items():
+        df.write.parquet(f"{folder}/{table}.parquet")
     return folder
 
 
 def scanned(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return RawFiles(spark, written_raw(spark, sf_dir, table))[table]
+    raw = testbed.raw_tables(spark, sf_dir)
+    return RawFiles(spark, written_raw(spark, {table: raw[table]}))[table]
 
 
 # ---- typed scans
@@ -131,12 +148,12 @@ def csv_ingest_sales(spark, sf_dir):
 
 @query
 def csv_ingest_events(spark, sf_dir):
-    return ingested(spark, testbed.raw_sales_of_events(spark, sf_dir))
+    return ingested(spark, events(spark, sf_dir))
 
 
 @query
 def external_tables(spark, sf_dir):
-    root = written_raw(spark, sf_dir, *RAW_TABLES)
+    root = written_raw(spark, testbed.raw_tables(spark, sf_dir))
     database = root.rsplit("/", 1)[1].replace("-", "_")
     spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/database'")
     counts = [
@@ -149,7 +166,7 @@ def external_tables(spark, sf_dir):
 @query
 def stored_fact_sales(spark, sf_dir):
     """Fact partitioned by day, read back."""
-    store = MartStore.files(new_folder(spark, "mart"))
+    store = mart_store(spark)
     store.write(fact(spark, sf_dir), "fact_sales", by_day=True)
     return store.read(spark, "fact_sales")
 
@@ -157,7 +174,7 @@ def stored_fact_sales(spark, sf_dir):
 @query
 def stored_price_trends(spark, sf_dir):
     """Two tables built by name; the second reads the first back."""
-    store = MartStore.files(new_folder(spark, "mart"))
+    store = mart_store(spark)
     raw = testbed.raw_tables(spark, sf_dir)
     for table in ("dim_products", "kpi_price_trends"):
         build_table(spark, table, raw, store)
@@ -166,9 +183,9 @@ def stored_price_trends(spark, sf_dir):
 
 @query
 def mart_table_counts(spark, sf_dir):
-    """The whole mart, built from written raw tables; rows per table."""
-    raw = RawFiles(spark, written_raw(spark, sf_dir, *RAW_TABLES))
-    store = MartStore.files(new_folder(spark, "mart"))
+    """The whole mart with events as sales, built from written raw tables; rows per table."""
+    raw = RawFiles(spark, written_raw(spark, {**testbed.raw_tables(spark, sf_dir), "sales": events(spark, sf_dir)}))
+    store = mart_store(spark)
     build_mart(spark, raw, store)
     counts = [
         store.read(spark, name).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
@@ -273,7 +290,7 @@ def dim_dates(spark, sf_dir):
 
 @query
 def dim_dates_events(spark, sf_dir):
-    return dimensions.dim_dates(testbed.raw_sales_of_events(spark, sf_dir))
+    return dimensions.dim_dates(events(spark, sf_dir))
 
 
 # ---- fact

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -27,10 +27,11 @@ class Inputs:
     store: MartStore
     grain: str = "second"
     k: int | None = None
+    opened: Mapping[str, DataFrame] = field(default_factory=dict)
 
     def stored(self, table: str) -> DataFrame:
-        """A mart table built earlier."""
-        return self.store.read(self.spark, table)
+        """A mart table built earlier; one that is already open is not listed again."""
+        return self.opened[table] if table in self.opened else self.store.read(self.spark, table)
 
 
 @dataclass(frozen=True)
@@ -89,10 +90,7 @@ def build_table(
     KPI tables read ``fact_sales`` or ``dim_products`` back from the store, so that
     has to be built first.
     """
-    if name not in TABLES:
-        raise ValueError(f"unknown table {name!r}; known: {', '.join(TABLES)}")
-    table = TABLES[name]
-    store.write(table.build(Inputs(spark, raw, store, grain, k)), name, table.by_day)
+    _build(name, Inputs(spark, raw, store, grain, k))
 
 
 def build_mart(
@@ -110,14 +108,21 @@ def build_mart(
     leave. The fact is stored once and each KPI scans the two or three columns it
     needs of it.
     """
+    inputs = Inputs(spark, raw, store, grain, k)
+    _build_together([*FACT_TABLES, *DIMENSION_TABLES], inputs, concurrent_tables)
+    opened = {table: store.read(spark, table) for table in ("fact_sales", "dim_products")}
+    _build_together(KPI_TABLES, replace(inputs, opened=opened), concurrent_tables)
+
+
+def _build(name: str, inputs: Inputs) -> None:
+    if name not in TABLES:
+        raise ValueError(f"unknown table {name!r}; known: {', '.join(TABLES)}")
+    table = TABLES[name]
+    inputs.store.write(table.build(inputs), name, table.by_day)
 
-    def build_all(names: Iterable[str]) -> None:
-        run = inheritable_thread_target(spark)(
-            lambda name: build_table(spark, name, raw, store, grain, k)
-        )
-        with ThreadPoolExecutor(max_workers=concurrent_tables) as pool:
-            for done in [pool.submit(run, name) for name in names]:
-                done.result()
 
-    build_all([*FACT_TABLES, *DIMENSION_TABLES])
-    build_all(KPI_TABLES)
+def _build_together(names: Iterable[str], inputs: Inputs, concurrent_tables: int) -> None:
+    run = inheritable_thread_target(inputs.spark)(_build)
+    with ThreadPoolExecutor(max_workers=concurrent_tables) as pool:
+        for done in [pool.submit(run, name, inputs) for name in names]:
+            done.result()

@@ -38,14 +38,18 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_sales_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as sales, which have times finer than a second."""
+    """Events as sales, which have times finer than a second.
+
+    Users stand for both customers and sales people, and every event is its own
+    product, so that many sales match no employee or product.
+    """
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     return events.select(
         F.col("event_id").alias("SalesID"),
-        F.lit(None).cast("bigint").alias("SalesPersonID"),
+        F.col("user_id").alias("SalesPersonID"),
         F.col("user_id").alias("CustomerID"),
-        F.lit(None).cast("bigint").alias("ProductID"),
-        F.lit(None).cast("bigint").alias("Quantity"),
+        F.col("event_id").alias("ProductID"),
+        F.lit(1).cast("bigint").alias("Quantity"),
         F.lit(None).cast("double").alias("Discount"),
         F.col("value").alias("TotalPrice"),
         _nanos("ts").alias("SalesDate"),
