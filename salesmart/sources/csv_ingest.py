@@ -7,9 +7,9 @@ a type inferred from all its values.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from salesmart.sources.schemas import NANO_COLUMNS, RAW_DDL, raw_schema
 
@@ -19,16 +19,31 @@ NULL_SPELLINGS = [
     "N/A", "NA", "NULL", "NaN", "n/a", "nan", "null",
 ]
 
+# SQL that turns text into a value, or into null where it does not fit.
+# "nanos" is a bigint of epoch nanoseconds: a number, or a date or timestamp, which
+# is read as UTC unless it names a zone. Spark timestamps end at microseconds, so
+# digits seven to nine of the fraction are added back.
+PARSERS = {
+    "bigint": "try_cast({text} AS bigint)",
+    "boolean": "IF(lower({text}) IN ('true', 'false'), try_cast({text} AS boolean), NULL)",
+    "date": "IF({text} RLIKE '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$', try_cast({text} AS date), NULL)",
+    "timestamp_ntz": "IF({text} RLIKE '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}', try_cast({text} AS timestamp_ntz), NULL)",
+    # The cast alone would also take Java's type suffixes, as in "10d".
+    "double": "IF({text} RLIKE '[0-9.][dDfF]$', NULL, try_cast({text} AS double))",
+    "nanos": (
+        "coalesce(try_cast({text} AS bigint), IF({text} RLIKE '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}',"
+        " unix_micros(coalesce(try_cast({text} || 'Z' AS timestamp), try_cast({text} || ' 00:00:00Z' AS timestamp),"
+        " IF({text} RLIKE '(Z|[+-][0-9]{{2}}:?[0-9]{{2}})$', try_cast({text} AS timestamp), NULL))) * 1000"
+        " + CAST(rpad(regexp_extract({text}, '[.][0-9]{{6}}([0-9]{{1,3}})', 1), 3, '0') AS bigint), NULL))"
+    ),
+}
+
 # Candidate types of an undeclared column, in order of preference; text if none fits.
-_INFERRED_TYPES = ("bigint", "boolean", "date", "timestamp_ntz", "double")
+INFERRED_TYPES = ("bigint", "boolean", "date", "timestamp_ntz", "double")
 
 _MALFORMED = "_malformed_row"
 
 
-class BadValues(ValueError):
-    """A CSV file holds values or rows that do not fit its schema."""
-
-
 def csv_tables(spark: SparkSession, folder: str) -> dict[str, str]:
     """Table name to path of every ``*.csv`` directly in ``folder``.
 
@@ -61,144 +76,94 @@ def csv_to_parquet(
     }
 
 
-def convert_csv(
-    spark: SparkSession, table: str, path: str, target: str, strict: bool = True
-) -> dict[str, int]:
+def convert_csv(spark: SparkSession, table: str, path: str, target: str, strict: bool = True) -> dict[str, int]:
     """Convert one CSV table. See ``csv_to_parquet``."""
-    text = _read_text(spark, path, strict)
-    columns = [name for name in text.columns if name != _MALFORMED]
-    types = _column_types(table, text, columns)
-
-    parsed = {name: _parse(F.col(f"`{name}`"), kind) for name, kind in types.items()}
-    misfits = {
-        name: _present(F.col(f"`{name}`")) & value.isNull()
-        for name, value in parsed.items()
-        if types[name] != "string"
-    }
+    header, text = _read_text(spark, path, strict)
+    columns = _columns(table, header, text)
+    typed = {i: name for i, (name, kind) in enumerate(columns) if kind != "string"}
+
+    # Each value is parsed once, beside its text; a misfit has text but no value.
+    blanked = text.selectExpr(_MALFORMED, *[_column_text(i, kind) for i, (_, kind) in enumerate(columns)])
+    parsed = blanked.selectExpr("*", *[f"{_parser(f'c{i}', columns[i][1])} AS v{i}" for i in typed])
     counts = Observation()
-    observed = text.observe(
+    counted = parsed.observe(
         counts,
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col(_MALFORMED).isNotNull()).alias("malformed"),
-        *[F.count_if(misfit).alias(f"bad_{position}") for position, misfit in enumerate(misfits.values())],
+        F.expr("count(1)").alias("rows"),
+        F.expr(f"count({_MALFORMED})").alias("malformed"),
+        *[F.expr(f"count_if(c{i} IS NOT NULL AND v{i} IS NULL)").alias(f"bad{i}") for i in typed],
     )
-    if strict:
-        parsed = {
-            name: F.when(misfits[name], _refuse(table, name)).otherwise(value) if name in misfits else value
-            for name, value in parsed.items()
-        }
-    output = observed.select(*[value.alias(_declared_name(table, name)) for name, value in parsed.items()])
-    output.write.mode("overwrite").parquet(target)
+    counted.selectExpr(*[_output(table, i, name, i in typed, strict) for i, (name, _) in enumerate(columns)]).write.mode(
+        "overwrite"
+    ).parquet(target)
 
-    result = {"rows": counts.get["rows"]}
-    if not strict:
-        result["malformed"] = counts.get["malformed"]
-        result.update({name: counts.get[f"bad_{position}"] for position, name in enumerate(misfits)})
-    return result
+    found = counts.get
+    if strict:
+        return {"rows": found["rows"]}
+    return {
+        "rows": found["rows"],
+        "malformed": found["malformed"],
+        **{name: found[f"bad{i}"] for i, name in typed.items()},
+    }
 
 
-def _read_text(spark: SparkSession, path: str, strict: bool) -> DataFrame:
-    """All columns as text. Empty fields come back null."""
+def _read_text(spark: SparkSession, path: str, strict: bool) -> tuple[list[str], DataFrame]:
+    """The header, and all columns as text named c0, c1, …; empty fields are null."""
     header = spark.read.option("header", True).option("escape", '"').csv(path).columns
-    fields = [StructField(name, StringType()) for name in header]
-    return (
+    fields = [StructField(name, StringType()) for name in [*header, _MALFORMED]]
+    text = (
         spark.read.option("header", True)
         .option("escape", '"')
         .option("emptyValue", "")
         .option("mode", "FAILFAST" if strict else "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _MALFORMED)
-        .schema(StructType([*fields, StructField(_MALFORMED, StringType())]))
+        .schema(StructType(fields))
         .csv(path)
     )
+    return header, text.toDF(*[f"c{i}" for i in range(len(header))], _MALFORMED)
 
 
-def _column_types(table: str, text: DataFrame, columns: list[str]) -> dict[str, str]:
-    """A type name per column; "nanos" is a bigint of epoch nanoseconds."""
-    declared: dict[str, DataType] = {}
+def _columns(table: str, header: list[str], text: DataFrame) -> list[tuple[str, str]]:
+    """Name and type of every column. Declared names win over the header's case."""
+    known = {}
     if table in RAW_DDL:
-        declared = {field.name.lower(): field.dataType for field in raw_schema(table)}
-    nanos = {name.lower() for name in NANO_COLUMNS.get(table, ())}
-    types = {
-        name: "nanos" if name.lower() in nanos else declared[name.lower()].simpleString()
-        for name in columns
-        if name.lower() in declared
-    }
-    undeclared = [name for name in columns if name not in types]
-    types.update(_infer(text, undeclared))
-    return {name: types[name] for name in columns}
+        nanos = NANO_COLUMNS.get(table, set())
+        known = {
+            field.name.lower(): (field.name, "nanos" if field.name in nanos else field.dataType.simpleString())
+            for field in raw_schema(table)
+        }
+    inferred = _infer(text, [i for i, name in enumerate(header) if name.lower() not in known])
+    return [known.get(name.lower()) or (name, inferred[i]) for i, name in enumerate(header)]
 
 
-def _infer(text: DataFrame, columns: list[str]) -> dict[str, str]:
-    """The narrowest type that fits every value of each column, in one aggregation to one row."""
-    if not columns:
+def _infer(text: DataFrame, positions: list[int]) -> dict[int, str]:
+    """The first candidate type that fits every value of a column, in one aggregation to one row."""
+    if not positions:
         return {}
-    checks = []
-    for position, name in enumerate(columns):
-        value = F.col(f"`{name}`")
-        checks.append(F.count_if(_present(value)).alias(f"present_{position}"))
-        for kind in _INFERRED_TYPES:
-            fits = _present(value) & _parse(value, kind).isNotNull()
-            checks.append(F.count_if(fits).alias(f"{kind}_{position}"))
-    found = text.agg(*checks).first()
+    blanked = text.selectExpr(*[_column_text(i, "any") for i in positions])
+    fits = [f"count({_parser(f'c{i}', kind)}) AS {kind}_{i}" for i in positions for kind in INFERRED_TYPES]
+    found = blanked.selectExpr(*[f"count(c{i}) AS present_{i}" for i in positions], *fits).first()
     return {
-        name: next(
-            (
-                kind
-                for kind in _INFERRED_TYPES
-                if 0 < found[f"present_{position}"] == found[f"{kind}_{position}"]
-            ),
-            "string",
-        )
-        for position, name in enumerate(columns)
+        i: next((kind for kind in INFERRED_TYPES if 0 < found[f"present_{i}"] == found[f"{kind}_{i}"]), "string")
+        for i in positions
     }
 
 
-def _present(value: Column) -> Column:
-    return value.isNotNull() & ~value.isin(NULL_SPELLINGS)
-
-
-def _parse(value: Column, kind: str) -> Column:
-    """The typed value, or null where the text is a null spelling or does not fit."""
+def _column_text(position: int, kind: str) -> str:
+    """A column's text. Null spellings count as null, except in text, where an empty field is empty text."""
+    column = f"c{position}"
     if kind == "string":
-        # Text has no null spelling: an empty field is an empty string.
-        return F.coalesce(value, F.lit(""))
-    text = F.when(_present(value), value)
-    if kind == "nanos":
-        return F.coalesce(text.try_cast("bigint"), _nanos(text))
-    if kind == "double":
-        # The cast would also take Java's type suffixes, as in "10d".
-        return F.when(~text.rlike("[0-9.][dDfF]$"), text.try_cast("double"))
-    if kind == "boolean":
-        return F.when(F.lower(text).isin("true", "false"), text.try_cast("boolean"))
-    if kind in ("date", "timestamp_ntz"):
-        # The cast would also take a bare year or month.
-        return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), text.try_cast(kind))
-    return text.try_cast(kind)
-
-
-def _nanos(text: Column) -> Column:
-    """Epoch nanoseconds of date or timestamp text, read as UTC unless it names a zone.
-
-    Spark timestamps end at microseconds, so digits seven to nine of the fraction
-    are added back.
-    """
-    moment = F.coalesce(
-        F.concat(text, F.lit("Z")).try_cast("timestamp"),
-        F.concat(text, F.lit(" 00:00:00Z")).try_cast("timestamp"),
-        F.when(text.rlike(r"(?:Z|[+-]\d{2}:?\d{2})$"), text.try_cast("timestamp")),
-    )
-    rest = F.rpad(F.regexp_extract(text, r"\.\d{6}(\d{1,3})", 1), 3, "0").cast("bigint")
-    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), F.unix_micros(moment) * F.lit(1000) + rest)
+        return f"coalesce({column}, '') AS {column}"
+    spellings = ", ".join(f"'{spelling}'" for spelling in NULL_SPELLINGS)
+    return f"IF({column} IN ({spellings}), NULL, {column}) AS {column}"
 
 
-def _refuse(table: str, column: str) -> Column:
-    return F.raise_error(F.concat(F.lit(f"{table}.{column}: bad value "), F.col(f"`{column}`")))
+def _parser(text: str, kind: str) -> str:
+    return PARSERS[kind].format(text=text)
 
 
-def _declared_name(table: str, column: str) -> str:
-    """The declared spelling of a column name that differs in case only."""
-    if table in RAW_DDL:
-        for name in raw_schema(table).names:
-            if name.lower() == column.lower():
-                return name
-    return column
+def _output(table: str, position: int, name: str, typed: bool, strict: bool) -> str:
+    text, value = f"c{position}", f"v{position}" if typed else f"c{position}"
+    if typed and strict:
+        message = f"{table}.{name}: bad value ".replace("'", "")
+        value = f"IF({text} IS NOT NULL AND {value} IS NULL, raise_error('{message}' || {text}), {value})"
+    return f"{value} AS `{name.replace('`', '``')}`"

@@ -1,0 +1,178 @@
+"""Dimensions, fact and KPI tables on hand-written rows."""
+
+import datetime as dt
+
+import pytest
+
+from salesmart.operators import joins
+from salesmart.operators.aggregates import first_purchases
+from salesmart.operators.joins import repeated_keys, with_first_purchase
+from salesmart.plans import dimensions, kpis
+from salesmart.plans.fact import FACT_COLUMNS, fact_sales
+from tests.frames import customers, employees, facts, nanos, products, sales, table, values
+
+
+def build(spark, rows, product_ids=(1,), customer_ids=(1,), employee_ids=(1,)):
+    return fact_sales(
+        sales(spark, *rows),
+        products(spark, *product_ids),
+        customers(spark, *customer_ids),
+        employees(spark, *employee_ids),
+    )
+
+
+SALE = {"SalesID": 1, "SalesPersonID": 1, "CustomerID": 1, "ProductID": 1, "TotalPrice": 2.5}
+
+
+def test_every_sale_is_kept_and_only_the_employee_shows_a_miss(spark):
+    rows = [
+        {**SALE, "SalesID": 1, "ProductID": 9},
+        {**SALE, "SalesID": 2, "CustomerID": 9},
+        {**SALE, "SalesID": 3, "SalesPersonID": 9},
+        {**SALE, "SalesID": 4, "ProductID": None, "CustomerID": None, "SalesPersonID": None},
+    ]
+    fact = build(spark, rows)
+    assert fact.columns == FACT_COLUMNS
+    assert values(fact.select("SalesID", "SalesPersonID", "EmployeeID")) == [
+        (1, 1, 1), (2, 1, 1), (3, 9, None), (4, None, None),
+    ]
+
+
+def test_repeated_dimension_keys_multiply_fact_rows(spark):
+    fact = build(spark, [SALE, {**SALE, "SalesID": 2, "ProductID": 2}], (1, 1, 2), (1, 1, 1), (1, 1))
+    assert values(fact.groupBy("SalesID").count()) == [(1, 12), (2, 6)]
+
+
+def test_null_keys_never_match(spark):
+    rows = [{**SALE, "ProductID": None, "CustomerID": None, "SalesPersonID": None}]
+    assert build(spark, rows, (None, None), (None, None), (None, None)).count() == 1
+
+
+@pytest.mark.parametrize("block", [1, 2, 3, 100])
+def test_repeated_keys_stand_for_the_whole_dimension(spark, monkeypatch, block):
+    monkeypatch.setattr(joins, "_COPIES_PER_BLOCK", block)
+    ids = [1, 2, 2, 3, 3, 3, None, None, *[4] * 7]
+    dimension = products(spark, *ids)
+    repeated = repeated_keys(dimension, "ProductID")
+    assert values(repeated) == [(2,)] * 2 + [(3,)] * 3 + [(4,)] * 7
+    rows = [{**SALE, "SalesID": i, "ProductID": i} for i in range(6)] + [{**SALE, "ProductID": None}]
+    others = customers(spark, 1), employees(spark, 1)
+    whole = fact_sales(sales(spark, *rows), dimension, *others)
+    assert values(fact_sales(sales(spark, *rows), repeated, *others)) == values(whole)
+    assert whole.count() == 1 + 1 + 2 + 3 + 7 + 1 + 1
+
+
+def test_dimensions_drop_exact_duplicates_only(spark):
+    rows = [{"ProductID": 1, "Price": 1.0}, {"ProductID": 1, "Price": 1.0}, {"ProductID": 1, "Price": 2.0}]
+    dim = dimensions.dim_products(table(spark, "products", rows))
+    assert values(dim.select("ProductID", "Price")) == [(1, 1.0), (1, 2.0)]
+    assert dim.columns == [
+        "ProductID", "ProductName", "Price", "CategoryID", "Class", "ModifyDate", "Resistant", "IsAllergic",
+        "VitalityDays", "ModifyDateSeconds", "ModifyTimestamp",
+    ]
+    assert dimensions.dim_customers(customers(spark, 1, 1, None, None)).count() == 2
+    assert dimensions.dim_employees(employees(spark, 1, 2, 2)).count() == 2
+    categories = table(spark, "categories", [{"CategoryID": 1, "CategoryName": "a"}] * 3)
+    assert values(dimensions.dim_categories(categories)) == [(1, "a")]
+
+
+def test_dates_are_the_distinct_seconds_of_sales(spark):
+    texts = ["2018-12-31 10:00:00.1", "2018-12-31 10:00:00.9", "2018-01-07 00:00:00"]
+    rows = [{"SalesDate": nanos(text)} for text in texts] + [{}, {}]
+    assert values(dimensions.dim_dates(sales(spark, *rows))) == [
+        (dt.datetime(2018, 1, 7), 2018, 1, 1, 7, 1, 1),
+        (dt.datetime(2018, 12, 31, 10), 2018, 12, 1, 31, 2, 4),
+        (None,) * 7,
+    ]
+
+
+def test_locations(spark):
+    city = {"CityID": 1, "CityName": "Oslo", "Zipcode": 150, "CountryID": 47}
+    cities = [city, city, {**city, "CityID": 2, "CountryID": 99}, {**city, "CityID": 3, "CountryID": None}]
+    country = {"CountryID": 47, "CountryName": "Norway", "CountryCode": "NO"}
+    countries = [country, country, {**country, "CountryCode": "N"}, {"CountryName": "Nowhere"}]
+    dim = dimensions.dim_locations(table(spark, "cities", cities), table(spark, "countries", countries))
+    assert dim.columns == ["CityID", "CityName", "Zipcode", "CountryID", "CountryName", "CountryCode"]
+    assert values(dim) == [
+        (1, "Oslo", 150, 47, "Norway", "N"),
+        (1, "Oslo", 150, 47, "Norway", "NO"),
+        (2, "Oslo", 150, 99, None, None),
+        (3, "Oslo", 150, None, None, None),
+    ]
+
+
+def test_kpis(spark):
+    at = nanos("2018-02-05 07:00:00.5")
+    rows = [
+        {**SALE, "SalesID": 1, "SalesDate": at, "TotalPrice": 1.0},
+        {**SALE, "SalesID": 1, "SalesDate": at + 400_000_000, "TotalPrice": 2.0, "ProductID": 2},
+        {**SALE, "SalesID": 2, "SalesDate": at + 1_000_000_000, "TotalPrice": 5.0, "ProductID": 2, "SalesPersonID": 7},
+        {**SALE, "SalesID": 3, "SalesDate": None, "TotalPrice": None, "ProductID": None},
+    ]
+    fact = build(spark, rows)
+    first, second, day = dt.datetime(2018, 2, 5, 7), dt.datetime(2018, 2, 5, 7, 0, 1), dt.datetime(2018, 2, 5)
+    assert values(kpis.total_sales_by_date(fact)) == [(first, 3.0), (second, 5.0), (None, None)]
+    assert values(kpis.total_sales_by_date(fact, "day")) == [(day, 8.0), (None, None)]
+    assert [tuple(row) for row in kpis.top_products(fact).collect()] == [(2, 7.0), (1, 1.0), (None, None)]
+    assert [tuple(row) for row in kpis.top_products(fact, 1).collect()] == [(2, 7.0)]
+    assert values(kpis.avg_order_value(fact)) == [(4.0,)]
+    assert values(kpis.sales_by_employee(fact)) == [(1, 3.0), (None, 5.0)]
+    assert values(kpis.employee_daily_sales(fact)) == [(1, first, 3.0), (1, None, None), (None, second, 5.0)]
+    assert values(kpis.employee_daily_sales(fact, "day")) == [(1, day, 3.0), (1, None, None), (None, day, 5.0)]
+
+
+def test_top_products_break_ties_by_product(spark):
+    rows = [{**SALE, "SalesID": i, "ProductID": i} for i in (3, 1, 2)]
+    assert [row[0] for row in kpis.top_products(build(spark, rows), 2).collect()] == [1, 2]
+
+
+def test_kpis_of_an_empty_fact(spark):
+    fact = build(spark, [])
+    assert values(kpis.avg_order_value(fact)) == [(None,)]
+    for kpi in (
+        kpis.total_sales_by_date, kpis.top_products, kpis.customer_type_counts,
+        kpis.sales_by_employee, kpis.employee_daily_sales,
+    ):
+        assert kpi(fact).count() == 0
+
+
+def test_price_trends_take_years_together(spark):
+    rows = [
+        {"CategoryID": 1, "Price": 1.0, "ModifyDate": nanos("2018-02-05 00:00:00")},
+        {"CategoryID": 1, "Price": 2.0, "ModifyDate": nanos("2017-02-28 00:00:00")},
+        {"CategoryID": 1, "Price": None, "ModifyDate": nanos("2017-02-28 00:00:00")},
+        {"CategoryID": None, "Price": 4.0, "ModifyDate": None},
+    ]
+    trends = kpis.price_trends(dimensions.dim_products(table(spark, "products", rows)))
+    assert trends.columns == ["CategoryID", "month", "avg_price"]
+    assert values(trends) == [(1, 2, 1.5), (None, None, 4.0)]
+
+
+def test_customer_types(spark):
+    rows = [
+        (1, "2018-01-01 10:00:00", 1.0), (1, "2018-01-01 10:00:00", 1.0),  # two sales in the first second
+        (1, "2018-01-01 10:00:01", 1.0), (1, "2018-01-02 00:00:00", 1.0), (1, None, 1.0),
+        (2, "2018-01-02 00:00:00", 1.0), (3, None, 1.0), (None, "2018-01-01 10:00:00", 1.0),
+    ]
+    fact = facts(spark, rows)
+    counts = kpis.customer_type_counts(fact)
+    assert dict(counts.dtypes) == {"SalesTimestamp": "timestamp", "CustomerType": "string", "CustomerCount": "bigint"}
+    one, two = dt.datetime(2018, 1, 1), dt.datetime(2018, 1, 2)
+    assert values(counts) == [
+        (dt.datetime(2018, 1, 1, 10), "New", 1),
+        (dt.datetime(2018, 1, 1, 10, 0, 1), "Repeat", 1),
+        (two, "New", 1), (two, "Repeat", 1), (None, "New", 2),
+    ]
+    assert values(kpis.customer_type_counts(fact, "day")) == [
+        (one, "New", 1), (one, "Repeat", 1), (two, "New", 1), (two, "Repeat", 1), (None, "New", 2),
+    ]
+
+
+def test_first_purchase_labels(spark):
+    rows = [(1, "2018-01-01", 1.0), (1, "2018-01-02", 1.0), (1, None, 1.0), (2, None, 1.0), (None, "2018-01-01", 1.0)]
+    fact = facts(spark, rows)
+    labelled = with_first_purchase(fact, first_purchases(fact))
+    first, second = dt.datetime(2018, 1, 1), dt.datetime(2018, 1, 2)
+    assert values(labelled.select("CustomerID", "SalesTimestamp", "FirstPurchaseDate", "CustomerType")) == [
+        (1, first, first, "New"), (1, second, first, "Repeat"), (1, None, first, "New"), (2, None, None, "New"),
+    ]
