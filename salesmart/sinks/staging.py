@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,17 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session.
 
-    Where it is unset, a local session gets a temporary folder and remembers it;
-    on a cluster that would be private to one machine, so it is an error.
+    Where it is unset, a local session gets one temporary folder; on a cluster
+    that would be private to one machine, so it is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="salesmart-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="salesmart-")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
