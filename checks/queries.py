@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from salesmart.operators.aggregates import first_purchases
 from salesmart.operators.joins import left_match, left_match_as, repeated_keys, with_first_purchase
 from salesmart.plans import dimensions, kpis
-from salesmart.plans.fact import fact_sales
+from salesmart.plans.fact import fact_sales_of
 from salesmart.plans.mart import TABLES, build_mart, build_table
 from salesmart.sinks.staging import new_folder, stage
 from salesmart.sinks.store import MartStore
@@ -64,8 +64,7 @@ def rounded(df: DataFrame, column: str, places: int) -> DataFrame:
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = testbed.raw_tables(spark, sf_dir)
-    return fact_sales(raw["sales"], raw["products"], raw["customers"], raw["employees"])
+    return fact_sales_of(testbed.RawTables(spark, sf_dir))
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,8 +72,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = testbed.raw_tables(spark, sf_dir)
-    return fact_sales(events(spark, sf_dir), raw["products"], raw["customers"], raw["employees"])
+    return fact_sales_of(testbed.RawTables(spark, sf_dir, sales=events(spark, sf_dir)))
 
 
 def written_raw(spark: SparkSession, raw: Mapping[str, DataFrame]) -> str:
@@ -86,7 +84,7 @@ def written_raw(spark: SparkSession, raw: Mapping[str, DataFrame]) -> str:
 
 
 def scanned(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    raw = testbed.raw_tables(spark, sf_dir)
+    raw = testbed.RawTables(spark, sf_dir)
     return RawFiles(spark, written_raw(spark, {table: raw[table]}))[table]
 
 
@@ -153,7 +151,7 @@ def csv_ingest_events(spark, sf_dir):
 
 @query
 def external_tables(spark, sf_dir):
-    root = written_raw(spark, testbed.raw_tables(spark, sf_dir))
+    root = written_raw(spark, testbed.RawTables(spark, sf_dir))
     database = root.rsplit("/", 1)[1].replace("-", "_")
     spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/database'")
     counts = [
@@ -175,7 +173,7 @@ def stored_fact_sales(spark, sf_dir):
 def stored_price_trends(spark, sf_dir):
     """Two tables built by name; the second reads the first back."""
     store = mart_store(spark)
-    raw = testbed.raw_tables(spark, sf_dir)
+    raw = testbed.RawTables(spark, sf_dir)
     for table in ("dim_products", "kpi_price_trends"):
         build_table(spark, table, raw, store)
     return rounded(store.read(spark, "kpi_price_trends"), "avg_price", 6)
@@ -184,7 +182,7 @@ def stored_price_trends(spark, sf_dir):
 @query
 def mart_table_counts(spark, sf_dir):
     """The whole mart with events as sales, built from written raw tables; rows per table."""
-    raw = RawFiles(spark, written_raw(spark, {**testbed.raw_tables(spark, sf_dir), "sales": events(spark, sf_dir)}))
+    raw = RawFiles(spark, written_raw(spark, testbed.RawTables(spark, sf_dir, sales=events(spark, sf_dir))))
     store = mart_store(spark)
     build_mart(spark, raw, store)
     counts = [
@@ -303,9 +301,8 @@ def fact_sales_rows(spark, sf_dir):
 
 @query
 def fact_sales_resent_products(spark, sf_dir):
-    raw = testbed.raw_tables(spark, sf_dir)
     products = testbed.raw_products_resent(spark, sf_dir)
-    return fact_sales(raw["sales"], products, raw["customers"], raw["employees"])
+    return fact_sales_of(testbed.RawTables(spark, sf_dir, products=products))
 
 
 # ---- KPI tables

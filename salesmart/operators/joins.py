@@ -1,10 +1,11 @@
 """Joins.
 
-No join carries a broadcast hint. Spark broadcasts a side only when its size
-estimate is under ``spark.sql.autoBroadcastJoinThreshold``; past that it plans a
-sort-merge join, and adaptive execution splits partitions that a hot (or null)
-key has made too large. The splitting needs both sides to be plain shuffles, so
-no side may arrive here already hashed on the key by an aggregation.
+No join here adds a broadcast hint. Without one from the caller, Spark broadcasts
+a side only when its size estimate is under
+``spark.sql.autoBroadcastJoinThreshold``; past that it plans a sort-merge join,
+and adaptive execution splits partitions that a hot (or null) key has made too
+large. The splitting needs both sides to be plain shuffles, so no side may arrive
+already hashed on the key by an aggregation.
 """
 
 from __future__ import annotations

@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from salesmart.operators.joins import left_match, left_match_as
+from salesmart.operators.joins import left_match, left_match_as, repeated_keys
+from salesmart.sinks.staging import stage
 from salesmart.sources.raw import with_sales_times
 
+# A dimension of at most this many rows is broadcast: its keys take some 10 MB.
+SMALL_DIMENSION_ROWS = 1_000_000
+
 # The columns of the fact table.
 FACT_COLUMNS = [
     "SalesID", "SalesPersonID", "CustomerID", "ProductID", "Quantity",
@@ -18,11 +26,41 @@ def fact_sales(sales: DataFrame, products: DataFrame, customers: DataFrame, empl
     """Sales matched to their product, customer and employee.
 
     Every sale is kept. The dimensions are the raw tables, so a key that occurs n
-    times there gives n fact rows. Products and customers add no column; pass
-    ``repeated_keys`` of them in place of the whole tables to get the same rows
-    without shuffling the sales (see ``plans.mart``).
+    times there gives n fact rows.
     """
     matched = left_match(with_sales_times(sales), products, "ProductID")
     matched = left_match(matched, customers, "CustomerID")
     matched = left_match_as(matched, employees, "SalesPersonID", "EmployeeID")
     return matched.select(*FACT_COLUMNS)
+
+
+def fact_sales_of(raw: Mapping[str, DataFrame]) -> DataFrame:
+    """``fact_sales`` of the raw tables, planned by the counted size of the dimensions.
+
+    Counting a Parquet table reads file footers only. A dimension counted as small
+    is broadcast. Larger products and customers, which add no column to the fact,
+    are reduced to the rows whose key repeats and written to the shared folder;
+    the planner sees how little that usually is, and the sales are not shuffled
+    for them. Larger employees are joined whole, by a sort-merge join.
+    """
+    dimensions = {table: raw[table] for table in ("products", "customers", "employees")}
+    rows = _row_counts(dimensions)
+
+    def keys(table: str, key: str, spare: bool) -> DataFrame:
+        dimension = dimensions[table]
+        if rows[table] <= SMALL_DIMENSION_ROWS:
+            return F.broadcast(dimension.select(key))
+        return stage(repeated_keys(dimension, key), f"{table}-keys") if spare else dimension
+
+    return fact_sales(
+        raw["sales"],
+        keys("products", "ProductID", spare=True),
+        keys("customers", "CustomerID", spare=True),
+        keys("employees", "EmployeeID", spare=False),
+    )
+
+
+def _row_counts(tables: Mapping[str, DataFrame]) -> dict[str, int]:
+    """Rows per table, in one job."""
+    counts = [df.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows")) for name, df in tables.items()]
+    return {row["name"]: row["rows"] for row in reduce(DataFrame.unionAll, counts).collect()}

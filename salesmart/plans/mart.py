@@ -9,10 +9,8 @@ from dataclasses import dataclass, field, replace
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.operators.joins import repeated_keys
 from salesmart.plans import dimensions, kpis
-from salesmart.plans.fact import fact_sales
-from salesmart.sinks.staging import stage
+from salesmart.plans.fact import fact_sales_of
 from salesmart.sinks.store import MartStore
 
 Raw = Mapping[str, DataFrame]
@@ -42,16 +40,6 @@ class MartTable:
     by_day: bool = False
 
 
-def _fact(inputs: Inputs) -> DataFrame:
-    raw = inputs.raw
-    return fact_sales(
-        raw["sales"],
-        stage(repeated_keys(raw["products"], "ProductID"), "product-keys"),
-        stage(repeated_keys(raw["customers"], "CustomerID"), "customer-keys"),
-        raw["employees"],
-    )
-
-
 DIMENSION_TABLES = {
     "dim_products": MartTable(lambda i: dimensions.dim_products(i.raw["products"])),
     "dim_customers": MartTable(lambda i: dimensions.dim_customers(i.raw["customers"])),
@@ -61,7 +49,7 @@ DIMENSION_TABLES = {
     "dim_locations": MartTable(lambda i: dimensions.dim_locations(i.raw["cities"], i.raw["countries"])),
 }
 
-FACT_TABLES = {"fact_sales": MartTable(_fact, by_day=True)}
+FACT_TABLES = {"fact_sales": MartTable(lambda i: fact_sales_of(i.raw), by_day=True)}
 
 KPI_TABLES = {
     "kpi_total_sales_by_date": MartTable(

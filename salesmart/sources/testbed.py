@@ -8,9 +8,30 @@ priority have no customer.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The columns used of each test table. Declaring them saves a job per table that infers them.
+TEST_DDL = {
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_returnflag string"
+    ),
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, o_orderpriority string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, value double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+
+def _test_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.schema(TEST_DDL[table]).parquet(f"{sf_dir}/{table}.parquet")
+
 
 def _nanos(timestamp: str) -> Column:
     return F.unix_micros(F.col(timestamp).cast("timestamp")) * F.lit(1000)
@@ -22,8 +43,8 @@ def _brand_number() -> Column:
 
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with their order."""
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    lines = _test_table(spark, sf_dir, "lineitem")
+    orders = _test_table(spark, sf_dir, "orders")
     return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).select(
         F.col("l_orderkey").alias("SalesID"),
         F.when(F.col("l_returnflag") != "R", F.col("l_suppkey") + 1).alias("SalesPersonID"),
@@ -43,7 +64,7 @@ def raw_sales_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     Users stand for both customers and sales people, and every event is its own
     product, so that many sales match no employee or product.
     """
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = _test_table(spark, sf_dir, "events")
     return events.select(
         F.col("event_id").alias("SalesID"),
         F.col("user_id").alias("SalesPersonID"),
@@ -60,7 +81,7 @@ def raw_sales_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts, with a made-up modification date within two years."""
     modified = F.lit(788_918_400) + F.col("p_partkey") % 730 * 86_400  # from 1995-01-01
-    return spark.read.parquet(f"{sf_dir}/part.parquet").select(
+    return _test_table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("ProductID"),
         F.col("p_name").alias("ProductName"),
         F.col("p_retailprice").alias("Price"),
@@ -81,7 +102,7 @@ def raw_products_resent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers."""
-    return spark.read.parquet(f"{sf_dir}/supplier.parquet").select(
+    return _test_table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("EmployeeID"),
         F.col("s_name").alias("FirstName"),
         F.lit("M").alias("MiddleInitial"),
@@ -93,7 +114,7 @@ def raw_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers."""
-    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+    return _test_table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("CustomerID"),
         F.col("c_name").alias("FirstName"),
         F.lit("M").alias("MiddleInitial"),
@@ -105,14 +126,14 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The brand of every part, one row per part: the dimension removes the copies."""
-    return spark.read.parquet(f"{sf_dir}/part.parquet").select(
+    return _test_table(spark, sf_dir, "part").select(
         _brand_number().alias("CategoryID"), F.col("p_brand").alias("CategoryName")
     )
 
 
 def raw_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nations."""
-    return spark.read.parquet(f"{sf_dir}/nation.parquet").select(
+    return _test_table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").cast("bigint").alias("CityID"),
         F.col("n_name").alias("CityName"),
         (F.col("n_nationkey") + 10_000).cast("bigint").alias("Zipcode"),
@@ -122,21 +143,39 @@ def raw_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regions, keyed one higher than the cities refer to them."""
-    return spark.read.parquet(f"{sf_dir}/region.parquet").select(
+    return _test_table(spark, sf_dir, "region").select(
         (F.col("r_regionkey") + 1).cast("bigint").alias("CountryID"),
         F.col("r_name").alias("CountryName"),
         F.substring("r_name", 1, 2).alias("CountryCode"),
     )
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All seven raw tables."""
-    return {
-        "sales": raw_sales(spark, sf_dir),
-        "products": raw_products(spark, sf_dir),
-        "employees": raw_employees(spark, sf_dir),
-        "customers": raw_customers(spark, sf_dir),
-        "categories": raw_categories(spark, sf_dir),
-        "cities": raw_cities(spark, sf_dir),
-        "countries": raw_countries(spark, sf_dir),
-    }
+RAW_BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "sales": raw_sales,
+    "products": raw_products,
+    "employees": raw_employees,
+    "customers": raw_customers,
+    "categories": raw_categories,
+    "cities": raw_cities,
+    "countries": raw_countries,
+}
+
+
+class RawTables(Mapping[str, DataFrame]):
+    """All seven raw tables, each opened on demand; ``others`` replace some of them."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, **others: DataFrame) -> None:
+        self._spark = spark
+        self._sf_dir = sf_dir
+        self._others = others
+
+    def __getitem__(self, table: str) -> DataFrame:
+        if table in self._others:
+            return self._others[table]
+        return RAW_BUILDERS[table](self._spark, self._sf_dir)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(RAW_BUILDERS)
+
+    def __len__(self) -> int:
+        return len(RAW_BUILDERS)

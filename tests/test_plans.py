@@ -53,7 +53,7 @@ def large(settings):
 
 
 def sf_fact(spark, **others):
-    raw = {**testbed.raw_tables(spark, SF), **others}
+    raw = testbed.RawTables(spark, SF, **others)
     return fact_sales(raw["sales"], raw["products"], raw["customers"], raw["employees"])
 
 

@@ -124,7 +124,7 @@ def test_unknown_table(spark, raw, tmp_path):
 
 def test_command_line(spark, tmp_path, capsys):
     raw_folder, mart = f"{tmp_path}/raw", f"{tmp_path}/mart"
-    for name, df in testbed.raw_tables(spark, "/root/testdata/sf0.001").items():
+    for name, df in testbed.RawTables(spark, "/root/testdata/sf0.001").items():
         if name in ("products", "categories"):
             df.write.parquet(f"{raw_folder}/{name}.parquet")
     for task in ("dim_products", "kpi_price_trends"):

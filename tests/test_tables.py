@@ -7,8 +7,8 @@ import pytest
 from salesmart.operators import joins
 from salesmart.operators.aggregates import first_purchases
 from salesmart.operators.joins import repeated_keys, with_first_purchase
-from salesmart.plans import dimensions, kpis
-from salesmart.plans.fact import FACT_COLUMNS, fact_sales
+from salesmart.plans import dimensions, fact as fact_plan, kpis
+from salesmart.plans.fact import FACT_COLUMNS, fact_sales, fact_sales_of
 from tests.frames import customers, employees, facts, nanos, products, sales, table, values
 
 
@@ -176,3 +176,19 @@ def test_first_purchase_labels(spark):
     assert values(labelled.select("CustomerID", "SalesTimestamp", "FirstPurchaseDate", "CustomerType")) == [
         (1, first, first, "New"), (1, second, first, "Repeat"), (1, None, first, "New"), (2, None, None, "New"),
     ]
+
+
+@pytest.mark.parametrize("small_rows", [0, 3, 1_000_000])
+def test_fact_is_the_same_however_large_dimensions_count(spark, monkeypatch, small_rows):
+    monkeypatch.setattr(fact_plan, "SMALL_DIMENSION_ROWS", small_rows)
+    keys = [1, 2, 2, 3, None]
+    raw = {
+        "sales": sales(spark, *[{**SALE, "SalesID": i, "ProductID": p, "CustomerID": c, "SalesPersonID": e}
+                                for i, (p, c, e) in enumerate([(1, 2, 3), (2, 2, 2), (9, 9, 9), (None, None, None)])]),
+        "products": products(spark, *keys),
+        "customers": customers(spark, *keys[:4]),
+        "employees": employees(spark, *keys[:3]),
+    }
+    fact = fact_sales_of(raw)
+    assert values(fact) == values(fact_sales(raw["sales"], raw["products"], raw["customers"], raw["employees"]))
+    assert values(fact.groupBy("SalesID", "EmployeeID").count()) == [(0, None, 2), (1, 2, 8), (2, None, 1), (3, None, 1)]
