@@ -110,6 +110,13 @@ def money(name: str) -> str:
     return f'CAST(sum(CAST("TotalPrice" AS DECIMAL(18,2))) AS DOUBLE) AS "{name}"'
 
 
+def average(amount: str, name: str) -> str:
+    """An average of amounts with two decimals, rounded half up to six places in whole numbers."""
+    hundredths = f"CAST(sum(CAST({amount} AS DECIMAL(18,2)) * 100) AS HUGEINT)"
+    count = f"CAST(count({amount}) AS HUGEINT)"
+    return f'CAST((20000 * {hundredths} + {count}) // (2 * {count}) AS DOUBLE) / 1000000 AS "{name}"'
+
+
 def total_sales(sales: str = SALES, grain: str = "second") -> str:
     return f"""
   SELECT {sold_at(grain)} AS "SalesTimestamp", {money("TotalSales")} FROM ({fact(sales)}) GROUP BY 1"""
@@ -150,7 +157,7 @@ def top_products(sales: str = SALES) -> str:
 
 def avg_order_value(sales: str = SALES) -> str:
     return f"""
-  SELECT round(avg(order_total), 6) AS "avg_order_value"
+  SELECT {average("order_total", "avg_order_value")}
   FROM (SELECT "SalesID", {money("order_total")} FROM ({fact(sales)}) GROUP BY 1)"""
 
 
@@ -160,7 +167,7 @@ def sales_by_employee(sales: str = SALES) -> str:
 
 
 PRICE_TRENDS = f"""
-  SELECT "CategoryID", CAST(month("ModifyTimestamp") AS INTEGER) AS "month", round(avg("Price"), 6) AS "avg_price"
+  SELECT "CategoryID", CAST(month("ModifyTimestamp") AS INTEGER) AS "month", {average('"Price"', "avg_price")}
   FROM (SELECT DISTINCT * FROM ({PRODUCTS})) GROUP BY 1, 2"""
 
 

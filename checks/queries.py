@@ -1,8 +1,9 @@
 """Queries over the test tables, one or more per operator and table of the mart.
 
-Timestamps are returned without a time zone, as the test tables hold them. Sums
-of money are rounded to cents and averages to six places, as the last bits of a
-sum of doubles depend on the order of the rows.
+Timestamps are returned without a time zone, as the test tables hold them. The
+last bits of a sum of doubles depend on the order of the rows, so sums of money
+are rounded to cents. Averages can fall halfway between two roundings; they are
+taken over exact decimals and so come out rounded half up to six places.
 """
 
 from __future__ import annotations
@@ -59,8 +60,17 @@ def mart_store(spark: SparkSession) -> MartStore:
     return MartStore.files(new_folder(spark, "mart"))
 
 
-def rounded(df: DataFrame, column: str, places: int) -> DataFrame:
-    return df.withColumn(column, F.round(column, places))
+def cents(df: DataFrame, column: str) -> DataFrame:
+    return df.withColumn(column, F.round(column, 2))
+
+
+def exact(df: DataFrame, column: str) -> DataFrame:
+    """Amounts as decimals, which add up and average without error."""
+    return df.withColumn(column, F.col(column).cast("decimal(18,2)"))
+
+
+def as_double(df: DataFrame, column: str) -> DataFrame:
+    return df.withColumn(column, F.col(column).cast("double"))
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,10 +183,10 @@ def stored_fact_sales(spark, sf_dir):
 def stored_price_trends(spark, sf_dir):
     """Two tables built by name; the second reads the first back."""
     store = mart_store(spark)
-    raw = testbed.RawTables(spark, sf_dir)
+    raw = testbed.RawTables(spark, sf_dir, products=exact(testbed.raw_products(spark, sf_dir), "Price"))
     for table in ("dim_products", "kpi_price_trends"):
         build_table(spark, table, raw, store)
-    return rounded(store.read(spark, "kpi_price_trends"), "avg_price", 6)
+    return as_double(store.read(spark, "kpi_price_trends"), "avg_price")
 
 
 @query
@@ -310,32 +320,32 @@ def fact_sales_resent_products(spark, sf_dir):
 
 @query
 def kpi_total_sales_by_date(spark, sf_dir):
-    return rounded(kpis.total_sales_by_date(fact(spark, sf_dir)), "TotalSales", 2)
+    return cents(kpis.total_sales_by_date(fact(spark, sf_dir)), "TotalSales")
 
 
 @query
 def kpi_total_sales_by_date_events(spark, sf_dir):
-    return rounded(kpis.total_sales_by_date(fact_of_events(spark, sf_dir)), "TotalSales", 2)
+    return cents(kpis.total_sales_by_date(fact_of_events(spark, sf_dir)), "TotalSales")
 
 
 @query
 def kpi_total_sales_by_date_events_day(spark, sf_dir):
-    return rounded(kpis.total_sales_by_date(fact_of_events(spark, sf_dir), "day"), "TotalSales", 2)
+    return cents(kpis.total_sales_by_date(fact_of_events(spark, sf_dir), "day"), "TotalSales")
 
 
 @query
 def kpi_top_products(spark, sf_dir):
-    return rounded(kpis.top_products(fact(spark, sf_dir)), "Revenue", 2)
+    return cents(kpis.top_products(fact(spark, sf_dir)), "Revenue")
 
 
 @query
 def kpi_top_products_first_10(spark, sf_dir):
-    return rounded(kpis.top_products(fact(spark, sf_dir), 10), "Revenue", 2)
+    return cents(kpis.top_products(fact(spark, sf_dir), 10), "Revenue")
 
 
 @query
 def kpi_avg_order_value(spark, sf_dir):
-    return rounded(kpis.avg_order_value(fact(spark, sf_dir)), "avg_order_value", 6)
+    return as_double(kpis.avg_order_value(exact(fact(spark, sf_dir), "TotalPrice")), "avg_order_value")
 
 
 @query
@@ -360,25 +370,25 @@ def kpi_customer_type_counts_events_day(spark, sf_dir):
 
 @query
 def kpi_price_trends(spark, sf_dir):
-    products = dimensions.dim_products(testbed.raw_products(spark, sf_dir))
-    return rounded(kpis.price_trends(products), "avg_price", 6)
+    products = exact(dimensions.dim_products(testbed.raw_products(spark, sf_dir)), "Price")
+    return as_double(kpis.price_trends(products), "avg_price")
 
 
 @query
 def kpi_sales_by_employee(spark, sf_dir):
-    return rounded(kpis.sales_by_employee(fact(spark, sf_dir)), "employee_sales", 2)
+    return cents(kpis.sales_by_employee(fact(spark, sf_dir)), "employee_sales")
 
 
 @query
 def kpi_employee_daily_sales(spark, sf_dir):
-    return rounded(kpis.employee_daily_sales(fact(spark, sf_dir)), "daily_revenue", 2)
+    return cents(kpis.employee_daily_sales(fact(spark, sf_dir)), "daily_revenue")
 
 
 @query
 def kpi_employee_daily_sales_day(spark, sf_dir):
-    return rounded(kpis.employee_daily_sales(fact(spark, sf_dir), "day"), "daily_revenue", 2)
+    return cents(kpis.employee_daily_sales(fact(spark, sf_dir), "day"), "daily_revenue")
 
 
 @query
 def kpi_employee_daily_sales_events_day(spark, sf_dir):
-    return rounded(kpis.employee_daily_sales(fact_of_events(spark, sf_dir), "day"), "daily_revenue", 2)
+    return cents(kpis.employee_daily_sales(fact_of_events(spark, sf_dir), "day"), "daily_revenue")

@@ -34,10 +34,18 @@ class Inputs:
 
 @dataclass(frozen=True)
 class MartTable:
-    """One mart table: its recipe, and whether it is partitioned by day."""
+    """One mart table: its recipe, and whether it is partitioned by day.
+
+    A table with a row or two per time is not worth partitioning at day grain,
+    where every partition would be a file of two rows.
+    """
 
     build: Callable[[Inputs], DataFrame]
     by_day: bool = False
+    few_rows_per_time: bool = False
+
+    def partitioned(self, grain: str) -> bool:
+        return self.by_day and not (self.few_rows_per_time and grain == "day")
 
 
 DIMENSION_TABLES = {
@@ -53,12 +61,12 @@ FACT_TABLES = {"fact_sales": MartTable(lambda i: fact_sales_of(i.raw), by_day=Tr
 
 KPI_TABLES = {
     "kpi_total_sales_by_date": MartTable(
-        lambda i: kpis.total_sales_by_date(i.stored("fact_sales"), i.grain), by_day=True
+        lambda i: kpis.total_sales_by_date(i.stored("fact_sales"), i.grain), by_day=True, few_rows_per_time=True
     ),
     "kpi_top_products": MartTable(lambda i: kpis.top_products(i.stored("fact_sales"), i.k)),
     "kpi_avg_order_value": MartTable(lambda i: kpis.avg_order_value(i.stored("fact_sales"))),
     "kpi_customer_type_counts": MartTable(
-        lambda i: kpis.customer_type_counts(i.stored("fact_sales"), i.grain), by_day=True
+        lambda i: kpis.customer_type_counts(i.stored("fact_sales"), i.grain), by_day=True, few_rows_per_time=True
     ),
     "kpi_price_trends": MartTable(lambda i: kpis.price_trends(i.stored("dim_products"))),
     "kpi_sales_by_employee": MartTable(lambda i: kpis.sales_by_employee(i.stored("fact_sales"))),
@@ -106,7 +114,7 @@ def _build(name: str, inputs: Inputs) -> None:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}; known: {', '.join(TABLES)}")
     table = TABLES[name]
-    inputs.store.write(table.build(inputs), name, table.by_day)
+    inputs.store.write(table.build(inputs), name, table.partitioned(inputs.grain))
 
 
 def _build_together(names: Iterable[str], inputs: Inputs, concurrent_tables: int) -> None:

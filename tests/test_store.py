@@ -108,10 +108,20 @@ def test_mart_is_complete_consistent_and_repeatable(spark, raw, tmp_path):
     assert contents(spark, one_by_one) == first
 
 
+def test_mart_in_a_database(spark, raw):
+    spark.sql("CREATE DATABASE whole_mart")
+    build_mart(spark, raw, MartStore.database("whole_mart"), grain="day", k=2)
+    assert {table.name for table in spark.catalog.listTables("whole_mart")} == set(TABLES)
+    assert spark.table("whole_mart.kpi_top_products").count() == 2
+    assert spark.table("whole_mart.fact_sales").count() > 61
+
+
 def test_grain_and_k_reach_the_tables(spark, raw, tmp_path):
     store = MartStore.files(str(tmp_path))
-    for name in ("fact_sales", "kpi_total_sales_by_date", "kpi_top_products"):
+    for name in ("fact_sales", "kpi_total_sales_by_date", "kpi_top_products", "kpi_employee_daily_sales"):
         build_table(spark, name, raw, store, grain="day", k=3)
+    partitioned = {path.parent.name for path in tmp_path.glob("*/SalesDay=*")}
+    assert partitioned == {"fact_sales", "kpi_employee_daily_sales"}
     times = store.read(spark, "kpi_total_sales_by_date").select("SalesTimestamp")
     assert times.where("SalesTimestamp != date_trunc('day', SalesTimestamp)").count() == 0
     assert store.read(spark, "kpi_top_products").count() == 3
