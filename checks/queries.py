@@ -340,7 +340,8 @@ def kpi_top_products(spark, sf_dir):
 
 @query
 def kpi_top_products_first_10(spark, sf_dir):
-    return cents(kpis.top_products(fact(spark, sf_dir), 10), "Revenue")
+    """Over exact decimals, so that equal revenues tie."""
+    return as_double(kpis.top_products(exact(fact(spark, sf_dir), "TotalPrice"), 10), "Revenue")
 
 
 @query
