@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from salesmart.functions.labels import customer_type
 
-# Longest array built for one row when copies are written out again.
+# Copies are written out again in blocks of at most this many, spread over this many tasks.
 _COPIES_PER_BLOCK = 100_000
+_BLOCK_TASKS = 64
 
 
 def left_match(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
@@ -42,8 +43,8 @@ def repeated_keys(dimension: DataFrame, key: str) -> DataFrame:
     dimension of billions of rows need not be shuffled against the facts.
 
     Counts are combined before the shuffle, so a key holding a third of the rows
-    is one counter per task. Copies are written out in two steps to keep the
-    arrays short however often a key repeats.
+    is one counter per task. Its copies are written out in blocks by many tasks;
+    the number of tasks is given, as by size they would be merged into one.
     """
     block = F.lit(_COPIES_PER_BLOCK)
     counted = (
@@ -57,7 +58,7 @@ def repeated_keys(dimension: DataFrame, key: str) -> DataFrame:
         "copies",
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.call_function("div", F.col("copies") - 1, block))).alias("part"),
     )
-    return blocks.select(
+    return blocks.repartition(_BLOCK_TASKS, key, "part").select(
         key,
         F.explode(
             F.sequence(F.lit(1).cast("bigint"), F.least(block.cast("bigint"), F.col("copies") - F.col("part") * block))

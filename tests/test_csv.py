@@ -115,3 +115,10 @@ def test_external_tables_over_ingested_files(spark, tmp_path):
     assert [spark.table(name).count() for name in names] == [6, 1, 1, 1, 1, 1, 1]
     at = with_sales_times(spark.table("ingested.sales_ext")).where("SalesID = 1").selectExpr("string(SalesTimestamp)")
     assert at.first()[0] == "2018-02-05 07:38:25"
+
+
+def test_a_header_without_rows(spark, tmp_path):
+    folder = write(tmp_path, categories="CategoryID,CategoryName\n", stores="id,name\n")
+    assert csv_to_parquet(spark, folder) == {"categories": {"rows": 0}, "stores": {"rows": 0}}
+    assert RawFiles(spark, folder)["categories"].count() == 0
+    assert dict(spark.read.parquet(f"{folder}/stores.parquet").dtypes) == {"id": "string", "name": "string"}

@@ -156,3 +156,11 @@ def test_stored_days_are_pruned(spark, tmp_path):
     days = store.read(spark, "fact_sales", keep_day=True).where("SalesDay = DATE '1970-01-03'")
     assert re.search(r"PartitionFilters: \[isnotnull\(SalesDay\), \(SalesDay = 1970-01-03\)\]", plan(days))
     assert [row["SalesID"] for row in days.collect()] == [2]
+
+
+def test_copies_of_a_hot_key_are_written_by_many_tasks(spark):
+    """A key that holds a third of 900,000 rows."""
+    dimension = spark.range(0, 900_000, 1, 8).selectExpr("IF(id % 3 = 0, 7, id) AS ProductID")
+    repeated = repeated_keys(dimension, "ProductID")
+    assert repeated.count() == 300_001
+    assert repeated.select(F.spark_partition_id()).distinct().count() > 1
