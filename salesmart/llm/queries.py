@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import chat, mixing
+from salesmart.llm import chat, mixing, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,3 +94,30 @@ def op8_mixing(spark, sf_dir):
     plan = mixing.mix_plan(table(spark, sf_dir, "documents"))
     taken = mixing.taken_words(F.col("whole"), F.col("part"), F.col("size"))
     return plan.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "source", "whole", "part")
+
+
+# ---- 3: sharding
+
+SHARDS = 40
+
+
+@query
+def op3_sharding(spark, sf_dir):
+    docs = sharding.with_sizes(table(spark, sf_dir, "documents"))
+    dimensions = {
+        "doc_id": F.col("doc_id"),
+        "size": F.col("size"),
+        "source": sharding.text_code(F.col("source")),
+        "lang": sharding.text_code(F.col("lang")),
+    }
+    text_crc32 = F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
+    sharded = sharding.kd_shards(docs.withColumn("text_crc32", text_crc32), dimensions, shards=SHARDS)
+    return sharded.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
