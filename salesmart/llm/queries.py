@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import chat, mixing, sharding
+from salesmart.llm import chat, mixing, packing, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -121,3 +122,19 @@ def op3_sharding(spark, sf_dir):
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+# ---- 1: packing
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """Pieces with a digest of their ids; the vocabulary is the one of byte_bpe_50k.json, as ranks."""
+    pieces = packing.pack_documents(
+        docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    )
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query
+def op1_packing(spark, sf_dir):
+    return packed(table(spark, sf_dir, "documents"))
