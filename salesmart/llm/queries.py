@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import chat, mixing, packing, sharding
+from salesmart.llm import chat, language, mixing, packing, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -138,3 +138,13 @@ def packed(docs: DataFrame) -> DataFrame:
 @query
 def op1_packing(spark, sf_dir):
     return packed(table(spark, sf_dir, "documents"))
+
+
+# ---- 4: language identification
+
+
+@query
+def op4_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    predicted = language.identify(docs, language.train(docs))
+    return predicted.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
