@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import chat, language, mixing, packing, sharding
+from salesmart.llm import chat, language, mixing, packing, sharding, warc
+from salesmart.sinks.staging import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -148,3 +149,23 @@ def op4_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     predicted = language.identify(docs, language.train(docs))
     return predicted.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+# ---- 5: WARC archives
+
+
+@query
+def op5_warc(spark, sf_dir):
+    folder = new_folder(spark, "warc")
+    warc.archive_pages(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op5_warc"] = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+q AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_page FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_page THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_page THEN first_page END AS refers_to
+FROM q"""
