@@ -18,7 +18,6 @@ from __future__ import annotations
 import base64
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -158,7 +157,6 @@ def pack_examples(examples: DataFrame, limits: Limits = Limits(), partitions: in
 _REMEMBERED = 200_000
 
 
-@lru_cache(maxsize=2)
 def _encoder(ranks_path: str, pattern: str):
     import tiktoken
 

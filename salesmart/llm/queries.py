@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import chat, language, mixing, packing, sharding, warc
+from salesmart.llm import caps, chat, language, mixing, packing, sharding, warc
 from salesmart.sinks.staging import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -169,3 +169,11 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND page_id <> first_page THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN payload_bytes >= 100 AND page_id <> first_page THEN first_page END AS refers_to
 FROM q"""
+
+
+# ---- 10: near copies among embeddings
+
+
+@query
+def op10_embedding_near_dedup(spark, sf_dir):
+    return caps.link_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
