@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import caps, chat, language, mixing, packing, sharding, warc
+from salesmart.llm import ann, caps, chat, language, mixing, packing, sharding, warc
 from salesmart.sinks.staging import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -177,3 +177,12 @@ FROM q"""
 @query
 def op10_embedding_near_dedup(spark, sf_dir):
     return caps.link_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+# ---- 9: nearest neighbours
+
+
+@query
+def op9_nearest_neighbours(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(vectors, F.col("vec_id") % 20 == 0)
