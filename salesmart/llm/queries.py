@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import ann, caps, chat, language, mixing, packing, sharding, warc
+from salesmart.llm import ann, caps, chat, language, minhash, mixing, packing, sharding, warc
 from salesmart.sinks.staging import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -186,3 +186,14 @@ def op10_embedding_near_dedup(spark, sf_dir):
 def op9_nearest_neighbours(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return ann.nearest(vectors, F.col("vec_id") % 20 == 0)
+
+
+# ---- 7: near copies among documents
+
+#: The query's shingles are of four words; the operator's own default is five.
+NEAR_COPIES = minhash.NearCopySettings(width=4)
+
+
+@query
+def op7_minhash_near_dedup(spark, sf_dir):
+    return minhash.near_copies(table(spark, sf_dir, "documents").select("doc_id", "text"), NEAR_COPIES)
