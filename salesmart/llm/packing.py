@@ -34,7 +34,7 @@ class Limits:
     tokens: int = 1024
     segments: int = 64
     loss_tokens: int = 1024
-    window: int = 4096
+    window: int = 1024
     shortest_cut: int = 16
 
 
@@ -48,24 +48,24 @@ class Filler:
     def __init__(self, limits: Limits, cut: Callable | None = None):
         self.limits, self.cut = limits, cut
         self.caps = np.array([limits.tokens, limits.segments, limits.loss_tokens], dtype=np.float64)
-        self.demands = np.zeros((2 * limits.window, 3))
-        self.payloads: list = [None] * (2 * limits.window)
-        self.free = list(range(2 * limits.window))[::-1]
+        places = limits.window + 2
+        self.demands = np.zeros((3, places))
+        self.payloads: list = [None] * places
+        self.free = list(range(places))[::-1]
         self.waiting = 0
 
     def add(self, tokens: int, segments: int, loss: int, payload) -> None:
         if tokens > self.limits.tokens or segments > self.limits.segments or loss > self.limits.loss_tokens:
             raise ValueError(f"a piece of {tokens} tokens, {segments} segments, {loss} loss tokens fits no sequence")
         slot = self.free.pop()
-        self.demands[slot] = (tokens, segments, loss)
-        self.demands[slot] /= self.caps
+        self.demands[:, slot] = np.array((tokens, segments, loss)) / self.caps
         self.payloads[slot] = (tokens, segments, loss, payload)
         self.waiting += 1
 
     def _take(self, slot: int):
         piece = self.payloads[slot]
         self.payloads[slot] = None
-        self.demands[slot] = 0
+        self.demands[:, slot] = 0
         self.free.append(slot)
         self.waiting -= 1
         return piece
@@ -75,8 +75,9 @@ class Filler:
         left = np.ones(3)
         used, out = 0, []
         while self.waiting:
-            fits = (self.demands <= left + _ROUNDING).all(axis=1) & (self.demands[:, 0] > 0)
-            scores = np.where(fits, self.demands @ left, -1.0)
+            tokens_, segments_, loss_ = self.demands
+            fits = (tokens_ <= left[0] + _ROUNDING) & (segments_ <= left[1] + _ROUNDING) & (loss_ <= left[2] + _ROUNDING)
+            scores = np.where(fits & (tokens_ > 0), left @ self.demands, -1.0)
             slot = int(scores.argmax())
             room = self.limits.tokens - used
             if scores[slot] < 0:
@@ -91,7 +92,7 @@ class Filler:
         return out
 
     def _take_with(self, slot: int, left: np.ndarray):
-        left -= self.demands[slot]
+        left -= self.demands[:, slot]
         return self._take(slot)
 
     def _cut_to(self, left: np.ndarray, room: int) -> bool:
@@ -99,7 +100,7 @@ class Filler:
         room = min(room, int(left[2] * self.limits.loss_tokens + _ROUNDING))
         if self.cut is None or room < self.limits.shortest_cut or left[1] * self.limits.segments < 1:
             return False
-        slot = int(self.demands[:, 0].argmax())
+        slot = int(self.demands[0].argmax())
         if self.payloads[slot][0] <= room:
             return False
         for part in self.cut(self._take(slot)[3], room):
@@ -153,10 +154,6 @@ def pack_examples(examples: DataFrame, limits: Limits = Limits(), partitions: in
 
 # ---- documents
 
-#: Words whose ids are remembered per task.
-_REMEMBERED = 200_000
-
-
 def _encoder(ranks_path: str, pattern: str):
     import tiktoken
 
@@ -165,25 +162,6 @@ def _encoder(ranks_path: str, pattern: str):
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-class Ids(dict):
-    """Ids of a text's pre-tokens, as little-endian unsigned 32-bit bytes, computed when first met."""
-
-    def __init__(self, ranks_path: str, pattern: str):
-        import regex
-
-        self.encode = _encoder(ranks_path, pattern).encode_ordinary
-        self.split = regex.compile(pattern).findall
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) > _REMEMBERED:
-            self.clear()
-        self[word] = found = np.array(self.encode(word), dtype="<u4").tobytes()
-        return found
-
-    def of(self, text: str) -> bytes:
-        return b"".join([self[word] for word in self.split(text)])
-
-
 def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, limits: Limits = Limits()) -> DataFrame:
     """Token sequences of all documents.
 
@@ -199,7 +177,7 @@ def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, limits: Limit
     rows = docs.select("doc_id", "text").withColumn("part", F.spark_partition_id())
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids = Ids(ranks_path, pattern)
+        encode = _encoder(ranks_path, pattern).encode_ordinary
         part = [0]
 
         def piece(doc_id, start: int, data: bytes, total: int) -> tuple:
@@ -218,7 +196,7 @@ def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, limits: Limit
                 part[0] = int(batch["part"].iloc[0]) if len(batch) else part[0]
                 doc_ids = batch["doc_id"].astype("Int64")
                 for doc_id, text in zip(doc_ids, batch["text"], strict=True):
-                    data = ids.of(text or "") + b"\0\0\0\0"
+                    data = np.array([*encode(text or ""), 0], dtype="<u4").tobytes()
                     total = len(data) // 4
                     for start in range(0, total, limits.tokens):
                         yield piece(doc_id, start, data[4 * start : 4 * (start + limits.tokens)], total)
