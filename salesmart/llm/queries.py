@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import ann, caps, chat, language, minhash, mixing, packing, sharding, warc
+from salesmart.llm import ann, caps, chat, language, minhash, mixing, packing, sharding, toxicity, warc
 from salesmart.sinks.staging import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -197,3 +197,13 @@ NEAR_COPIES = minhash.NearCopySettings(width=4)
 @query
 def op7_minhash_near_dedup(spark, sf_dir):
     return minhash.near_copies(table(spark, sf_dir, "documents").select("doc_id", "text"), NEAR_COPIES)
+
+
+# ---- 2: toxicity
+
+
+@query
+def op2_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, chain).drop("text")

@@ -24,6 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesmart.llm.samples import hash_sample
 from salesmart.sinks.staging import stage
 
 # Fixed values of the formats.
@@ -40,7 +41,7 @@ _STEP = 1 << 16
 
 @dataclass(frozen=True)
 class ArchiveSettings:
-    """The dictionary is trained on at most ``dictionary_pages`` pages, the first ``sample_bytes`` of each."""
+    """The dictionary is trained on about ``dictionary_pages`` pages, never more than twice as many, the first ``sample_bytes`` of each."""
 
     dictionary_bytes: int = 32_768
     dictionary_pages: int = 400
@@ -211,8 +212,12 @@ def mark_revisits(pages: DataFrame, settings: ArchiveSettings = ArchiveSettings(
 
 def train_dictionary(pages: DataFrame, settings: ArchiveSettings = ArchiveSettings()) -> bytes | None:
     """A dictionary for records like those of ``pages``; None if there are too few to learn from."""
-    rows = pages.select("page_id", "url", F.substring("html", 1, settings.sample_bytes).alias("html"))
-    chosen = rows.where("length(html) > 0").orderBy(F.xxhash64("page_id")).limit(settings.dictionary_pages).collect()
+    chosen = (
+        hash_sample(pages, "page_id", settings.dictionary_pages)
+        .where("length(html) > 0")
+        .select("page_id", "url", F.substring("html", 1, settings.sample_bytes).alias("html"))
+        .collect()
+    )
     samples = [build_record(r["page_id"] or 0, r["url"], r["html"].encode(), "0" * 64, None, settings.date) for r in chosen]
     size = min(settings.dictionary_bytes, sum(map(len, samples)) // 10)
     if len(samples) < 20 or size < 1024:
