@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesmart.llm.samples import hash_sample
+from salesmart.llm.samples import capped_sample
 from salesmart.llm.vectors import dimension_of, matrix, usable, vector_key
 from salesmart.sinks.staging import stage
 
@@ -180,7 +180,7 @@ def nearest(vectors: DataFrame, is_query: Column, settings: SearchSettings = Sea
     counts = (entries.count(), asked.count())
     squares = F.aggregate(F.col("embedding").cast("array<double>"), F.lit(0.0), lambda s, x: s + x * x)
     longest = float(np.sqrt(entries.agg(F.max(squares)).first()[0])) * (1 + 1e-9)
-    chosen = hash_sample(entries, "vec_id", settings.sample).select("embedding").collect()
+    chosen = capped_sample(entries, "vec_id", settings.sample).select("embedding").collect()
     sample = lengthened(np.array([r["embedding"] for r in chosen], dtype=np.float64), longest)
     rotations = learn_rotations(sample, settings)
 

@@ -24,6 +24,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salesmart.llm.samples import hash_sample
+from salesmart.sinks.staging import stage
+
 #: A word is a run of letters.
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -42,60 +45,67 @@ class TrainingSettings:
 
 
 class Model:
-    """Log frequencies: words and n-grams to one number per language."""
+    """Log frequencies: one row per word and per n-gram, one column per language."""
 
     def __init__(self, languages: list[str], counts: dict[str, dict[str, Counter]]):
         self.languages = languages
-        self.words = self._log_frequencies({lang: counts[lang]["word"] for lang in languages}, 0.5)
-        self.grams = {
-            n: self._log_frequencies({lang: counts[lang][f"gram{n}"] for lang in languages}, 0.5)
-            for n in range(1, _LONGEST + 1)
-        }
-
-    def _log_frequencies(self, by_language: dict[str, Counter], smoothing: float) -> dict[str, np.ndarray]:
-        totals = {lang: sum(c.values()) for lang, c in by_language.items()}
-        known = set().union(*by_language.values()) if by_language else set()
-        return {
-            item: np.array(
-                [
-                    math.log((by_language[lang].get(item, 0) + smoothing) / (totals[lang] + smoothing * (len(known) + 1)))
-                    for lang in self.languages
-                ]
-            )
-            for item in sorted(known)
-        }
-
-    def word(self, word: str) -> np.ndarray:
-        """Scores of one word, up to a constant."""
-        found = self.words.get(word)
-        return self._backed_off(f"^{word}$", _LONGEST) if found is None else found
-
-    def _backed_off(self, text: str, n: int) -> np.ndarray:
-        """Mean over the n-grams of ``text``; an unseen one counts as its shorter n-grams do."""
-        if n == 0:
-            return np.zeros(len(self.languages))
-        n = min(n, len(text))
-        seen = [self.grams[n].get(text[i : i + n]) for i in range(len(text) - n + 1)]
-        parts = [
-            self._backed_off(text[i : i + n], n - 1) if one is None else one for i, one in enumerate(seen)
-        ]
-        return np.mean(parts, axis=0)
+        self.words, self.word_rows = self._log_frequencies(counts, ["word"])
+        self.grams, self.gram_rows = self._log_frequencies(counts, [f"gram{n}" for n in range(1, _LONGEST + 1)])
+
+    def _log_frequencies(self, counts: dict, kinds: list[str], smoothing: float = 0.5) -> tuple[dict[str, int], np.ndarray]:
+        """Where each item's row is, and the rows."""
+        index: dict[str, int] = {}
+        rows: list[list[float]] = []
+        for kind in kinds:
+            by_language = [counts[lang][kind] for lang in self.languages]
+            known = sorted(set().union(*by_language))
+            totals = [sum(c.values()) + smoothing * (len(known) + 1) for c in by_language]
+            for item in known:
+                index[item] = len(rows)
+                rows.append([math.log((c.get(item, 0) + smoothing) / t) for c, t in zip(by_language, totals, strict=True)])
+        return index, np.array(rows).reshape(len(rows), len(self.languages))
+
+    def backed_off(self, word: str) -> np.ndarray:
+        """Scores of an unseen word: the mean over its n-grams, where an unseen one counts as its shorter n-grams do."""
+        rows: list[int] = []
+        shares: list[float] = []
+
+        def cover(text: str, n: int, share: float) -> None:
+            n = min(n, len(text))
+            count = len(text) - n + 1
+            for i in range(count if n else 0):
+                gram = text[i : i + n]
+                row = self.grams.get(gram)
+                if row is None:
+                    cover(gram, n - 1, share / count)
+                else:
+                    rows.append(row)
+                    shares.append(share / count)
+
+        cover(f"^{word}$", _LONGEST, 1.0)
+        return np.array(shares) @ self.gram_rows[rows] if rows else np.zeros(len(self.languages))
 
     def predict(self, text: str | None, remembered: dict[str, np.ndarray]) -> tuple[str, float]:
         words = Counter(WORD.findall(text.lower())) if text else None
         if not words or not self.languages:
             return UNDETERMINED, 0.0
-        total, size = np.zeros(len(self.languages)), 0
+        rows, row_times, unseen, unseen_times = [], [], [], []
         for word, times in words.items():
-            scores = self.words.get(word)
+            row = self.words.get(word)
+            if row is not None:
+                rows.append(row)
+                row_times.append(times)
+                continue
+            scores = remembered.get(word)
             if scores is None:
-                scores = remembered.get(word)
-                if scores is None:
-                    if len(remembered) > _REMEMBERED:
-                        remembered.clear()
-                    scores = remembered[word] = self.word(word)
-            total += times * scores
-            size += times
+                if len(remembered) > _REMEMBERED:
+                    remembered.clear()
+                scores = remembered[word] = self.backed_off(word)
+            unseen.append(scores)
+            unseen_times.append(times)
+        total = np.array(row_times) @ self.word_rows[rows] if rows else np.zeros(len(self.languages))
+        if unseen:
+            total = total + np.array(unseen_times) @ np.array(unseen)
         best = int(total.argmax())
         shares = np.exp(np.clip(total - total[best], -700, 0))
         return self.languages[best], float(shares[best] / shares.sum())
@@ -110,38 +120,39 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, settings: TrainingSettings = TrainingSettings()) -> Model:
     """A model of the documents that are not held out and have a text and a language.
 
-    The n-grams are taken from each training document's distinct words. Languages are the labels seen. Without any
+    The n-grams are taken from the distinct words of each language. Languages are the labels seen. Without any
     training document the model has no language and predicts none.
     """
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    count = labelled.count()
-    share = min(1.0, settings.max_training_docs / max(1, count))
-    chosen = F.pmod(F.xxhash64(F.lit(settings.seed), "doc_id"), F.lit(1_000_000)) < math.ceil(share * 1_000_000)
 
-    def items(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            counts: dict[tuple[str, str], Counter] = {}
+            counts: dict[str, Counter] = {}
             for lang, text in zip(batch["lang"], batch["text"], strict=True):
-                words = Counter(WORD.findall(text.lower()))
-                counts.setdefault((lang, "word"), Counter()).update(words)
-                for word in words:
-                    ends = f"^{word}$"
-                    for n in range(1, min(_LONGEST, len(ends)) + 1):
-                        counts.setdefault((lang, f"gram{n}"), Counter()).update(
-                            ends[i : i + n] for i in range(len(ends) - n + 1)
-                        )
-            yield pd.DataFrame(
-                [(lang, kind, item, n) for (lang, kind), found in counts.items() for item, n in found.items()],
-                columns=["lang", "kind", "item", "times"],
-            )
-
-    counted = (
-        labelled.where(chosen)
-        .select("lang", "text")
-        .mapInPandas(items, "lang string, kind string, item string, times bigint")
-        .groupBy("lang", "kind", "item")
-        .agg(F.sum("times").alias("times"))
-    )
+                counts.setdefault(lang, Counter()).update(WORD.findall(text.lower()))
+            yield frame((lang, "word", item, n) for lang, found in counts.items() for item, n in found.items())
+
+    def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            counts: dict[str, Counter] = {}
+            for lang, word in zip(batch["lang"], batch["item"], strict=True):
+                ends = f"^{word}$"
+                counts.setdefault(lang, Counter()).update(
+                    ends[i : i + n] for n in range(1, _LONGEST + 1) for i in range(len(ends) - n + 1)
+                )
+            yield frame((lang, f"gram{len(item)}", item, n) for lang, found in counts.items() for item, n in found.items())
+
+    def frame(rows) -> pd.DataFrame:
+        return pd.DataFrame(list(rows), columns=["lang", "kind", "item", "times"])
+
+    schema = "lang string, kind string, item string, times bigint"
+
+    def summed(found: DataFrame) -> DataFrame:
+        return stage(found.groupBy("lang", "kind", "item").agg(F.sum("times").alias("times")), "language-counts")
+
+    chosen = hash_sample(labelled.select("doc_id", "lang", "text"), "doc_id", settings.max_training_docs, settings.seed)
+    word_counts = summed(chosen.select("lang", "text").mapInPandas(words, schema))
+    counted = word_counts.unionByName(summed(word_counts.select("lang", "item").mapInPandas(grams, schema)))
     # The most frequent items of each language and kind, by a threshold on a histogram of counts: no sort, no large group.
     sizes = counted.groupBy("lang", "kind", "times").agg(F.count(F.lit(1)).alias("items")).collect()
     least: dict[tuple[str, str], int] = {}
@@ -157,9 +168,10 @@ def train(docs: DataFrame, settings: TrainingSettings = TrainingSettings()) -> M
     if least:
         limits = F.create_map(*[F.lit(v) for (lang, kind), t in least.items() for v in (f"{lang}\t{kind}", t)])
         enough = F.col("times") >= F.element_at(limits, F.concat_ws("\t", "lang", "kind"))
-        for row in counted.where(enough).collect():
-            kinds = counts.setdefault(row["lang"], {k: Counter() for k in ("word", *(f"gram{n}" for n in range(1, _LONGEST + 1)))})
-            kinds[row["kind"]][row["item"]] = row["times"]
+        found = counted.where(enough).select("lang", "kind", "item", "times").toArrow()
+        for lang, kind, item, times in zip(*(column.to_pylist() for column in found.columns), strict=True):
+            kinds = counts.setdefault(lang, {k: Counter() for k in ("word", *(f"gram{n}" for n in range(1, _LONGEST + 1)))})
+            kinds[kind][item] = times
     return Model(sorted(counts), counts)
 
 

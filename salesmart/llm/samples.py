@@ -11,10 +11,14 @@ _STEPS = 1_000_000_007
 
 
 def hash_sample(df: DataFrame, key: str, size: int, seed: int = 1) -> DataFrame:
-    """About ``size`` rows, chosen by a hash of ``key``; all rows if there are fewer, and never more than twice ``size``.
+    """About ``size`` rows, chosen by a hash of ``key``, which should be near unique; all rows if there are fewer.
 
     Each row decides by itself, so nothing is sorted or gathered to choose.
     """
     share = min(1.0, size / max(1, df.count()))
-    chosen = df.where(F.pmod(F.xxhash64(F.lit(seed), key), F.lit(_STEPS)) < math.ceil(share * _STEPS))
-    return chosen.limit(2 * size)
+    return df.where(F.pmod(F.xxhash64(F.lit(seed), key), F.lit(_STEPS)) < math.ceil(share * _STEPS))
+
+
+def capped_sample(df: DataFrame, key: str, size: int, seed: int = 1) -> DataFrame:
+    """As ``hash_sample``, and never more than twice ``size`` rows, whatever the keys: for what goes to the driver."""
+    return hash_sample(df, key, size, seed).limit(2 * size)

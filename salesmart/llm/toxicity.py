@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.samples import hash_sample
+from salesmart.llm.samples import capped_sample
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -121,7 +121,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: ChainSettings = ChainSet
     categories = settings.categories
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
     chosen = (
-        hash_sample(usable, "doc_id", settings.max_training_docs, settings.seed)
+        capped_sample(usable, "doc_id", settings.max_training_docs, settings.seed)
         .groupBy("doc_id")
         .agg(F.max("toxic").cast("int").alias("toxic"))
     )

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm.samples import hash_sample
+from salesmart.llm.samples import capped_sample
 from salesmart.sinks.staging import stage
 
 # Fixed values of the formats.
@@ -213,7 +213,7 @@ def mark_revisits(pages: DataFrame, settings: ArchiveSettings = ArchiveSettings(
 def train_dictionary(pages: DataFrame, settings: ArchiveSettings = ArchiveSettings()) -> bytes | None:
     """A dictionary for records like those of ``pages``; None if there are too few to learn from."""
     chosen = (
-        hash_sample(pages, "page_id", settings.dictionary_pages)
+        capped_sample(pages, "page_id", settings.dictionary_pages)
         .where("length(html) > 0")
         .select("page_id", "url", F.substring("html", 1, settings.sample_bytes).alias("html"))
         .collect()
