@@ -52,6 +52,12 @@ class Model:
         self.words, self.word_rows = self._log_frequencies(counts, ["word"])
         self.grams, self.gram_rows = self._log_frequencies(counts, [f"gram{n}" for n in range(1, _LONGEST + 1)])
 
+    @classmethod
+    def from_values(cls, values: dict) -> Model:
+        model = cls.__new__(cls)
+        vars(model).update(values)
+        return model
+
     def _log_frequencies(self, counts: dict, kinds: list[str], smoothing: float = 0.5) -> tuple[dict[str, int], np.ndarray]:
         """Where each item's row is, and the rows."""
         index: dict[str, int] = {}
@@ -183,13 +189,15 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     rows are predicted alike. An empty table gives an empty result.
     """
     docs = docs.drop("lang_pred", "score")
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by max_words and max_grams
+    # Plain values, bounded by max_words and max_grams.
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         remembered: dict[str, np.ndarray] = {}
+        known = Model.from_values(shared.value)
         for texts in batches:
-            found = [shared.value.predict(text, remembered) for text in texts]
+            found = [known.predict(text, remembered) for text in texts]
             yield pd.DataFrame(found, columns=["lang_pred", "score"])
 
     return docs.withColumn("lang_found", predict("text")).select(*docs.columns, "lang_found.lang_pred", "lang_found.score")

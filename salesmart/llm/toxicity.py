@@ -189,12 +189,16 @@ def score(docs: DataFrame, chain: Chain) -> DataFrame:
     """
     names = [f"p_{c}" for c in chain.settings.categories]
     docs = docs.drop(*names, "toxic")
-    shared = docs.sparkSession.sparkContext.broadcast(chain)  # at most max_features weights per category
+    # Plain values, at most max_features weights per category.
+    shared = docs.sparkSession.sparkContext.broadcast((chain.index, chain.weights))
+    settings = chain.settings
 
     @F.pandas_udf("array<double>")
     def probabilities(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known = Chain(settings, [])
+        known.index, known.weights = shared.value
         for texts in batches:
-            yield pd.Series([shared.value.predict(text) for text in texts], dtype=object)
+            yield pd.Series([known.predict(text) for text in texts], dtype=object)
 
     scored = docs.withColumn("chain_scores", probabilities("text"))
     values = [F.col("chain_scores")[i].alias(name) for i, name in enumerate(names)]
