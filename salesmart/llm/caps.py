@@ -110,7 +110,7 @@ def with_filters(classes: DataFrame, settings: CapSettings) -> DataFrame:
     size = max(8, int(np.ceil(filters ** (1 / min(settings.blocks, dimension or 1)))))
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        code = ProductCode(dimension, size, settings)
+        code = ProductCode(dimension, size, settings) if dimension else None  # no vectors, no batches
         for batch in batches:
             for at in range(0, len(batch), 2048):
                 part = batch.iloc[at : at + 2048].copy()

@@ -48,17 +48,18 @@ def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
     hashes, starts = word_hashes(texts)
     rolled = hashes.copy()
     for i in range(1, width):
-        rolled[: len(hashes) - i] = rolled[: len(hashes) - i] * _STEPS[(i - 1) % 3] + hashes[i:]
+        ahead = hashes[i:]
+        rolled[: len(ahead)] = rolled[: len(ahead)] * _STEPS[(i - 1) % 3] + ahead
     rolled = mixed(rolled)
     out = []
     for first, last in zip(starts[:-1], starts[1:], strict=True):
         if last - first >= width:
             out.append(np.unique(rolled[first : last - width + 1]))
         elif last > first:
-            whole = hashes[first].copy()
-            for i, other in enumerate(hashes[first + 1 : last]):
-                whole = whole * _STEPS[i % 3] + other
-            out.append(mixed(np.array([whole ^ np.uint64(last - first)], dtype=np.uint64)))
+            whole = hashes[first : first + 1]
+            for i in range(first + 1, last):
+                whole = whole * _STEPS[(i - first - 1) % 3] + hashes[i : i + 1]
+            out.append(mixed(whole ^ np.uint64(last - first)))
         else:
             out.append(np.zeros(0, dtype=np.uint64))
     return out

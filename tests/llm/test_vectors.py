@@ -1,0 +1,104 @@
+"""Neighbours and near copies of vectors, against all pairs."""
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from salesmart.llm import ann, caps
+from salesmart.llm.components import connected_components
+
+SCHEMA = "vec_id bigint, embedding array<float>, label int, n_links string, score string"
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame([(i, v, 1, "clash", "clash") for i, v in rows], SCHEMA)
+
+
+def some(seed, count, dimension=16):
+    values = np.random.default_rng(seed).standard_normal((count, dimension)).astype(np.float32)
+    return [[float(x) for x in v] for v in values]
+
+
+ODD = [(9001, None), (9002, []), (9003, [0.0] * 16), (9004, [float("nan")] + [1.0] * 15), (9005, [None] + [1.0] * 15), (9006, [float("inf")] + [1.0] * 15)]
+
+
+def test_neighbours_against_all_rows(spark):
+    rows = list(enumerate(some(1, 600)))
+    rows += [(700 + i, rows[7][1]) for i in range(40)]  # copies: ties go to the smaller id
+    rows += [(800, [float(np.float32(50 * x)) for x in rows[9][1]])]  # a long vector is near many queries
+    found = ann.nearest(vectors(spark, rows + ODD + [(None, rows[0][1])]), F.col("vec_id") % 20 == 0).toPandas()
+    ids, values = np.array([i for i, _ in rows]), np.array([v for _, v in rows], dtype=np.float64)
+    assert set(found["query_id"]) == {i for i in ids if i % 20 == 0}
+    hits = 0
+    for query, group in found.sort_values("rank").groupby("query_id"):
+        scores = values @ values[ids == query][0]
+        scores[ids == query] = -np.inf
+        assert list(group["rank"]) == list(range(1, 21))
+        assert np.allclose(group["score"], [scores[ids == i][0] for i in group["vec_id"]], rtol=0, atol=1e-9)
+        assert (np.diff(group["score"]) <= 0).all()
+        hits += len(set(group["vec_id"]) & set(ids[np.lexsort((ids, -scores))[:20]]))
+    assert hits >= 0.95 * len(found)
+    of_copy = found[found["query_id"] == 700].sort_values("rank")["vec_id"].tolist()
+    long = [800] if values[ids == 800][0] @ np.array(rows[7][1]) > np.array(rows[7][1]) @ np.array(rows[7][1]) else []
+    assert of_copy[: 10 + len(long)] == [*long, 7, *range(701, 710)]
+
+
+def test_few_vectors_and_none(spark):
+    few = ann.nearest(vectors(spark, list(enumerate(some(2, 5)))), F.lit(True)).toPandas()
+    assert len(few) == 20 and few["rank"].max() == 4
+    assert ann.nearest(vectors(spark, []), F.lit(True)).count() == 0
+    assert ann.nearest(vectors(spark, ODD), F.lit(True)).count() == 0
+
+
+def test_every_code_within_the_radius_is_found():
+    random = np.random.default_rng(3)
+    codes = random.integers(0, 2, (500, 64), dtype=np.uint8)
+    packed = np.packbits(codes, axis=1).view(np.uint16)
+    index = ann.BlockIndex(packed)
+    for q in range(20):
+        distance = (codes != codes[q]).sum(axis=1)
+        found = index.within(packed[q], 40)
+        assert set(found) == set(np.nonzero(distance <= np.sort(distance)[39])[0])
+
+
+def linked(spark, rows, **how):
+    return caps.link_vectors(vectors(spark, rows), caps.CapSettings(**how)).toPandas()
+
+
+def test_links_against_all_pairs(spark):
+    random = np.random.default_rng(4)
+    rows = some(5, 300)
+    for base in range(12):
+        for _ in range(base * 6):
+            rows.append([float(x) for x in (np.array(rows[base]) + random.normal(0, 0.16, 16)).astype(np.float32)])
+    rows += [rows[3]] * 30
+    found = linked(spark, list(enumerate(rows)), block=16).set_index("vec_id").sort_index()
+    values = np.array(rows, dtype=np.float64)
+    values /= np.linalg.norm(values, axis=1, keepdims=True)
+    links = values @ values.T >= 0.95
+    np.fill_diagonal(links, False)
+    assert found["n_links"].sum() >= 0.995 * links.sum()
+    assert (found["n_links"] <= links.sum(axis=1)).all()
+    labels = np.arange(len(rows))
+    for _ in range(len(rows)):
+        labels = np.minimum(labels, np.where(links, labels[None, :], len(rows)).min(axis=1))
+    assert (found["component_id"] == labels).mean() > 0.99
+    assert (found["kept"] == (found["component_id"] == found.index)).all()
+
+
+def test_vectors_that_take_no_part(spark):
+    rows = [*ODD, (1, [1.0] * 16), (2, [1.0] * 16), (2, [1.0] * 16), (None, [1.0] * 16)]
+    found = linked(spark, rows)
+    assert len(found) == len(rows)
+    odd = found[found["vec_id"] > 9000]
+    assert (odd["n_links"] == 0).all() and odd["kept"].all() and (odd["component_id"] == odd["vec_id"]).all()
+    assert found[found["vec_id"] == 2]["n_links"].tolist() == [2, 2]
+    assert not found[found["vec_id"].isna()]["kept"].any()
+    assert len(linked(spark, [])) == 0
+
+
+def test_components_of_chains_and_stars(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(5, 5), (7, 6), (6, 7)]
+    found = connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
+    assert {r["node"]: r["component"] for r in found} == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)}
+    assert len(found) == 71
+    assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
