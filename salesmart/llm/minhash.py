@@ -47,7 +47,7 @@ class NearCopySettings:
 
 
 #: Characters of text handled at once in a task.
-_AT_ONCE = 4_000_000
+_AT_ONCE = 1_500_000
 
 
 def _portions(lengths: list[int]) -> Iterator[slice]:
