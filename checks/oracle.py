@@ -31,6 +31,13 @@ EVENT_SALES = """
          CAST(date_trunc('second', ts) AS TIMESTAMP) AS "SalesTimestamp"
   FROM events"""
 
+UNDATED_SALES = f"""
+  SELECT * REPLACE (
+    CASE WHEN "SalesID" % 10 <> 3 THEN "SalesDate" END AS "SalesDate",
+    CASE WHEN "SalesID" % 10 <> 3 THEN "SalesDateSeconds" END AS "SalesDateSeconds",
+    CASE WHEN "SalesID" % 10 <> 3 THEN "SalesTimestamp" END AS "SalesTimestamp")
+  FROM ({EVENT_SALES})"""
+
 PRODUCTS = """
   SELECT p_partkey AS "ProductID",
          p_name AS "ProductName",
@@ -222,7 +229,29 @@ ORACLE = {
     "csv_ingest_sales": SALES,
     # Text columns have no null in CSV: an empty field is an empty string.
     "csv_ingest_events": f"""SELECT * REPLACE ('' AS "TransactionNumber") FROM ({EVENT_SALES})""",
+    "csv_ingest_untidy": f"""
+  SELECT * REPLACE (
+    CASE WHEN "SalesID" % 5 <> 0 THEN "CustomerID" END AS "CustomerID",
+    'said "' || "SalesID" || '", twice' AS "TransactionNumber",
+    CASE WHEN "SalesID" % 50 <> 7 THEN "SalesDate" END AS "SalesDate",
+    CASE WHEN "SalesID" % 50 <> 7 THEN "SalesDateSeconds" END AS "SalesDateSeconds",
+    CASE WHEN "SalesID" % 50 <> 7 THEN "SalesTimestamp" END AS "SalesTimestamp")
+  FROM ({EVENT_SALES})""",
     "external_tables": row_counts({f"{name}_ext": sql for name, sql in RAW.items()}),
+    "external_sales": SALES,
+    "external_products": PRODUCTS,
+    "stored_kpi_total_sales_by_date": total_sales(UNDATED_SALES),
+    "stored_kpi_customer_type_counts": customer_types(UNDATED_SALES),
+    "stored_kpi_employee_daily_sales": employee_sales(UNDATED_SALES),
+    "stored_dim_dates": DATES.format(sales=UNDATED_SALES),
+    "stored_fact_sales_undated": fact(UNDATED_SALES),
+    "stored_overwrite": f"""SELECT * FROM ({fact()}) WHERE "SalesTimestamp" >= TIMESTAMP '1997-01-01'""",
+    "dim_dates_undated": DATES.format(sales=UNDATED_SALES),
+    "kpi_customer_type_counts_undated": customer_types(UNDATED_SALES),
+    "kpi_customer_type_counts_undated_day": customer_types(UNDATED_SALES, "day"),
+    "kpi_top_products_ranked": f"""
+  SELECT *, CAST(row_number() OVER (ORDER BY "Revenue" DESC NULLS LAST, "ProductID" NULLS LAST) AS INTEGER) AS "place"
+  FROM ({top_products()}) ORDER BY "Revenue" DESC NULLS LAST, "ProductID" NULLS LAST LIMIT 100""",
     "stored_fact_sales": fact(),
     "stored_price_trends": PRICE_TRENDS,
     "mart_table_counts": row_counts(

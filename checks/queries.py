@@ -11,19 +11,19 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from functools import reduce, wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salesmart.operators.aggregates import first_purchases
-from salesmart.operators.joins import left_match, left_match_as, repeated_keys, with_first_purchase
+from salesmart.operators.joins import left_match, left_match_as, left_match_copies, repeated_keys, with_first_purchase
 from salesmart.plans import dimensions, kpis
-from salesmart.plans.fact import fact_sales_of
+from salesmart.plans.fact import build_fact_sales
 from salesmart.plans.mart import TABLES, build_mart, build_table
 from salesmart.sinks.staging import new_folder, stage
 from salesmart.sinks.store import MartStore
-from salesmart.sources import testbed
+from checks import testbed
 from salesmart.sources.catalog import register_external
-from salesmart.sources.csv_ingest import csv_to_parquet
+from salesmart.sources.csv_ingest import CsvOptions, csv_to_parquet
 from salesmart.sources.raw import RawFiles, with_product_times, with_sales_times
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,17 +46,7 @@ def query(function: Query) -> Query:
 
 
 def mart_store(spark: SparkSession) -> MartStore:
-    """A fresh place for mart tables.
-
-    In a local session the day partitions hold a few kilobytes each and the time
-    goes into creating files, so writes are spread over all cores whatever their
-    size, and directories are listed by one task per core.
-    """
-    if spark.sparkContext.master.startswith("local"):
-        cores = str(spark.sparkContext.defaultParallelism)
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionNum", cores)
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1k")
-        spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", cores)
+    """A fresh place for mart tables."""
     return MartStore.files(new_folder(spark, "mart"))
 
 
@@ -74,7 +64,7 @@ def as_double(df: DataFrame, column: str) -> DataFrame:
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fact_sales_of(testbed.RawTables(spark, sf_dir))
+    return build_fact_sales(testbed.RawTables(spark, sf_dir))
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +72,11 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fact_sales_of(testbed.RawTables(spark, sf_dir, sales=events(spark, sf_dir)))
+    return build_fact_sales(testbed.RawTables(spark, sf_dir, sales=events(spark, sf_dir)))
+
+
+def fact_of_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return build_fact_sales(testbed.RawTables(spark, sf_dir, sales=testbed.undated(events(spark, sf_dir))))
 
 
 def written_raw(spark: SparkSession, raw: Mapping[str, DataFrame]) -> str:
@@ -171,6 +165,48 @@ def external_tables(spark, sf_dir):
     return reduce(DataFrame.unionAll, counts)
 
 
+@query
+def csv_ingest_untidy(spark, sf_dir):
+    """Null spellings, quotes and commas in text, zone offsets, and dates too far for nanoseconds, which become null."""
+    sold_at = F.timestamp_micros(F.call_function("div", F.col("SalesDate"), F.lit(1000)))
+    written = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    number = F.col("SalesID")
+    untidy = events(spark, sf_dir).withColumns(
+        {
+            "SalesDate": F.when(number % 50 == 7, "9999-12-31")
+            .when(number % 3 == 1, F.concat(F.date_format(sold_at + F.expr("INTERVAL 2 HOURS"), written), F.lit("+02:00")))
+            .when(number % 3 == 2, F.concat(F.date_format(sold_at, written), F.lit("Z")))
+            .otherwise(F.date_format(sold_at, written)),
+            "CustomerID": F.when(number % 5 == 0, F.element_at(F.array(*map(F.lit, ("NA", "NULL", "n/a"))), (number % 3 + 1).cast("int")))
+            .otherwise(F.col("CustomerID").cast("string")),
+            "TransactionNumber": F.concat(F.lit('said "'), number.cast("string"), F.lit('", twice')),
+        }
+    )
+    folder = new_folder(spark, "csv")
+    untidy.write.option("header", True).option("escape", '"').csv(f"{folder}/sales.csv")
+    csv_to_parquet(spark, folder, options=CsvOptions(strict=False))
+    return with_sales_times(RawFiles(spark, folder)["sales"])
+
+
+def external(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """One of the external tables over written raw tables."""
+    root = written_raw(spark, testbed.RawTables(spark, sf_dir))
+    database = root.rsplit("/", 1)[1].replace("-", "_")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/database'")
+    register_external(spark, root, database)
+    return spark.table(f"{database}.{table}_ext")
+
+
+@query
+def external_sales(spark, sf_dir):
+    return with_sales_times(external(spark, sf_dir, "sales"))
+
+
+@query
+def external_products(spark, sf_dir):
+    return with_product_times(external(spark, sf_dir, "products"))
+
+
 @query
 def stored_fact_sales(spark, sf_dir):
     """Fact partitioned by day, read back."""
@@ -189,6 +225,52 @@ def stored_price_trends(spark, sf_dir):
     return as_double(store.read(spark, "kpi_price_trends"), "avg_price")
 
 
+def whole_mart(spark: SparkSession, sf_dir: str) -> MartStore:
+    """The mart with events as sales, a tenth of them undated, built from written raw tables."""
+    raw = testbed.RawTables(spark, sf_dir, sales=testbed.undated(events(spark, sf_dir)))
+    store = mart_store(spark)
+    build_mart(spark, RawFiles(spark, written_raw(spark, raw)), store)
+    return store
+
+
+@query
+def stored_kpi_total_sales_by_date(spark, sf_dir):
+    return cents(whole_mart(spark, sf_dir).read(spark, "kpi_total_sales_by_date"), "TotalSales")
+
+
+@query
+def stored_kpi_customer_type_counts(spark, sf_dir):
+    return whole_mart(spark, sf_dir).read(spark, "kpi_customer_type_counts")
+
+
+@query
+def stored_kpi_employee_daily_sales(spark, sf_dir):
+    return cents(whole_mart(spark, sf_dir).read(spark, "kpi_employee_daily_sales"), "daily_revenue")
+
+
+@query
+def stored_dim_dates(spark, sf_dir):
+    return whole_mart(spark, sf_dir).read(spark, "dim_dates")
+
+
+@query
+def stored_fact_sales_undated(spark, sf_dir):
+    """A fact with a null day partition, read back."""
+    store = mart_store(spark)
+    store.write(fact_of_undated(spark, sf_dir), "fact_sales", by_day=True)
+    return store.read(spark, "fact_sales")
+
+
+@query
+def stored_overwrite(spark, sf_dir):
+    """The fact, then only its sales of 1997 on: no earlier day is left."""
+    store = mart_store(spark)
+    rows = fact(spark, sf_dir)
+    store.write(rows, "fact_sales", by_day=True)
+    store.write(rows.where("SalesTimestamp >= '1997-01-01'"), "fact_sales", by_day=True)
+    return store.read(spark, "fact_sales")
+
+
 @query
 def mart_table_counts(spark, sf_dir):
     """The whole mart with events as sales, built from written raw tables; rows per table."""
@@ -223,7 +305,7 @@ def sales_left_repeated_products(spark, sf_dir):
     """As before, through the repeated keys only."""
     sales = with_sales_times(testbed.raw_sales(spark, sf_dir))
     repeated = repeated_keys(testbed.raw_products_resent(spark, sf_dir), "ProductID")
-    return left_match(sales, stage(repeated, "product-keys"), "ProductID")
+    return left_match_copies(sales, stage(repeated, "product-keys"), "ProductID")
 
 
 @query
@@ -301,6 +383,11 @@ def dim_dates_events(spark, sf_dir):
     return dimensions.dim_dates(events(spark, sf_dir))
 
 
+@query
+def dim_dates_undated(spark, sf_dir):
+    return dimensions.dim_dates(testbed.undated(events(spark, sf_dir)))
+
+
 # ---- fact
 
 
@@ -312,7 +399,7 @@ def fact_sales_rows(spark, sf_dir):
 @query
 def fact_sales_resent_products(spark, sf_dir):
     products = testbed.raw_products_resent(spark, sf_dir)
-    return fact_sales_of(testbed.RawTables(spark, sf_dir, products=products))
+    return build_fact_sales(testbed.RawTables(spark, sf_dir, products=products))
 
 
 # ---- KPI tables
@@ -344,6 +431,14 @@ def kpi_top_products_first_10(spark, sf_dir):
     return as_double(kpis.top_products(exact(fact(spark, sf_dir), "TotalPrice"), 10), "Revenue")
 
 
+@query
+def kpi_top_products_ranked(spark, sf_dir):
+    """The first hundred in their order, made visible as a rank over the rows kept."""
+    top = kpis.top_products(exact(fact(spark, sf_dir), "TotalPrice"), 100)
+    ranked = top.withColumn("place", F.row_number().over(Window.orderBy(F.desc_nulls_last("Revenue"), F.asc_nulls_last("ProductID"))))
+    return as_double(ranked, "Revenue")
+
+
 @query
 def kpi_avg_order_value(spark, sf_dir):
     return as_double(kpis.avg_order_value(exact(fact(spark, sf_dir), "TotalPrice")), "avg_order_value")
@@ -393,3 +488,14 @@ def kpi_employee_daily_sales_day(spark, sf_dir):
 @query
 def kpi_employee_daily_sales_events_day(spark, sf_dir):
     return cents(kpis.employee_daily_sales(fact_of_events(spark, sf_dir), "day"), "daily_revenue")
+
+
+@query
+def kpi_customer_type_counts_undated(spark, sf_dir):
+    """Undated sales are "New" ones without a time."""
+    return kpis.customer_type_counts(fact_of_undated(spark, sf_dir))
+
+
+@query
+def kpi_customer_type_counts_undated_day(spark, sf_dir):
+    return kpis.customer_type_counts(fact_of_undated(spark, sf_dir), "day")

@@ -41,6 +41,11 @@ def _brand_number() -> Column:
     return F.regexp_extract("p_brand", "([0-9]+)$", 1).cast("bigint")
 
 
+def undated(sales: DataFrame) -> DataFrame:
+    """Sales of which those whose number ends with 3 have no date."""
+    return sales.withColumn("SalesDate", F.when(F.col("SalesID") % 10 != 3, F.col("SalesDate")))
+
+
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with their order."""
     lines = _test_table(spark, sf_dir, "lineitem")

@@ -15,9 +15,8 @@ from pyspark.sql import functions as F
 
 from salesmart.functions.labels import customer_type
 
-# Copies are written out again in blocks of at most this many, spread over this many tasks.
-_COPIES_PER_BLOCK = 100_000
-_BLOCK_TASKS = 64
+# A row is copied in two steps, so that no step makes an array longer than this.
+_COPIES_AT_ONCE = 10_000
 
 
 def left_match(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
@@ -36,34 +35,32 @@ def left_match_as(facts: DataFrame, dimension: DataFrame, fact_key: str, key: st
 
 
 def repeated_keys(dimension: DataFrame, key: str) -> DataFrame:
-    """The key column of those dimension rows whose key occurs more than once.
+    """The keys that occur more than once, with ``copies``: how often.
 
-    For ``left_match`` this stands in for the whole dimension: a key held once or
+    For ``left_match_copies`` this stands in for the whole dimension: a key held once or
     never leaves a fact row alone either way. It is normally empty, so a
     dimension of billions of rows need not be shuffled against the facts.
-
-    Counts are combined before the shuffle, so a key holding a third of the rows
-    is one counter per task. Its copies are written out in blocks by many tasks;
-    the number of tasks is given, as by size they would be merged into one.
+    Counts are combined before the shuffle, so a key holding a third of the rows is one counter per task.
     """
-    block = F.lit(_COPIES_PER_BLOCK)
-    counted = (
+    return (
         dimension.where(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("copies"))
         .where(F.col("copies") > 1)
     )
-    blocks = counted.select(
-        key,
-        "copies",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.call_function("div", F.col("copies") - 1, block))).alias("part"),
+
+
+def left_match_copies(facts: DataFrame, repeated: DataFrame, key: str) -> DataFrame:
+    """``left_match`` with the ``repeated_keys`` of a dimension: each fact row as often as its key occurs."""
+    at_once = F.lit(_COPIES_AT_ONCE).cast("bigint")
+    blocks = F.sequence(F.lit(0).cast("bigint"), F.call_function("div", F.coalesce("copies", F.lit(1)) - 1, at_once))
+    in_block = F.least(at_once, F.coalesce("copies", F.lit(1)) - F.col("copy_block") * at_once)
+    return (
+        facts.join(repeated, key, "left")
+        .withColumn("copy_block", F.explode(blocks))
+        .withColumn("copy_number", F.explode(F.sequence(F.lit(1).cast("bigint"), in_block)))
+        .select(*facts.columns)
     )
-    return blocks.repartition(_BLOCK_TASKS, key, "part").select(
-        key,
-        F.explode(
-            F.sequence(F.lit(1).cast("bigint"), F.least(block.cast("bigint"), F.col("copies") - F.col("part") * block))
-        ).alias("copy"),
-    ).select(key)
 
 
 def with_first_purchase(facts: DataFrame, first_purchases: DataFrame) -> DataFrame:

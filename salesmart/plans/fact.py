@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from functools import reduce
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from salesmart.operators.joins import left_match, left_match_as, repeated_keys
+from salesmart.operators.joins import left_match, left_match_as, left_match_copies, repeated_keys
 from salesmart.sinks.staging import stage
 from salesmart.sources.raw import with_sales_times
 
-# A dimension of at most this many rows is broadcast: its keys take some 10 MB.
-SMALL_DIMENSION_ROWS = 1_000_000
+Stage = Callable[[DataFrame, str], DataFrame]
 
 # The columns of the fact table.
 FACT_COLUMNS = [
@@ -34,33 +31,15 @@ def fact_sales(sales: DataFrame, products: DataFrame, customers: DataFrame, empl
     return matched.select(*FACT_COLUMNS)
 
 
-def fact_sales_of(raw: Mapping[str, DataFrame]) -> DataFrame:
-    """``fact_sales`` of the raw tables, planned by the counted size of the dimensions.
+def build_fact_sales(raw: Mapping[str, DataFrame], stage: Stage = stage) -> DataFrame:
+    """``fact_sales`` of the raw tables, with two small tables written first.
 
-    Counting a Parquet table reads file footers only. A dimension counted as small
-    is broadcast. Larger products and customers, which add no column to the fact,
-    are reduced to the rows whose key repeats and written to the shared folder;
-    the planner sees how little that usually is, and the sales are not shuffled
-    for them. Larger employees are joined whole, by a sort-merge join.
+    Products and customers add no column to the fact; only the number of rows per key matters. So each is
+    reduced to the keys that repeat, normally none, with their counts, and written to the shared folder. The planner
+    sees how small that is and broadcasts it or not by its own threshold; the sales are not shuffled for it.
+    Employees are joined whole.
     """
-    dimensions = {table: raw[table] for table in ("products", "customers", "employees")}
-    rows = _row_counts(dimensions)
-
-    def keys(table: str, key: str, spare: bool) -> DataFrame:
-        dimension = dimensions[table]
-        if rows[table] <= SMALL_DIMENSION_ROWS:
-            return F.broadcast(dimension.select(key))
-        return stage(repeated_keys(dimension, key), f"{table}-keys") if spare else dimension
-
-    return fact_sales(
-        raw["sales"],
-        keys("products", "ProductID", spare=True),
-        keys("customers", "CustomerID", spare=True),
-        keys("employees", "EmployeeID", spare=False),
-    )
-
-
-def _row_counts(tables: Mapping[str, DataFrame]) -> dict[str, int]:
-    """Rows per table, in one job."""
-    counts = [df.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows")) for name, df in tables.items()]
-    return {row["name"]: row["rows"] for row in reduce(DataFrame.unionAll, counts).collect()}
+    sales = with_sales_times(raw["sales"])
+    for table, key in (("products", "ProductID"), ("customers", "CustomerID")):
+        sales = left_match_copies(sales, stage(repeated_keys(raw[table], key), f"{table}-keys"), key)
+    return left_match_as(sales, raw["employees"], "SalesPersonID", "EmployeeID").select(*FACT_COLUMNS)

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field, replace
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from salesmart.plans import dimensions, kpis
-from salesmart.plans.fact import fact_sales_of
+from salesmart.plans.fact import Stage, build_fact_sales
+from salesmart.sinks import staging
 from salesmart.sinks.store import MartStore
 
 Raw = Mapping[str, DataFrame]
@@ -26,6 +27,7 @@ class Inputs:
     grain: str = "second"
     k: int | None = None
     opened: Mapping[str, DataFrame] = field(default_factory=dict)
+    stage: Stage = staging.stage
 
     def stored(self, table: str) -> DataFrame:
         """A mart table built earlier; one that is already open is not listed again."""
@@ -57,7 +59,7 @@ DIMENSION_TABLES = {
     "dim_locations": MartTable(lambda i: dimensions.dim_locations(i.raw["cities"], i.raw["countries"])),
 }
 
-FACT_TABLES = {"fact_sales": MartTable(lambda i: fact_sales_of(i.raw), by_day=True)}
+FACT_TABLES = {"fact_sales": MartTable(lambda i: build_fact_sales(i.raw, i.stage), by_day=True)}
 
 KPI_TABLES = {
     "kpi_total_sales_by_date": MartTable(
@@ -114,11 +116,18 @@ def _build(name: str, inputs: Inputs) -> None:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}; known: {', '.join(TABLES)}")
     table = TABLES[name]
-    inputs.store.write(table.build(inputs), name, table.partitioned(inputs.grain))
+    area = staging.Area(inputs.spark)
+    try:
+        inputs.store.write(table.build(replace(inputs, stage=area.stage)), name, table.partitioned(inputs.grain))
+    finally:
+        area.remove()
 
 
 def _build_together(names: Iterable[str], inputs: Inputs, concurrent_tables: int) -> None:
     run = inheritable_thread_target(inputs.spark)(_build)
     with ThreadPoolExecutor(max_workers=concurrent_tables) as pool:
-        for done in [pool.submit(run, name, inputs) for name in names]:
-            done.result()
+        jobs = [pool.submit(run, name, inputs) for name in names]
+        for done in wait(jobs, return_when=FIRST_EXCEPTION).done:
+            if done.exception():
+                pool.shutdown(wait=False, cancel_futures=True)
+                raise done.exception()

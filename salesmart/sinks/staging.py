@@ -8,14 +8,16 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from salesmart.sinks.files import remove_folder
+
 
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session.
 
-    Where it is unset, a local session gets one temporary folder; on a cluster
-    that would be private to one machine, so it is an error.
+    Where it is unset, the folder given to ``SparkContext.setCheckpointDir`` is used. Without either, a local
+    session gets one temporary folder; on a cluster that would be private to one machine, so it is an error.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
@@ -33,12 +35,33 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+class Area:
+    """Intermediate tables of one job, removed together."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._spark = spark
+        self._folder = new_folder(spark, "area")
+        self._used = False
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        """As the function ``stage``, within this area."""
+        self._used = True
+        return _written(df, f"{self._folder}/{name}")
+
+    def remove(self) -> None:
+        if self._used:
+            remove_folder(self._spark, self._folder)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and return a scan of it.
 
     Later stages no longer depend on how ``df`` was made, and the planner sees its
     real size, so that a small result is broadcast and a large one is not.
     """
-    path = new_folder(df.sparkSession, name)
+    return _written(df, new_folder(df.sparkSession, name))
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

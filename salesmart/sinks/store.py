@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesmart.sinks.files import replace_folder
+
 DAY_COLUMN = "SalesDay"
 
 
@@ -54,7 +56,10 @@ class MartStore:
         return cls(dataset, False, format, dict(options or {}), name_option, dict(day_options or {}))
 
     def write(self, df: DataFrame, table: str, by_day: bool = False) -> None:
-        """Replace ``table`` with ``df``."""
+        """Replace ``table`` with ``df``, all days of it whatever the session's overwrite mode.
+
+        A folder is replaced after the write has succeeded, so that a failed job keeps the old table.
+        """
         own_partitions = by_day and self.name_option is None
         if own_partitions:
             df = partitioned_by_day(df)
@@ -62,14 +67,14 @@ class MartStore:
             df = df.hint("rebalance")
         writer = df.write.mode("overwrite").format(self.format).options(**self.options)
         if own_partitions:
-            writer = writer.partitionBy(DAY_COLUMN)
+            writer = writer.partitionBy(DAY_COLUMN).option("partitionOverwriteMode", "static")
         if self.catalog:
             writer.saveAsTable(self._name(table))
         elif self.name_option:
             day_options = self.day_options if by_day else {}
             writer.options(**day_options).option(self.name_option, self._name(table)).save()
         else:
-            writer.save(self._name(table))
+            replace_folder(df.sparkSession, self._name(table), writer.save)
 
     def read(self, spark: SparkSession, table: str, keep_day: bool = False) -> DataFrame:
         """The stored table."""

@@ -7,10 +7,16 @@ a type inferred from all its values.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from salesmart.sinks.files import replace_folder
 from salesmart.sources.schemas import NANO_COLUMNS, RAW_DDL, raw_schema
 
 # Spellings that stand for null in columns that are not text.
@@ -32,9 +38,9 @@ PARSERS = {
     "double": "IF({text} RLIKE '[0-9.][dDfF]$', NULL, try_cast({text} AS double))",
     "nanos": (
         "coalesce(try_cast({text} AS bigint), IF({text} RLIKE '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}',"
-        " unix_micros(coalesce(try_cast({text} || 'Z' AS timestamp), try_cast({text} || ' 00:00:00Z' AS timestamp),"
-        " IF({text} RLIKE '(Z|[+-][0-9]{{2}}:?[0-9]{{2}})$', try_cast({text} AS timestamp), NULL))) * 1000"
-        " + CAST(rpad(regexp_extract({text}, '[.][0-9]{{6}}([0-9]{{1,3}})', 1), 3, '0') AS bigint), NULL))"
+        " try_add(try_multiply(unix_micros(coalesce(try_cast({text} || 'Z' AS timestamp), try_cast({text} || ' 00:00:00Z' AS timestamp),"
+        " IF({text} RLIKE '(Z|[+-][0-9]{{2}}:?[0-9]{{2}})$', try_cast({text} AS timestamp), NULL))), 1000),"
+        " CAST(rpad(regexp_extract({text}, '[.][0-9]{{6}}([0-9]{{1,3}})', 1), 3, '0') AS bigint)), NULL))"
     ),
 }
 
@@ -59,27 +65,51 @@ def csv_tables(spark: SparkSession, folder: str) -> dict[str, str]:
     return {row["name"]: f"{folder}/{row['name']}.csv" for row in names.orderBy("name").collect()}
 
 
+@dataclass(frozen=True)
+class CsvOptions:
+    """``strict``: the first misfit or malformed row fails the job, and so does a declared column that the header lacks.
+    Without it misfits become null and are counted. ``allow_absent``: such columns read as null, also when strict.
+    ``multiline``: quoted values may hold line breaks; files are then not split, so only small ones should need it.
+    ``types``: per table, types of columns that are not declared (``bigint``, ``boolean``, ``date``, ``timestamp_ntz``,
+    ``double``, ``nanos`` or ``string``), which saves the pass that infers them."""
+
+    strict: bool = True
+    allow_absent: bool = False
+    multiline: bool = False
+    types: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
+    concurrent_tables: int = 4
+
+
 def csv_to_parquet(
-    spark: SparkSession, folder: str, target: str | None = None, strict: bool = True
+    spark: SparkSession, folder: str, target: str | None = None, options: CsvOptions = CsvOptions()
 ) -> dict[str, dict[str, int]]:
     """Convert every ``<table>.csv`` in ``folder`` to ``<table>.parquet`` beside it or in ``target``.
 
     Returns, per table, the rows written and the values that did not fit, counted
-    during the write. With ``strict`` the first misfit or malformed row fails the
-    job; without it a misfit becomes null and is counted under its column name,
-    and a row with too few or too many fields is counted as ``malformed``.
+    during the write: without ``strict`` a misfit is counted under its column name, a row with too few or too
+    many fields as ``malformed``, and declared columns that the header lacks as ``absent``. A table that fails
+    keeps its former Parquet folder. All part files of a table must have the same header.
     """
     target = (target or folder).rstrip("/")
-    return {
-        table: convert_csv(spark, table, path, f"{target}/{table}.parquet", strict)
-        for table, path in csv_tables(spark, folder).items()
-    }
-
-
-def convert_csv(spark: SparkSession, table: str, path: str, target: str, strict: bool = True) -> dict[str, int]:
+    tables = csv_tables(spark, folder)
+    run = inheritable_thread_target(spark)(convert_csv)
+    with ThreadPoolExecutor(max_workers=options.concurrent_tables) as pool:
+        jobs = [
+            pool.submit(run, spark, table, path, f"{target}/{table}.parquet", options) for table, path in tables.items()
+        ]
+        return {table: job.result() for table, job in zip(tables, jobs, strict=True)}
+
+
+def convert_csv(
+    spark: SparkSession, table: str, path: str, target: str, options: CsvOptions = CsvOptions()
+) -> dict[str, int]:
     """Convert one CSV table. See ``csv_to_parquet``."""
-    header, text = _read_text(spark, path, strict)
-    columns = _columns(table, header, text)
+    strict = options.strict
+    header, text = _read_text(spark, path, options)
+    absent = _absent(table, header)
+    if absent and strict and not options.allow_absent:
+        raise ValueError(f"{table}: the header lacks {', '.join(absent)}")
+    columns = _columns(table, header, text, options.types.get(table, {}))
     typed = {i: name for i, (name, kind) in enumerate(columns) if kind != "string"}
 
     # Each value is parsed once, beside its text; a misfit has text but no value.
@@ -92,9 +122,8 @@ def convert_csv(spark: SparkSession, table: str, path: str, target: str, strict:
         F.expr(f"count({_MALFORMED})").alias("malformed"),
         *[F.expr(f"count_if(c{i} IS NOT NULL AND v{i} IS NULL)").alias(f"bad{i}") for i in typed],
     )
-    counted.selectExpr(*[_output(table, i, name, i in typed, strict) for i, (name, _) in enumerate(columns)]).write.mode(
-        "overwrite"
-    ).parquet(target)
+    made = counted.selectExpr(*[_output(table, i, name, i in typed, strict) for i, (name, _) in enumerate(columns)])
+    replace_folder(spark, target, made.write.parquet)
 
     found = counts.get
     if strict:
@@ -102,19 +131,26 @@ def convert_csv(spark: SparkSession, table: str, path: str, target: str, strict:
     return {
         "rows": found["rows"],
         "malformed": found["malformed"],
+        **({"absent": len(absent)} if absent else {}),
         **{name: found[f"bad{i}"] for i, name in typed.items()},
     }
 
 
-def _read_text(spark: SparkSession, path: str, strict: bool) -> tuple[list[str], DataFrame]:
+def _absent(table: str, header: list[str]) -> list[str]:
+    """Declared columns of the table that are not in the header."""
+    given = {name.lower() for name in header}
+    return [f.name for f in raw_schema(table) if f.name.lower() not in given] if table in RAW_DDL else []
+
+
+def _read_text(spark: SparkSession, path: str, options: CsvOptions) -> tuple[list[str], DataFrame]:
     """The header, and all columns as text named c0, c1, …; empty fields are null."""
-    header = spark.read.option("header", True).option("escape", '"').csv(path).columns
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", options.multiline)
+    header = reader.csv(path).columns
     fields = [StructField(name, StringType()) for name in [*header, _MALFORMED]]
     text = (
-        spark.read.option("header", True)
-        .option("escape", '"')
+        reader.option("enforceSchema", False)  # compares every file's header
         .option("emptyValue", "")
-        .option("mode", "FAILFAST" if strict else "PERMISSIVE")
+        .option("mode", "FAILFAST" if options.strict else "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _MALFORMED)
         .schema(StructType(fields))
         .csv(path)
@@ -122,12 +158,12 @@ def _read_text(spark: SparkSession, path: str, strict: bool) -> tuple[list[str],
     return header, text.toDF(*[f"c{i}" for i in range(len(header))], _MALFORMED)
 
 
-def _columns(table: str, header: list[str], text: DataFrame) -> list[tuple[str, str]]:
+def _columns(table: str, header: list[str], text: DataFrame, given: Mapping[str, str]) -> list[tuple[str, str]]:
     """Name and type of every column. Declared names win over the header's case."""
-    known = {}
+    known = {name.lower(): (name, kind) for name, kind in given.items()}
     if table in RAW_DDL:
         nanos = NANO_COLUMNS.get(table, set())
-        known = {
+        known |= {
             field.name.lower(): (field.name, "nanos" if field.name in nanos else field.dataType.simpleString())
             for field in raw_schema(table)
         }

@@ -7,6 +7,7 @@ from collections.abc import Iterator, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from salesmart.functions.times import epoch_seconds, epoch_timestamp
+from salesmart.sinks.files import has_data
 from salesmart.sources.schemas import RAW_TABLES, raw_schema
 
 
@@ -14,8 +15,11 @@ def read_raw(spark: SparkSession, table: str, path: str) -> DataFrame:
     """Scan one raw Parquet table with its declared schema.
 
     Columns match by name in any case, a declared column missing from the file
-    reads as null, and undeclared columns are never read.
+    reads as null, and undeclared columns are never read. A folder without a data file is an
+    error: it is what a failed job leaves, not an empty table.
     """
+    if not has_data(spark, path):
+        raise FileNotFoundError(f"{path} holds no data file")
     return spark.read.schema(raw_schema(table)).parquet(path)
 
 

@@ -1,6 +1,6 @@
 import pytest
 
-from salesmart.sources.csv_ingest import csv_tables, csv_to_parquet
+from salesmart.sources.csv_ingest import CsvOptions, csv_tables, csv_to_parquet
 from salesmart.sources.raw import RawFiles, with_sales_times
 from salesmart.sources.catalog import register_external
 from tests.frames import nanos, values
@@ -38,7 +38,7 @@ def test_declared_table(spark, tmp_path):
 def test_dates_do_not_depend_on_the_session_zone(spark, tmp_path, settings):
     settings(spark__sql__session__timeZone="America/New_York")
     folder = write(tmp_path, sales="SalesID,SalesDate\n1,2017-11-05 01:30:00\n2,2018-03-11 02:30:00\n")
-    csv_to_parquet(spark, folder)
+    csv_to_parquet(spark, folder, options=CsvOptions(allow_absent=True))
     sales = RawFiles(spark, folder)["sales"].select("SalesDate")
     assert values(sales) == [(nanos("2017-11-05 01:30:00"),), (nanos("2018-03-11 02:30:00"),)]
 
@@ -55,7 +55,7 @@ def test_other_columns_and_tables_are_kept_with_inferred_types(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     (tmp_path / "sub" / "deep.csv").write_text("not\na table")
     target = str(tmp_path / "out")
-    assert csv_to_parquet(spark, folder, target) == {"employees": {"rows": 1}, "stores": {"rows": 2}}
+    assert csv_to_parquet(spark, folder, target, CsvOptions(allow_absent=True)) == {"employees": {"rows": 1}, "stores": {"rows": 2}}
 
     stores = spark.read.parquet(f"{target}/stores.parquet")
     assert dict(stores.dtypes) == {
@@ -73,7 +73,7 @@ def test_bad_values_fail_or_are_counted(spark, tmp_path):
     folder = write(tmp_path, categories="CategoryID,CategoryName\n1,a\nten,b\n3.5,c\n")
     with pytest.raises(Exception, match="categories.CategoryID: bad value"):
         csv_to_parquet(spark, folder)
-    counts = csv_to_parquet(spark, folder, strict=False)
+    counts = csv_to_parquet(spark, folder, options=CsvOptions(strict=False))
     assert counts == {"categories": {"rows": 3, "malformed": 0, "CategoryID": 2}}
     assert values(RawFiles(spark, folder)["categories"]) == [(1, "a"), (None, "b"), (None, "c")]
 
@@ -82,7 +82,7 @@ def test_malformed_rows_fail_or_are_counted(spark, tmp_path):
     folder = write(tmp_path, categories="CategoryID,CategoryName\n1,a\n2\n3,c,d\n")
     with pytest.raises(Exception, match="MALFORMED_RECORD"):
         csv_to_parquet(spark, folder)
-    assert csv_to_parquet(spark, folder, strict=False)["categories"]["malformed"] == 2
+    assert csv_to_parquet(spark, folder, options=CsvOptions(strict=False))["categories"]["malformed"] == 2
 
 
 def test_a_table_may_be_a_directory_of_part_files(spark, tmp_path):
@@ -104,7 +104,7 @@ def test_external_tables_over_ingested_files(spark, tmp_path):
         "countries": "CountryID,CountryName,CountryCode\n47,Norway,NO\n",
     }
     folder = write(tmp_path, **texts)
-    csv_to_parquet(spark, folder)
+    csv_to_parquet(spark, folder, options=CsvOptions(allow_absent=True))
     spark.sql("CREATE DATABASE ingested")
     names = register_external(spark, folder, "ingested")
     assert names == register_external(spark, folder, "ingested")
@@ -122,3 +122,57 @@ def test_a_header_without_rows(spark, tmp_path):
     assert csv_to_parquet(spark, folder) == {"categories": {"rows": 0}, "stores": {"rows": 0}}
     assert RawFiles(spark, folder)["categories"].count() == 0
     assert dict(spark.read.parquet(f"{folder}/stores.parquet").dtypes) == {"id": "string", "name": "string"}
+
+
+def test_a_failed_conversion_keeps_the_good_table(spark, tmp_path):
+    folder = write(tmp_path, categories="CategoryID,CategoryName\n1,a\n")
+    csv_to_parquet(spark, folder)
+    write(tmp_path, categories="CategoryID,CategoryName\nten,b\n")
+    with pytest.raises(Exception, match="bad value"):
+        csv_to_parquet(spark, folder)
+    assert values(RawFiles(spark, folder)["categories"]) == [(1, "a")]
+    assert not [path for path in tmp_path.iterdir() if path.name.startswith("_")]
+
+
+def test_a_table_without_data_files_is_refused(spark, tmp_path):
+    (tmp_path / "categories.parquet").mkdir()
+    with pytest.raises(FileNotFoundError, match="no data file"):
+        RawFiles(spark, str(tmp_path))["categories"]
+
+
+def test_part_files_with_other_headers_fail(spark, tmp_path):
+    (tmp_path / "countries.csv").mkdir()
+    write(tmp_path / "countries.csv", a="CountryID,CountryName,CountryCode\n47,Norway,NO\n", b="CountryID,CountryCode,CountryName\n46,SE,Sweden\n")
+    for strict in (True, False):
+        with pytest.raises(Exception, match="CSV header does not conform"):
+            csv_to_parquet(spark, str(tmp_path), options=CsvOptions(strict=strict))
+
+
+def test_absent_columns_fail_or_are_counted(spark, tmp_path):
+    folder = write(tmp_path, categories="CategoryId ,CategoryNm\n1,a\n")
+    with pytest.raises(ValueError, match="lacks CategoryID, CategoryName"):
+        csv_to_parquet(spark, folder)
+    assert csv_to_parquet(spark, folder, options=CsvOptions(strict=False))["categories"]["absent"] == 2
+
+
+def test_far_dates_are_misfits(spark, tmp_path):
+    folder = write(tmp_path, sales="SalesID,SalesDate\n1,9999-12-31\n2,2018-01-01\n")
+    counts = csv_to_parquet(spark, folder, options=CsvOptions(strict=False))
+    assert counts["sales"]["SalesDate"] == 1 and counts["sales"]["rows"] == 2
+    with pytest.raises(Exception, match="bad value"):
+        csv_to_parquet(spark, folder, options=CsvOptions(allow_absent=True))
+
+
+def test_line_breaks_and_given_types(spark, tmp_path):
+    folder = write(tmp_path, categories='CategoryID,CategoryName\n1,"a\nb"\n', stores="id,size\n1,007\n")
+    options = CsvOptions(multiline=True, types={"stores": {"id": "double", "size": "string"}})
+    csv_to_parquet(spark, folder, options=options)
+    assert values(RawFiles(spark, folder)["categories"]) == [(1, "a\nb")]
+    assert values(spark.read.parquet(f"{folder}/stores.parquet")) == [(1.0, "007")]
+
+
+def test_external_tables_elsewhere_are_refused(spark, tmp_path):
+    csv_to_parquet(spark, write(tmp_path, categories="CategoryID,CategoryName\n1,a\n"))
+    register_external(spark, str(tmp_path), "elsewhere")
+    with pytest.raises(ValueError, match="exists with location"):
+        register_external(spark, f"{tmp_path}/other", "elsewhere")

@@ -32,7 +32,7 @@ def test_a_column_of_the_wrong_type_fails(spark, tmp_path):
 def test_only_requested_tables_are_opened(spark, tmp_path):
     raw = RawFiles(spark, str(tmp_path))
     assert tuple(raw) == RAW_TABLES and len(raw) == 7
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+    with pytest.raises(FileNotFoundError, match="no data file"):
         raw["sales"]
     with pytest.raises(KeyError):
         raw["stores"]

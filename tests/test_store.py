@@ -1,4 +1,6 @@
 import datetime as dt
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +9,7 @@ from salesmart.cli import parse, run
 from salesmart.plans.mart import KPI_TABLES, TABLES, build_mart, build_table
 from salesmart.sinks import staging
 from salesmart.sinks.store import MartStore
-from salesmart.sources import testbed
+from checks import testbed
 from tests.frames import employees, facts, nanos, products, sales, table, customers, values
 
 FACTS = [(1, "2018-01-01 10:00:00", 1.0), (1, "2018-01-01 23:59:59", 2.0), (2, None, 3.0), (None, "2018-01-02", 4.0)]
@@ -162,14 +164,61 @@ def test_staged_tables_go_to_the_checkpoint_folder(spark):
 class _Session:
     """A session of some master and settings, as far as the shared folder looks at it."""
 
-    def __init__(self, master, **conf):
+    def __init__(self, master, checkpoints=None, **conf):
         self.conf = {key.replace("__", "."): value for key, value in conf.items()}
-        self.sparkContext = type("Context", (), {"master": master})
+        self.sparkContext = type("Context", (), {"master": master, "getCheckpointDir": lambda _: checkpoints})()
 
 
 def test_only_a_local_session_may_use_a_temporary_folder():
     cluster = "spark://host:7077"
     assert staging.shared_folder(_Session(cluster, spark__checkpoint__dir="hdfs://a/b/")) == "hdfs://a/b"
     assert staging.shared_folder(_Session("local[2]")) == staging.shared_folder(_Session("local[2]"))
+    assert staging.shared_folder(_Session(cluster, "hdfs://set/")) == "hdfs://set"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         staging.shared_folder(_Session(cluster))
+
+
+def test_dynamic_overwrite_mode_still_replaces_all_days(spark, tmp_path, settings):
+    settings(spark__sql__sources__partitionOverwriteMode="dynamic")
+    spark.sql("CREATE DATABASE IF NOT EXISTS mart_dynamic")
+    df = facts(spark, FACTS)
+    for store in (MartStore.files(str(tmp_path)), MartStore.database("mart_dynamic")):
+        for rows in (df, df.where("SalesTimestamp IS NULL")):
+            store.write(rows, "fact_sales", by_day=True)
+            assert values(store.read(spark, "fact_sales")) == values(rows)
+
+
+def test_a_failed_build_keeps_the_old_table(spark, raw, tmp_path):
+    store = MartStore.files(str(tmp_path))
+    build_table(spark, "dim_categories", raw, store)
+    bad = raw["categories"].withColumn("CategoryName", F.raise_error(F.lit("broken")).cast("string"))
+    with pytest.raises(Exception, match="broken"):
+        build_table(spark, "dim_categories", {**raw, "categories": bad}, store)
+    assert store.read(spark, "dim_categories").count() == 1
+    assert [path.name for path in tmp_path.iterdir()] == ["dim_categories"]
+
+
+def test_a_failed_table_cancels_the_waiting_ones(spark, raw, tmp_path):
+    bad = raw["sales"].withColumn("TransactionNumber", F.raise_error(F.lit("broken")).cast("string"))
+    with pytest.raises(Exception, match="broken"):
+        build_mart(spark, {**raw, "sales": bad}, MartStore.files(str(tmp_path)), concurrent_tables=1)
+    assert len(list(tmp_path.glob("dim_*"))) < 6
+
+
+def test_an_in_memory_catalog_is_refused_before_any_work(tmp_path):
+    for arguments in (["--task", "ingest", "--register", "x"], ["--task", "all", "--database", "x"]):
+        done = subprocess.run(
+            [sys.executable, "-m", "salesmart", *arguments, "--raw", str(tmp_path / "none")],
+            capture_output=True, text=True, timeout=120,
+        )
+        assert done.returncode != 0 and "catalog is in memory" in done.stderr
+
+
+def test_connector_from_the_command_line(spark, raw, tmp_path):
+    raw["categories"].write.parquet(f"{tmp_path}/raw/categories.parquet")
+    options = parse([
+        "--task", "dim_categories", "--raw", f"{tmp_path}/raw", "--format", "parquet", "--dataset", f"{tmp_path}/set",
+        "--option", "compression=gzip", "--name-option", "path",
+    ])
+    run(spark, options)
+    assert list(tmp_path.glob("set.dim_categories/*.gz.parquet"))

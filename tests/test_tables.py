@@ -6,9 +6,9 @@ import pytest
 
 from salesmart.operators import joins
 from salesmart.operators.aggregates import first_purchases
-from salesmart.operators.joins import repeated_keys, with_first_purchase
-from salesmart.plans import dimensions, fact as fact_plan, kpis
-from salesmart.plans.fact import FACT_COLUMNS, fact_sales, fact_sales_of
+from salesmart.operators.joins import left_match, left_match_copies, repeated_keys, with_first_purchase
+from salesmart.plans import dimensions, kpis
+from salesmart.plans.fact import FACT_COLUMNS, build_fact_sales, fact_sales
 from tests.frames import customers, employees, facts, nanos, products, sales, table, values
 
 
@@ -48,17 +48,17 @@ def test_null_keys_never_match(spark):
     assert build(spark, rows, (None, None), (None, None), (None, None)).count() == 1
 
 
-@pytest.mark.parametrize("block", [1, 2, 3, 100])
-def test_repeated_keys_stand_for_the_whole_dimension(spark, monkeypatch, block):
-    monkeypatch.setattr(joins, "_COPIES_PER_BLOCK", block)
+@pytest.mark.parametrize("at_once", [1, 2, 3, 100])
+def test_repeated_keys_stand_for_the_whole_dimension(spark, monkeypatch, at_once):
+    monkeypatch.setattr(joins, "_COPIES_AT_ONCE", at_once)
     ids = [1, 2, 2, 3, 3, 3, None, None, *[4] * 7]
     dimension = products(spark, *ids)
     repeated = repeated_keys(dimension, "ProductID")
-    assert values(repeated) == [(2,)] * 2 + [(3,)] * 3 + [(4,)] * 7
+    assert values(repeated) == [(2, 2), (3, 3), (4, 7)]
     rows = [{**SALE, "SalesID": i, "ProductID": i} for i in range(6)] + [{**SALE, "ProductID": None}]
-    others = customers(spark, 1), employees(spark, 1)
-    whole = fact_sales(sales(spark, *rows), dimension, *others)
-    assert values(fact_sales(sales(spark, *rows), repeated, *others)) == values(whole)
+    whole = left_match(sales(spark, *rows), dimension, "ProductID")
+    copied = left_match_copies(sales(spark, *rows), repeated, "ProductID")
+    assert values(copied.select(*whole.columns)) == values(whole)
     assert whole.count() == 1 + 1 + 2 + 3 + 7 + 1 + 1
 
 
@@ -178,9 +178,7 @@ def test_first_purchase_labels(spark):
     ]
 
 
-@pytest.mark.parametrize("small_rows", [0, 3, 1_000_000])
-def test_fact_is_the_same_however_large_dimensions_count(spark, monkeypatch, small_rows):
-    monkeypatch.setattr(fact_plan, "SMALL_DIMENSION_ROWS", small_rows)
+def test_fact_by_counts_is_the_fact_by_whole_dimensions(spark):
     keys = [1, 2, 2, 3, None]
     raw = {
         "sales": sales(spark, *[{**SALE, "SalesID": i, "ProductID": p, "CustomerID": c, "SalesPersonID": e}
@@ -189,6 +187,6 @@ def test_fact_is_the_same_however_large_dimensions_count(spark, monkeypatch, sma
         "customers": customers(spark, *keys[:4]),
         "employees": employees(spark, *keys[:3]),
     }
-    fact = fact_sales_of(raw)
+    fact = build_fact_sales(raw)
     assert values(fact) == values(fact_sales(raw["sales"], raw["products"], raw["customers"], raw["employees"]))
     assert values(fact.groupBy("SalesID", "EmployeeID").count()) == [(0, None, 2), (1, 2, 8), (2, None, 1), (3, None, 1)]
