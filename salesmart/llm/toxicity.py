@@ -89,6 +89,7 @@ class Chain:
     def __init__(self, settings: ChainSettings, features: list[str]):
         self.settings = settings
         self.index = {name: i for i, name in enumerate(features)}
+        self.beginnings = {name[:-1] for name in features if name.endswith("-")}
         self.weights: list[np.ndarray] = []
 
     def fit(self, x: np.ndarray, y: np.ndarray, folds: np.ndarray) -> None:
@@ -108,7 +109,10 @@ class Chain:
         out: list[float] = []
         if not self.weights:
             return [0.0] * len(self.settings.categories)
-        present = [self.index[f] for f in features_of(text) if f in self.index]
+        words = set(WORD.findall(text.lower())) if text else set()
+        present = [self.index[w] for w in words & self.index.keys()]
+        for n in _BEGINNINGS:
+            present += [self.index[f"{b}-"] for b in {w[:n] for w in words if len(w) > n} & self.beginnings]
         for weights in self.weights:
             score = weights[present].sum() + weights[-1] + np.dot(weights[len(self.index) : -1], out)
             out.append(float(sigmoid(score)))
@@ -195,8 +199,9 @@ def score(docs: DataFrame, chain: Chain) -> DataFrame:
 
     @F.pandas_udf("array<double>")
     def probabilities(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = Chain(settings, [])
-        known.index, known.weights = shared.value
+        index, weights = shared.value
+        known = Chain(settings, list(index))
+        known.weights = weights
         for texts in batches:
             yield pd.Series([known.predict(text) for text in texts], dtype=object)
 
