@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salesmart.llm import ann, caps, chat, language, minhash, mixing, packing, sharding, toxicity, warc
@@ -33,15 +33,18 @@ DELTA_CHARS = 1024
 
 
 def conversation_events(conversations: DataFrame) -> DataFrame:
-    """The log that would have led to the conversations: each message is started, and its text arrives in deltas."""
-    turns = conversations.select(
-        "conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text")
-    )
+    """The log that would have led to the conversations: each message is started, and its text arrives in deltas.
+
+    Every row is a message, also one with the turn of another.
+    """
+    turns = conversations.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    in_order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    turns = turns.withColumn("message", (F.row_number().over(in_order) - 1).cast("bigint"))
     pieces = F.sequence(F.lit(0), F.ceil(F.length("text") / DELTA_CHARS).cast("int"))
-    return turns.select("conv_id", "turn", "role", "text", F.explode(pieces).alias("piece")).select(
+    return turns.select("conv_id", "message", "role", "text", F.explode(pieces).alias("piece")).select(
         "conv_id",
-        F.col("turn").alias("message"),
-        (F.col("turn") * 1_000_000 + F.col("piece")).alias("seq"),
+        "message",
+        (F.col("message") * 1_000_000 + F.col("piece")).alias("seq"),
         F.when(F.col("piece") == 0, "start").otherwise("delta").alias("kind"),
         "role",
         F.when(F.col("piece") == 0, "")

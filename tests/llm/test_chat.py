@@ -3,6 +3,7 @@
 import random
 
 from salesmart.llm import chat
+from salesmart.llm.queries import DELTA_CHARS, conversation_events
 
 SCHEMA = "conv_id bigint, seq bigint, message bigint, kind string, role string, text string"
 
@@ -86,3 +87,11 @@ def test_plan_has_no_python(spark):
     events = spark.createDataFrame([(1, 1, 0, "start", "user", "x")], SCHEMA)
     plan = chat.format_log(events)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_the_log_of_conversations_leads_back_to_them(spark):
+    long = "ab<|" * DELTA_CHARS
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", long), (1, 1, "assistant", "hi"), (1, 1, "assistant", "hi"), (2, None, "user", None)]
+    events = conversation_events(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"))
+    found = {r["conv_id"]: [(m["role"], m["text"]) for m in r["messages"]] for r in chat.fold_events(events).collect()}
+    assert found == {1: [("user", "hi"), ("assistant", long), ("assistant", "hi"), ("assistant", "hi")], 2: [("user", "")]}
