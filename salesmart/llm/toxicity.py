@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.llm.samples import capped_sample
+from salesmart.sinks.staging import stage
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -129,7 +130,10 @@ def train(docs: DataFrame, labels: DataFrame, settings: ChainSettings = ChainSet
         .groupBy("doc_id")
         .agg(F.max("toxic").cast("int").alias("toxic"))
     )
-    sample = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    sample = stage(
+        docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(chosen), "doc_id"),
+        "toxicity-sample",
+    )
 
     def truth(text: str, toxic: int) -> list[int]:
         words = set(WORD.findall(text.lower())) if toxic else set()
