@@ -13,7 +13,6 @@ language. Scoring sees whole texts and nothing but the text.
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -47,10 +46,17 @@ class TrainingSettings:
 class Model:
     """Log frequencies: one row per word and per n-gram, one column per language."""
 
-    def __init__(self, languages: list[str], counts: dict[str, dict[str, Counter]]):
-        self.languages = languages
-        self.words, self.word_rows = self._log_frequencies(counts, ["word"])
-        self.grams, self.gram_rows = self._log_frequencies(counts, [f"gram{n}" for n in range(1, _LONGEST + 1)])
+    def __init__(self, found: pd.DataFrame):
+        """``found``: lang, kind (``word``, ``gram1``, …), item, times; one row per language and item."""
+        self.languages = sorted(found["lang"].unique())
+        self.words, self.word_rows = self._log_frequencies(found[found["kind"] == "word"], 0)
+        self.grams: dict[str, int] = {}
+        rows = []
+        for n in range(1, _LONGEST + 1):
+            index, more = self._log_frequencies(found[found["kind"] == f"gram{n}"], len(self.grams))
+            self.grams |= index
+            rows.append(more)
+        self.gram_rows = np.concatenate(rows)
 
     @classmethod
     def from_values(cls, values: dict) -> Model:
@@ -58,18 +64,12 @@ class Model:
         vars(model).update(values)
         return model
 
-    def _log_frequencies(self, counts: dict, kinds: list[str], smoothing: float = 0.5) -> tuple[dict[str, int], np.ndarray]:
-        """Where each item's row is, and the rows."""
-        index: dict[str, int] = {}
-        rows: list[list[float]] = []
-        for kind in kinds:
-            by_language = [counts[lang][kind] for lang in self.languages]
-            known = sorted(set().union(*by_language))
-            totals = [sum(c.values()) + smoothing * (len(known) + 1) for c in by_language]
-            for item in known:
-                index[item] = len(rows)
-                rows.append([math.log((c.get(item, 0) + smoothing) / t) for c, t in zip(by_language, totals, strict=True)])
-        return index, np.array(rows).reshape(len(rows), len(self.languages))
+    def _log_frequencies(self, found: pd.DataFrame, first: int) -> tuple[dict[str, int], np.ndarray]:
+        """Where each item's row is, counted from ``first``, and the rows."""
+        places, items = pd.factorize(found["item"], sort=True)
+        table = np.full((len(items), len(self.languages)), 0.5)
+        table[places, pd.Index(self.languages, dtype=object).get_indexer(found["lang"])] += found["times"].to_numpy(dtype=float)
+        return {item: first + i for i, item in enumerate(items)}, np.log(table / (table.sum(axis=0) + 0.5))
 
     def backed_off(self, word: str) -> np.ndarray:
         """Scores of an unseen word: the mean over its n-grams, where an unseen one counts as its shorter n-grams do."""
@@ -170,15 +170,11 @@ def train(docs: DataFrame, settings: TrainingSettings = TrainingSettings()) -> M
                 break
             kept += number
             least[lang, kind] = times
-    counts: dict[str, dict[str, Counter]] = {}
-    if least:
-        limits = F.create_map(*[F.lit(v) for (lang, kind), t in least.items() for v in (f"{lang}\t{kind}", t)])
-        enough = F.col("times") >= F.element_at(limits, F.concat_ws("\t", "lang", "kind"))
-        found = counted.where(enough).select("lang", "kind", "item", "times").toArrow()
-        for lang, kind, item, times in zip(*(column.to_pylist() for column in found.columns), strict=True):
-            kinds = counts.setdefault(lang, {k: Counter() for k in ("word", *(f"gram{n}" for n in range(1, _LONGEST + 1)))})
-            kinds[kind][item] = times
-    return Model(sorted(counts), counts)
+    if not least:
+        return Model(frame([]))
+    limits = F.create_map(*[F.lit(v) for (lang, kind), t in least.items() for v in (f"{lang}\t{kind}", t)])
+    enough = F.col("times") >= F.element_at(limits, F.concat_ws("\t", "lang", "kind"))
+    return Model(counted.where(enough).select("lang", "kind", "item", "times").toArrow().to_pandas())
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

@@ -67,17 +67,18 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float, rounds: int) -> np.ndarray:
     """Weights, the last of them the intercept, by accelerated gradient descent on the penalised mean log loss."""
-    x = np.column_stack([x, np.ones(len(x))])
+    x = np.column_stack([x, np.ones(len(x), dtype=x.dtype)])
     ridge = np.full(x.shape[1], penalty / max(1, len(x)))
     ridge[-1] = 0
-    vector = np.ones(x.shape[1])
+    vector = np.ones(x.shape[1], dtype=x.dtype)
     for _ in range(20):  # the largest curvature, by power iteration
         vector = x.T @ (x @ vector)
         vector /= np.linalg.norm(vector) or 1
     step = 1 / (0.25 * np.linalg.norm(x @ vector) ** 2 / len(x) + ridge.max() + 1e-9)
     weights = ahead = np.zeros(x.shape[1])
     for i in range(rounds):
-        slope = x.T @ (sigmoid(x @ ahead) - y) / len(x) + ridge * ahead
+        error = sigmoid(x @ ahead.astype(x.dtype)) - y
+        slope = x.T @ error.astype(x.dtype) / len(x) + ridge * ahead
         following = ahead - step * slope
         ahead = following + i / (i + 3) * (following - weights)
         weights = following
@@ -101,9 +102,9 @@ class Chain:
                 held = folds == fold
                 if held.any() and not held.all():
                     weights = fit_logistic(x[~held], target[~held], s.penalty, s.rounds)
-                    out_of_fold[held] = sigmoid(np.column_stack([x[held], np.ones(held.sum())]) @ weights)
+                    out_of_fold[held] = sigmoid(x[held] @ weights[:-1].astype(x.dtype) + weights[-1])
             self.weights.append(fit_logistic(x, target, s.penalty, s.rounds))
-            x = np.column_stack([x, out_of_fold])
+            x = np.column_stack([x, out_of_fold.astype(x.dtype)])
 
     def predict(self, text: str | None) -> list[float]:
         """The probability of each category."""
@@ -175,7 +176,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: ChainSettings = ChainSet
             yield pd.DataFrame({"doc_id": batch["doc_id"], "present": [r[0] for r in rows], "truth": [r[1] for r in rows]})
 
     rows = sample.mapInPandas(encode, "doc_id bigint, present array<int>, truth array<int>").orderBy("doc_id").collect()
-    x, y = np.zeros((len(rows), len(chain.index))), np.array([r["truth"] for r in rows], dtype=float)
+    x, y = np.zeros((len(rows), len(chain.index)), dtype=np.float32), np.array([r["truth"] for r in rows], dtype=float)
     for i, row in enumerate(rows):
         x[i, row["present"]] = 1
     chain.fit(x, y, np.arange(len(rows)) % settings.folds)
