@@ -3,8 +3,12 @@
 After a random rotation a vector is cut into blocks, and each block has a small random code of unit
 vectors. A filter is one code word per block; its direction is their concatenation. A vector is in all filters whose direction
 it exceeds a threshold on. These are list-decoded block by block: a prefix of code words is dropped
-as soon as the best completion cannot reach the threshold. Vectors with a cosine over the limit share a filter almost
-surely, as they pass the same caps; they are compared exactly within each filter they share.
+as soon as the best completion cannot reach the threshold. Vectors with a cosine over the limit are likely to share a
+filter, as they pass the same caps; they are compared exactly within each filter they share.
+
+The larger the table, the smaller the caps, and the more pairs share none. So several codes are used, each with a rotation and
+words of its own: a pair is missed if it is in all. How many are needed is measured on random pairs at the limit, for the
+table's dimension and size; a random rotation makes every pair of one cosine equally likely to be missed.
 
 Equal vectors are compared once. A filter's members are compared in blocks of bounded size, and a filter
 with many members (a third of the rows, say) becomes many pairs of blocks, each a group of its own. No pairs leave a
@@ -30,8 +34,10 @@ from salesmart.sinks.staging import stage
 
 @dataclass(frozen=True)
 class CapSettings:
-    """``passes``: filters a vector passes on average; ``least``: filters it is put in at least, its best ones.
-    ``members``: vectors per filter to aim for, by which the codes grow with the table; ``block``: vectors compared at once."""
+    """``passes``: filters of a code a vector would pass on average if scores were normal, fewer in large codes; ``least``:
+    filters of a code it is put in at least, its best ones. ``members``: vectors per filter to aim for, by which the codes grow
+    with the table; ``block``: vectors compared at once. ``missed``: bound on the share of pairs at the threshold that share no
+    filter, by which the number of codes grows; ``trials``: random pairs it is measured on."""
 
     threshold: float = 0.95
     blocks: int = 2
@@ -40,15 +46,17 @@ class CapSettings:
     members: int = 256
     block: int = 512
     seed: int = 5
+    missed: float = 0.001
+    trials: int = 4096
 
 
 class ProductCode:
-    def __init__(self, dimension: int, size: int, settings: CapSettings):
-        random = np.random.default_rng(settings.seed)
+    def __init__(self, dimension: int, size: int, settings: CapSettings, number: int = 0):
+        random = np.random.default_rng([settings.seed, number])
         count = min(settings.blocks, dimension)
         self.rotation = np.linalg.qr(random.standard_normal((dimension, dimension)))[0]
         self.cuts = np.array_split(np.arange(dimension), count)
-        self.size, self.least = size, settings.least
+        self.size, self.least, self.first = size, settings.least, number * size**count
         self.words = []
         for cut in self.cuts:
             words = random.standard_normal((size, len(cut)))
@@ -69,7 +77,7 @@ class ProductCode:
         return rows, filters, sums
 
     def filters(self, units: np.ndarray) -> list[np.ndarray]:
-        """Sorted filters of each row: all over the threshold, and the best ``least``."""
+        """Sorted filters of each row: all over the threshold, and the best ``least``; counted from ``first``."""
         turned = units @ self.rotation
         scores = [turned[:, cut] @ words.T for cut, words in zip(self.cuts, self.words, strict=True)]
         found: list[np.ndarray | None] = [None] * len(units)
@@ -87,11 +95,43 @@ class ProductCode:
                     short.append(row)
                     continue
                 over = max(wanted, int((sums[mine] >= self.threshold).sum()))
-                found[row] = np.sort(filters[mine][:over])
+                found[row] = np.sort(filters[mine][:over]) + self.first
             pending, threshold = np.array(short, dtype=np.int64), threshold - 0.04
         return found
 
 
+def code_size(rows: int, dimension: int, settings: CapSettings) -> int:
+    """Words per block of a code."""
+    filters = max(64.0, rows * settings.passes / settings.members)
+    return max(8, int(np.ceil(filters ** (1 / min(settings.blocks, dimension or 1)))))
+
+
+def missed_share(codes: list[ProductCode], dimension: int, cosine: float, trials: int, seed: int) -> float:
+    """The share of random pairs of this cosine that have no filter in common."""
+    random, missed = np.random.default_rng(seed), 0
+    for at in range(0, trials, 512):
+        one, other = random.standard_normal((2, min(512, trials - at), dimension))
+        one /= np.linalg.norm(one, axis=1, keepdims=True)
+        other -= (other * one).sum(axis=1, keepdims=True) * one
+        other /= np.linalg.norm(other, axis=1, keepdims=True)
+        other = cosine * one + np.sqrt(1 - cosine**2) * other
+        apart = np.ones(len(one), dtype=bool)
+        for code in codes:
+            apart &= [not np.isin(a, b).any() for a, b in zip(code.filters(one), code.filters(other), strict=True)]
+        missed += int(apart.sum())
+    return missed / trials
+
+
+def codes_needed(rows: int, dimension: int, settings: CapSettings) -> int:
+    """Codes that keep the share of missed pairs at the threshold below ``missed``; codes miss independently."""
+    if dimension < 2 or settings.threshold >= 1:
+        return 1
+    code = ProductCode(dimension, code_size(rows, dimension, settings), settings)
+    share = missed_share([code], dimension, settings.threshold, settings.trials, settings.seed + 1)
+    likely = share + 3 * max(share, 1 / settings.trials) ** 0.5 / settings.trials**0.5  # three deviations above
+    return max(1, int(np.ceil(np.log(settings.missed) / np.log(min(likely, 0.999)))))
+
+
 def _classes(vectors: DataFrame) -> DataFrame:
     """One row per distinct usable vector: key, vec_id (the smallest), copies, embedding."""
     rows = vectors.where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
@@ -106,16 +146,18 @@ def _classes(vectors: DataFrame) -> DataFrame:
 def with_filters(classes: DataFrame, settings: CapSettings) -> DataFrame:
     """``classes`` with ``filters``, staged."""
     rows, dimension = classes.count(), dimension_of(classes, "embedding")
-    filters = max(64.0, rows * settings.passes / settings.members)
-    size = max(8, int(np.ceil(filters ** (1 / min(settings.blocks, dimension or 1)))))
+    size = code_size(rows, dimension, settings)
+    numbers = range(codes_needed(rows, dimension, settings) if dimension else 0)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        code = ProductCode(dimension, size, settings) if dimension else None  # no vectors, no batches
+        codes = [ProductCode(dimension, size, settings, number) for number in numbers]
         for batch in batches:
             for at in range(0, len(batch), 2048):
                 part = batch.iloc[at : at + 2048].copy()
                 values = matrix(part["embedding"])
-                part["filters"] = code.filters(values / np.linalg.norm(values, axis=1, keepdims=True))
+                units = values / np.linalg.norm(values, axis=1, keepdims=True)
+                found = [code.filters(units) for code in codes]
+                part["filters"] = [np.concatenate(of_row) for of_row in zip(*found, strict=True)]
                 yield part
 
     kind = classes.schema["embedding"].dataType.simpleString()
@@ -141,10 +183,11 @@ def _compare(settings: CapSettings):
 
         # A pair counts in the smallest filter it shares: not here if both are in a smaller one.
         earlier = [f[f < here] for f in group["filters"]]
-        columns = {f: i for i, f in enumerate(sorted({int(x) for f in earlier for x in f}))}
-        member = np.zeros((len(group), max(1, len(columns))), dtype=np.float32)
+        seen, times = np.unique(np.concatenate([*earlier, np.zeros(0, dtype=np.int64)]), return_counts=True)
+        shared = seen[times > 1]
+        member = np.zeros((len(group), max(1, len(shared))), dtype=np.float32)
         for i, f in enumerate(earlier):
-            member[i, [columns[int(x)] for x in f]] = 1
+            member[i, np.searchsorted(shared, f[np.isin(f, shared)])] = 1
         counted = linked & (member @ member.T == 0)
 
         ids, labels = group["vec_id"].to_numpy(), group["vec_id"].to_numpy().copy()

@@ -1,6 +1,7 @@
 """Neighbours and near copies of vectors, against all pairs."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from salesmart.llm import ann, caps
@@ -85,6 +86,27 @@ def test_links_against_all_pairs(spark):
     assert (found["kept"] == (found["component_id"] == found.index)).all()
 
 
+@pytest.mark.parametrize("rows", [500, 10_000, 1_000_000, 30_000_000])
+def test_pairs_at_the_threshold_share_a_filter_at_every_table_size(rows):
+    settings = caps.CapSettings()
+    numbers = range(caps.codes_needed(rows, 64, settings))
+    codes = [caps.ProductCode(64, caps.code_size(rows, 64, settings), settings, i) for i in numbers]
+    trials = 4000
+    allowed = settings.missed * trials
+    assert caps.missed_share(codes, 64, settings.threshold, trials, 77) * trials <= allowed + 3 * allowed**0.5
+
+
+def test_a_pair_that_shares_filters_of_several_codes_counts_once(spark):
+    rows = list(enumerate(some(6, 200)))
+    rows += [(1000 + i, [x + 0.01 for x in v]) for i, v in rows[:40]]
+    found = linked(spark, rows, missed=1e-9, trials=64).set_index("vec_id")["n_links"]
+    values = np.array([v for _, v in rows])
+    values /= np.linalg.norm(values, axis=1, keepdims=True)
+    links = values @ values.T >= 0.95
+    np.fill_diagonal(links, False)
+    assert found[[i for i, _ in rows]].tolist() == links.sum(axis=1).tolist()
+
+
 def test_vectors_that_take_no_part(spark):
     rows = [*ODD, (1, [1.0] * 16), (2, [1.0] * 16), (2, [1.0] * 16), (None, [1.0] * 16)]
     found = linked(spark, rows)
