@@ -29,8 +29,8 @@ from salesmart.sinks.staging import stage
 #: A word is a run of letters.
 WORD = re.compile(r"[^\W\d_]+")
 
-#: Longest n-gram, and unseen words whose scores are remembered per task.
-_LONGEST, _REMEMBERED = 5, 200_000
+#: Longest n-gram, n-grams an unseen word is recognised by, and unseen words whose scores are remembered per task.
+_LONGEST, _TELLING, _REMEMBERED = 5, 4, 200_000
 
 UNDETERMINED = "und"
 
@@ -116,6 +116,27 @@ class Model:
         shares = np.exp(np.clip(total - total[best], -700, 0))
         return self.languages[best], float(shares[best] / shares.sum())
 
+    def known_share(self, text: str | None, remembered: dict[str, float]) -> float:
+        """Mean over the words of a text: 1 for a word of the model, else the share of the word's n-grams that are in it."""
+        words = Counter(WORD.findall(text.lower())) if text else None
+        if not words:
+            return 0.0
+        known = 0.0
+        for word, times in words.items():
+            if word in self.words:
+                known += times
+                continue
+            share = remembered.get(word)
+            if share is None:
+                if len(remembered) > _REMEMBERED:
+                    remembered.clear()
+                ends = f"^{word}$"
+                n = min(_TELLING, len(ends))
+                count = len(ends) - n + 1
+                share = remembered[word] = sum(ends[i : i + n] in self.grams for i in range(count)) / count
+            known += times * share
+        return known / words.total()
+
 
 def held_out(doc_id: Column) -> Column:
     """Documents that are kept from training: a fixed quarter by a checksum of the id. Null ids are held out."""
@@ -197,3 +218,21 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
             yield pd.DataFrame(found, columns=["lang_pred", "score"])
 
     return docs.withColumn("lang_found", predict("text")).select(*docs.columns, "lang_found.lang_pred", "lang_found.score")
+
+
+def recognised(docs: DataFrame, model: Model, least: float) -> DataFrame:
+    """The rows of ``docs`` of whose text, the mean over its words, at least a share of ``least`` is in the model.
+
+    See ``Model.known_share``: length does not matter, and languages may be mixed. A null text, or one without a letter, is not
+    recognised; nor is any if the model knows no language.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
+
+    @F.pandas_udf("double")
+    def known_share(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        remembered: dict[str, float] = {}
+        known = Model.from_values(shared.value)
+        for texts in batches:
+            yield pd.Series([known.known_share(text, remembered) for text in texts], dtype="float64")
+
+    return docs.where((known_share("text") >= least) & F.col("text").rlike(r"\p{L}"))

@@ -1,5 +1,6 @@
 """The corpus pipeline stage by stage, and every query of the operators at the smallest scale."""
 
+import random
 import re
 
 import pytest
@@ -53,6 +54,18 @@ def test_stages_on_the_smallest_documents(spark):
     assert set(after) == expected and len(after) == len(expected)
 
 
+def test_the_language_stage_rejects_what_the_model_does_not_know(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    draw = random.Random(2)
+    noise = " ".join("".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=draw.randint(3, 9))) for _ in range(60))
+    alien = {9000: "Это предложение написано по-русски и никому не известно", 9001: "这是一个中文文档没有人认识", 9002: noise, 9003: noise[:40]}
+    clean = {9010: "and the", 9011: "und", 9012: "le", 9013: "de la que", 9014: "The thing is of the"}
+    planted = [(i, text, None, "s", len(text)) for i, text in (alien | clean).items()]
+    docs = docs.unionByName(spark.createDataFrame(planted, docs.schema))
+    kept = {r["doc_id"] for r in corpus_pipeline.language_stage(spark, docs, SF).collect()}
+    assert {r["doc_id"] for r in docs.collect()} - kept == set(alien)
+
+
 def test_stages_on_an_empty_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, function in corpus_pipeline.STAGES:
