@@ -6,7 +6,8 @@ split into its longest n-grams; those that are unseen too are covered by n-grams
 single characters. Scores are per-language log likelihoods; the confidence is the share of the best language when the mean
 log likelihood per word is turned into probabilities over the words of the text.
 
-Training reads a bounded, hash-chosen share of the labelled documents: ``max_training_docs``. Counting is one distributed
+Training reads a bounded, hash-chosen part of the labelled documents: ``max_training_docs`` over all languages, drawn per language,
+so that a rare one keeps its documents however large the table is. Counting is one distributed
 aggregation; the model that is sent to the tasks is bounded by ``max_words`` and ``max_grams`` per
 language. Scoring sees whole texts and nothing but the text.
 """
@@ -23,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.samples import hash_sample
+from salesmart.llm.samples import hash_sample_per
 from salesmart.sinks.staging import stage
 
 #: A word is a run of letters.
@@ -177,7 +178,7 @@ def train(docs: DataFrame, settings: TrainingSettings = TrainingSettings()) -> M
     def summed(found: DataFrame) -> DataFrame:
         return stage(found.groupBy("lang", "kind", "item").agg(F.sum("times").alias("times")), "language-counts")
 
-    chosen = hash_sample(labelled.select("doc_id", "lang", "text"), "doc_id", settings.max_training_docs, settings.seed)
+    chosen = hash_sample_per(labelled.select("doc_id", "lang", "text"), "doc_id", "lang", settings.max_training_docs, settings.seed)
     word_counts = summed(chosen.select("lang", "text").mapInPandas(words, schema))
     counted = word_counts.unionByName(summed(word_counts.select("lang", "item").mapInPandas(grams, schema)))
     # The most frequent items of each language and kind, by a threshold on a histogram of counts: no sort, no large group.

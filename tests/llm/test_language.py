@@ -6,6 +6,7 @@ import zlib
 from pyspark.sql import functions as F
 
 from salesmart.llm import language
+from salesmart.llm.samples import hash_sample_per
 
 SCHEMA = "doc_id bigint, text string, lang string, lang_pred string"
 SYLLABLES = {"aa": ["ka", "lo", "mi", "tu"], "bb": ["ß", "chen", "gru", "öl"], "cc": ["ña", "el", "que", "sí"]}
@@ -57,3 +58,14 @@ def test_no_letters_nulls_long_texts_and_empty_tables(spark):
     assert nothing.languages == []
     assert {r["lang_pred"] for r in language.identify(docs, nothing).collect()} == {"und"}
     assert language.identify(docs.limit(0), model).count() == 0
+
+
+def test_a_rare_language_is_learned_from_a_large_table(spark):
+    common = [(i, "kalo mitu", "aa", "") for i in range(6000)]
+    rare = [(10_000 + i, "chengru ölß", "bb", "") for i in range(40)]
+    docs = spark.createDataFrame(common + rare, SCHEMA)
+    model = language.train(docs, language.TrainingSettings(max_training_docs=100))
+    assert model.predict("chengru", {})[0] == "bb"
+    sample = hash_sample_per(docs, "doc_id", "lang", 100).groupBy("lang").count().collect()
+    found = {r["lang"]: r["count"] for r in sample}
+    assert found["bb"] == 40 and 30 <= found["aa"] <= 95
