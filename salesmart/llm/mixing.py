@@ -26,7 +26,7 @@ from salesmart.llm.words import word_count
 from salesmart.sinks.staging import stage
 
 # Names of working columns, which must not clash with columns of the documents.
-_ID, _SOURCE, _ORDER, _BUCKET = "mix_id", "mix_source", "mix_order", "mix_bucket"
+_ID, _SOURCE, _ORDER, _BUCKET, _ROW = "mix_id", "mix_source", "mix_order", "mix_bucket", "mix_row"
 
 
 @dataclass(frozen=True)
@@ -91,17 +91,27 @@ def mix_plan(
     of its own. Repeated rows are separate rows, taken one after another. An empty table gives
     an empty plan. Columns of ``docs`` other than id, source and text are not looked at.
     """
+    measured = stage(docs.select(*_measures(settings, id_column, source_column)), "mix-sizes")
+    columns = [
+        F.col(_ID).alias(id_column), F.col(_SOURCE).alias(source_column), "size", "source_size", "target", "whole", "part"
+    ]
+    return _with_parts(measured, measured, settings).select(*columns)
+
+
+def _measures(settings: MixSettings, id_column: str, source_column: str) -> list[Column]:
+    """What the plan needs of a document."""
     order = F.xxhash64(F.lit(settings.seed), F.col(id_column), F.col("text"))
-    measured = stage(
-        docs.select(
-            F.col(id_column).alias(_ID),
-            F.col(source_column).alias(_SOURCE),
-            word_count(F.col("text")).alias("size"),
-            order.alias(_ORDER),
-        ),
-        "mix-sizes",
-    ).withColumn(_BUCKET, F.pmod(F.shiftrightunsigned(_ORDER, 20), F.lit(settings.buckets)))
+    return [
+        F.col(id_column).alias(_ID),
+        F.col(source_column).alias(_SOURCE),
+        word_count(F.col("text")).alias("size"),
+        order.alias(_ORDER),
+        F.pmod(F.shiftrightunsigned(order, 20), F.lit(settings.buckets)).alias(_BUCKET),
+    ]
 
+
+def _with_parts(rows: DataFrame, measured: DataFrame, settings: MixSettings) -> DataFrame:
+    """``rows``, which hold the columns of ``measured`` for the same documents, with source_size, target, whole and part."""
     buckets = stage(measured.groupBy(_SOURCE, _BUCKET).agg(F.sum("size").alias("bucket_size")), "mix-buckets")
     targets = water_levels(buckets.groupBy(_SOURCE).agg(F.sum("bucket_size").alias("source_size")), settings)
     epochs = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -120,24 +130,21 @@ def mix_plan(
         "mix-shares",
     )
     cut = (F.col("wanted") > 0) & (F.col("wanted") < F.col("bucket_size"))
-    joined = _with_shares(measured, shares.where(~cut))
+    joined = _with_shares(rows, shares.where(~cut))
     settled = joined.withColumn("part", F.when(F.col("wanted") > 0, F.col("size")).otherwise(F.lit(0)))
     in_order = Window.partitionBy(_SOURCE, _BUCKET).orderBy(_ORDER, _ID, "size").rowsBetween(Window.unboundedPreceding, -1)
-    split = _with_shares(measured, shares.where(cut)).withColumn(
+    split = _with_shares(rows, shares.where(cut)).withColumn(
         "part",
         F.greatest(
             F.lit(0), F.least(F.col("size"), F.col("wanted") - F.coalesce(F.sum("size").over(in_order), F.lit(0)))
         ),
     )
-    columns = [
-        F.col(_ID).alias(id_column), F.col(_SOURCE).alias(source_column), "size", "source_size", "target", "whole", "part"
-    ]
-    return settled.select(*columns).unionByName(split.select(*columns))
+    return settled.unionByName(split)
 
 
-def _with_shares(measured: DataFrame, shares: DataFrame) -> DataFrame:
-    same = measured[_SOURCE].eqNullSafe(shares[_SOURCE]) & (measured[_BUCKET] == shares[_BUCKET])
-    return measured.join(shares, same).drop(shares[_SOURCE], shares[_BUCKET])
+def _with_shares(rows: DataFrame, shares: DataFrame) -> DataFrame:
+    same = rows[_SOURCE].eqNullSafe(shares[_SOURCE]) & (rows[_BUCKET] == shares[_BUCKET])
+    return rows.join(shares, same).drop(shares[_SOURCE], shares[_BUCKET])
 
 
 def taken_words(whole: Column, part: Column, size: Column) -> Column:
@@ -149,16 +156,15 @@ def mix_documents(docs: DataFrame, settings: MixSettings = MixSettings(), id_col
     """The mix itself: each row of ``docs`` as often as the plan takes it whole, all columns kept.
 
     The one document per source of which only a part is wanted comes out whole if at least
-    half of it is. Ids must be unique; rows whose id is null are left out of the mix, as the plan
-    cannot be carried back to them.
+    half of it is. The plan is made on the rows themselves, so null and repeated ids are rows like others.
     """
-    plan = mix_plan(docs, settings, id_column).select(
-        F.col(id_column).alias(_ID),
-        (F.col("whole") + F.when((F.col("part") > 0) & (F.col("part") * 2 >= F.col("size")), 1).otherwise(0)).alias("times"),
-    )
-    times = plan.where(F.col("times") > 0)
+    measures = _measures(settings, id_column, "source")
+    measured = stage(docs.select(*measures), "mix-sizes")
+    planned = _with_parts(docs.select(F.struct("*").alias(_ROW), *measures), measured, settings)
+    times = F.col("whole") + F.when((F.col("part") > 0) & (F.col("part") * 2 >= F.col("size")), 1).otherwise(0)
     return (
-        docs.join(times, docs[id_column] == times[_ID])
-        .withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
-        .drop(_ID, "times", "mix_copy")
+        planned.select(_ROW, times.cast("int").alias("times"))
+        .where("times > 0")
+        .select(_ROW, F.explode(F.sequence(F.lit(1), F.col("times"))))
+        .select(f"{_ROW}.*")
     )

@@ -76,6 +76,17 @@ def test_documents_come_out_as_often_as_planned(spark):
         assert times.get(doc_id, 0) == row["whole"] + (0 < row["size"] <= 2 * row["part"])
 
 
+def test_null_and_repeated_ids_come_out_as_often_as_planned(spark):
+    rows = [(None, f"null {i}", "a", "x") for i in range(30)] + [(7, f"same {i}", "b", "y") for i in range(30)] + [(8, "one more", "b", "z")] * 3
+    docs = spark.createDataFrame(rows, SCHEMA)
+    plan = mixing.mix_plan(docs).collect()
+    out = mixing.mix_documents(docs).collect()
+    for source in "ab":
+        planned = sum(r["whole"] + (0 < r["size"] <= 2 * r["part"]) for r in plan if r["source"] == source)
+        assert sum(r["source"] == source for r in out) == planned > 0
+    assert {(r["doc_id"], r["size"]) for r in out} == {(None, "x"), (7, "y"), (8, "z")}
+
+
 def test_plan_has_no_python(spark):
     plan = mixing.mix_documents(documents(spark, {"a": 3}))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan
