@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from salesmart.llm import ann, caps, chat, language, minhash, mixing, packing, sharding, toxicity, warc
+from salesmart.llm import ann, caps, chat, language, minhash, mixing, packing, positions, sharding, toxicity, warc
 from salesmart.sinks.staging import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -210,3 +210,36 @@ def op2_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     chain = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, chain).drop("text")
+
+
+# ---- 11: ranked lexical search
+
+
+@query
+def op11_ranked_search(spark, sf_dir):
+    return positions.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op11_ranked_search"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents WHERE text IS NOT NULL),
+held AS (SELECT doc_id, len(terms) AS n, unnest(terms) AS term FROM d),
+tf AS (SELECT doc_id, n, term, count(*) AS tf FROM held GROUP BY ALL),
+totals AS (SELECT count(*) AS docs, CAST(sum(len(terms)) AS BIGINT) AS total FROM d WHERE len(terms) > 0),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM tf, totals GROUP BY term),
+q AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark WHERE text IS NOT NULL),
+scored AS (
+  SELECT item_id, doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // total)))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN weights USING (term), totals GROUP BY item_id, doc_id),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place, doc_id, score
+  FROM scored WHERE score > 0)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 20"""
