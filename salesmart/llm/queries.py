@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from salesmart.llm import ann, caps, chat, language, minhash, mixing, packing, positions, sharding, toxicity, warc
+from salesmart.llm import ann, caps, chat, language, minhash, mixing, packing, positions, sharding, spelling, toxicity, warc
 from salesmart.sinks.staging import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -243,3 +243,11 @@ ranked AS (
   SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place, doc_id, score
   FROM scored WHERE score > 0)
 SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 20"""
+
+
+# ---- 13: spelling variants
+
+
+@query
+def op13_spelling_variants(spark, sf_dir):
+    return spelling.spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
