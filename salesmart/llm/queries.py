@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from salesmart.llm import ann, caps, chat, language, minhash, mixing, packing, positions, sharding, spelling, toxicity, warc
+from salesmart.llm import ann, caps, chat, language, minhash, mixing, packing, pii, positions, sharding, spelling, toxicity, warc
 from salesmart.sinks.staging import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -251,3 +251,12 @@ SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE
 @query
 def op13_spelling_variants(spark, sf_dir):
     return spelling.spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+# ---- 12: personal data
+
+
+@query
+def op12_personal_data(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find_personal_data(docs, pii.train(pii.rule_labelled(docs)))
