@@ -117,6 +117,19 @@ def money(name: str) -> str:
     return f'CAST(sum(CAST("TotalPrice" AS DECIMAL(18,2))) AS DOUBLE) AS "{name}"'
 
 
+def exact_money(name: str) -> str:
+    """The double nearest to the exact sum of doubles: whole multiples of 2^-70, which every amount here is."""
+    whole = 'sum(CAST("TotalPrice" * 1180591620717411303424.0::DOUBLE AS HUGEINT))'
+    return f'CAST(CAST({whole} AS VARCHAR) AS DOUBLE) / 1180591620717411303424.0::DOUBLE AS "{name}"'
+
+
+def exact(keys: dict[str, str], name: str, sales: str = SALES) -> str:
+    """An exact sum of the fact per combination of keys."""
+    named = ", ".join(f'{sql} AS "{key}"' for key, sql in keys.items())
+    numbers = ", ".join(str(i + 1) for i in range(len(keys)))
+    return f"SELECT {named}, {exact_money(name)} FROM ({fact(sales)}) GROUP BY {numbers}"
+
+
 def average(amount: str, name: str) -> str:
     """An average of amounts with two decimals, rounded half up to six places in whole numbers."""
     hundredths = f"CAST(sum(CAST({amount} AS DECIMAL(18,2)) * 100) AS HUGEINT)"
@@ -283,4 +296,21 @@ ORACLE = {
     "kpi_customer_type_counts_events_day": customer_types(EVENT_SALES, "day"),
     "kpi_employee_daily_sales_day": employee_sales(grain="day"),
     "kpi_employee_daily_sales_events_day": employee_sales(EVENT_SALES, "day"),
+    "exact_total_sales_by_date": exact({"SalesTimestamp": sold_at("second")}, "TotalSales"),
+    "exact_top_products": exact({"ProductID": '"ProductID"'}, "Revenue"),
+    "exact_sales_by_employee": exact({"EmployeeID": '"EmployeeID"'}, "employee_sales"),
+    "exact_employee_daily_sales_events_day": exact(
+        {"EmployeeID": '"EmployeeID"', "SalesTimestamp": sold_at("day")}, "daily_revenue", EVENT_SALES
+    ),
+    "lattice_total_sales_by_date_day": exact({"SalesTimestamp": sold_at("day")}, "TotalSales"),
+    "lattice_top_products": exact({"ProductID": '"ProductID"'}, "Revenue"),
+    "lattice_sales_by_employee": exact({"EmployeeID": '"EmployeeID"'}, "employee_sales"),
+    "lattice_employee_daily_sales_day": exact(
+        {"EmployeeID": '"EmployeeID"', "SalesTimestamp": sold_at("day")}, "daily_revenue"
+    ),
+    "lattice_employee_daily_sales_undated": exact(
+        {"EmployeeID": '"EmployeeID"', "SalesTimestamp": sold_at("second")}, "daily_revenue", UNDATED_SALES
+    ),
+    "lattice_top_products_events": exact({"ProductID": '"ProductID"'}, "Revenue", EVENT_SALES),
+    "stored_kpi_sales_by_employee_exact": exact({"EmployeeID": '"EmployeeID"'}, "employee_sales", UNDATED_SALES),
 }

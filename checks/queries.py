@@ -19,7 +19,7 @@ from salesmart.operators.joins import left_match, left_match_as, left_match_copi
 from salesmart.plans import dimensions, kpis
 from salesmart.plans.fact import build_fact_sales
 from salesmart.plans.mart import TABLES, build_mart, build_table
-from salesmart.sinks.staging import new_folder, stage
+from salesmart.sinks.staging import Area, new_folder, stage
 from salesmart.sinks.store import MartStore
 from checks import testbed
 from salesmart.sources.catalog import register_external
@@ -499,3 +499,70 @@ def kpi_customer_type_counts_undated(spark, sf_dir):
 @query
 def kpi_customer_type_counts_undated_day(spark, sf_dir):
     return kpis.customer_type_counts(fact_of_undated(spark, sf_dir), "day")
+
+
+# ---- exact sums: no rounding, the same bits whatever the order of the rows
+
+
+@query
+def exact_total_sales_by_date(spark, sf_dir):
+    return kpis.total_sales_by_date(fact(spark, sf_dir), exact=True)
+
+
+@query
+def exact_top_products(spark, sf_dir):
+    return kpis.top_products(fact(spark, sf_dir), exact=True)
+
+
+@query
+def exact_sales_by_employee(spark, sf_dir):
+    return kpis.sales_by_employee(fact(spark, sf_dir), exact=True)
+
+
+@query
+def exact_employee_daily_sales_events_day(spark, sf_dir):
+    return kpis.employee_daily_sales(fact_of_events(spark, sf_dir), "day", exact=True)
+
+
+# ---- the lattice: four revenue tables from one scan of the fact
+
+
+def from_lattice(spark: SparkSession, facts: DataFrame, name: str, grain: str) -> DataFrame:
+    lattice = kpis.sales_lattice(stage(facts, "fact"), Area(spark).stage_by, grain)
+    return kpis.FROM_LATTICE[name](lattice, None)
+
+
+@query
+def lattice_total_sales_by_date_day(spark, sf_dir):
+    return from_lattice(spark, fact(spark, sf_dir), "kpi_total_sales_by_date", "day")
+
+
+@query
+def lattice_top_products(spark, sf_dir):
+    return from_lattice(spark, fact(spark, sf_dir), "kpi_top_products", "day")
+
+
+@query
+def lattice_sales_by_employee(spark, sf_dir):
+    return from_lattice(spark, fact(spark, sf_dir), "kpi_sales_by_employee", "day")
+
+
+@query
+def lattice_employee_daily_sales_day(spark, sf_dir):
+    return from_lattice(spark, fact(spark, sf_dir), "kpi_employee_daily_sales", "day")
+
+
+@query
+def lattice_employee_daily_sales_undated(spark, sf_dir):
+    return from_lattice(spark, fact_of_undated(spark, sf_dir), "kpi_employee_daily_sales", "second")
+
+
+@query
+def lattice_top_products_events(spark, sf_dir):
+    return from_lattice(spark, fact_of_events(spark, sf_dir), "kpi_top_products", "second")
+
+
+@query
+def stored_kpi_sales_by_employee_exact(spark, sf_dir):
+    """From a whole build, without rounding."""
+    return whole_mart(spark, sf_dir).read(spark, "kpi_sales_by_employee")

@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field, replace
+from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import DoubleType
 
+from salesmart.operators.lattice import Lattice
 from salesmart.plans import dimensions, kpis
 from salesmart.plans.fact import Stage, build_fact_sales
 from salesmart.sinks import staging
@@ -28,6 +31,7 @@ class Inputs:
     k: int | None = None
     opened: Mapping[str, DataFrame] = field(default_factory=dict)
     stage: Stage = staging.stage
+    lattice: Lattice | None = None
 
     def stored(self, table: str) -> DataFrame:
         """A mart table built earlier; one that is already open is not listed again."""
@@ -103,13 +107,30 @@ def build_mart(
 
     Neither the dimensions nor the fact depend on another mart table, so they are
     submitted together, and the many small tables run in the gaps the large ones
-    leave. The fact is stored once and each KPI scans the two or three columns it
-    needs of it.
+    leave. The fact is stored once. The four revenue tables come from a lattice of
+    exact sums, which scans it once for all of them; the other KPIs scan the two or
+    three columns they need of it.
     """
     inputs = Inputs(spark, raw, store, grain, k)
     _build_together([*FACT_TABLES, *DIMENSION_TABLES], inputs, concurrent_tables)
     opened = {table: store.read(spark, table) for table in ("fact_sales", "dim_products")}
-    _build_together(KPI_TABLES, replace(inputs, opened=opened), concurrent_tables)
+    inputs = replace(inputs, opened=opened)
+    if not isinstance(opened["fact_sales"].schema["TotalPrice"].dataType, DoubleType):
+        _build_together(KPI_TABLES, inputs, concurrent_tables)
+        return
+    area = staging.Area(spark)
+    try:
+        held: list[Lattice] = []
+        rest = [name for name in KPI_TABLES if name not in kpis.FROM_LATTICE]
+        lattice = partial(_hold_lattice, held, inputs, area)
+        _run_together([lattice, *[partial(_build, name, inputs) for name in rest]], inputs, concurrent_tables)
+        _build_together(kpis.FROM_LATTICE, replace(inputs, lattice=held[0]), concurrent_tables)
+    finally:
+        area.remove()
+
+
+def _hold_lattice(held: list[Lattice], inputs: Inputs, area: staging.Area) -> None:
+    held.append(kpis.sales_lattice(inputs.stored("fact_sales"), area.stage_by, inputs.grain))
 
 
 def _build(name: str, inputs: Inputs) -> None:
@@ -118,15 +139,22 @@ def _build(name: str, inputs: Inputs) -> None:
     table = TABLES[name]
     area = staging.Area(inputs.spark)
     try:
-        inputs.store.write(table.build(replace(inputs, stage=area.stage)), name, table.partitioned(inputs.grain))
+        if inputs.lattice and name in kpis.FROM_LATTICE:
+            df = kpis.FROM_LATTICE[name](inputs.lattice, inputs.k)
+        else:
+            df = table.build(replace(inputs, stage=area.stage))
+        inputs.store.write(df, name, table.partitioned(inputs.grain))
     finally:
         area.remove()
 
 
 def _build_together(names: Iterable[str], inputs: Inputs, concurrent_tables: int) -> None:
-    run = inheritable_thread_target(inputs.spark)(_build)
+    _run_together([partial(_build, name, inputs) for name in names], inputs, concurrent_tables)
+
+
+def _run_together(jobs: Iterable[Callable[[], None]], inputs: Inputs, concurrent_tables: int) -> None:
     with ThreadPoolExecutor(max_workers=concurrent_tables) as pool:
-        jobs = [pool.submit(run, name, inputs) for name in names]
+        jobs = [pool.submit(inheritable_thread_target(inputs.spark)(job)) for job in jobs]
         for done in wait(jobs, return_when=FIRST_EXCEPTION).done:
             if done.exception():
                 pool.shutdown(wait=False, cancel_futures=True)
