@@ -17,6 +17,10 @@ SALES = """
          CAST(date_trunc('second', o_orderdate) AS TIMESTAMP) AS "SalesTimestamp"
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 
+SKEWED_SALES = f"""
+  SELECT * REPLACE (CASE WHEN "SalesPersonID" IS NOT NULL AND "SalesID" % 3 = 1 THEN 2 ELSE "SalesPersonID" END AS "SalesPersonID")
+  FROM ({SALES})"""
+
 EVENT_SALES = """
   SELECT event_id AS "SalesID",
          user_id AS "SalesPersonID",
@@ -276,6 +280,12 @@ ORACLE = {
     "sales_left_customers": matched(CUSTOMERS, "CustomerID"),
     "sales_left_employees": f"""
   SELECT s.*, e."EmployeeID" FROM ({SALES}) s LEFT JOIN ({EMPLOYEES}) e ON s."SalesPersonID" = e."EmployeeID" """,
+    "sales_left_employees_skewed": f"""
+  SELECT s.*, e."EmployeeID" FROM ({SKEWED_SALES}) s LEFT JOIN ({EMPLOYEES}) e ON s."SalesPersonID" = e."EmployeeID" """,
+    "sales_left_employees_resent_skewed": f"""
+  SELECT s.*, e."EmployeeID" FROM ({SKEWED_SALES}) s
+  LEFT JOIN ({EMPLOYEES} UNION ALL {EMPLOYEES}) e ON s."SalesPersonID" = e."EmployeeID" """,
+    "sales_left_customers_skewed": matched(CUSTOMERS, "CustomerID"),
     "sales_first_purchase": labelled(),
     "sales_first_purchase_events": f"""
   SELECT "SalesID", "CustomerID", "SalesTimestamp", "FirstPurchaseDate", "CustomerType"

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from salesmart.operators.aggregates import first_purchases
 from salesmart.operators.joins import left_match, left_match_as, left_match_copies, repeated_keys, with_first_purchase
+from salesmart.operators.skew import left_match_skewed
 from salesmart.plans import dimensions, kpis
 from salesmart.plans.fact import build_fact_sales
 from salesmart.plans.mart import TABLES, build_mart, build_table
@@ -320,6 +321,28 @@ def sales_left_employees(spark, sf_dir):
     return left_match_as(sales, testbed.raw_employees(spark, sf_dir), "SalesPersonID", "EmployeeID")
 
 
+@query
+def sales_left_employees_skewed(spark, sf_dir):
+    """A third of the sales without sales person and a third of one: neither is shuffled."""
+    sales = with_sales_times(testbed.skewed(testbed.raw_sales(spark, sf_dir)))
+    return left_match_skewed(sales, testbed.raw_employees(spark, sf_dir), "SalesPersonID", "EmployeeID", keep_key=True)
+
+
+@query
+def sales_left_employees_resent_skewed(spark, sf_dir):
+    """As before, with every employee sent twice, so that the heavy one has copies too."""
+    sales = with_sales_times(testbed.skewed(testbed.raw_sales(spark, sf_dir)))
+    employees = testbed.raw_employees(spark, sf_dir)
+    return left_match_skewed(sales, employees.unionAll(employees), "SalesPersonID", "EmployeeID", keep_key=True)
+
+
+@query
+def sales_left_customers_skewed(spark, sf_dir):
+    """Null customers bypass the shuffle; no column of the customers is kept."""
+    sales = with_sales_times(testbed.raw_sales(spark, sf_dir))
+    return left_match_skewed(sales, testbed.raw_customers(spark, sf_dir), "CustomerID", "CustomerID")
+
+
 @query
 def sales_first_purchase(spark, sf_dir):
     sales = fact(spark, sf_dir)

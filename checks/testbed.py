@@ -63,6 +63,13 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def skewed(sales: DataFrame) -> DataFrame:
+    """Sales of which a third more, those whose order number leaves 1 by 3, are of sales person 2, besides the third without one."""
+    return sales.withColumn(
+        "SalesPersonID", F.when(F.col("SalesPersonID").isNull() | (F.col("SalesID") % 3 != 1), F.col("SalesPersonID")).otherwise(2)
+    )
+
+
 def raw_sales_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as sales, which have times finer than a second.
 

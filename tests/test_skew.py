@@ -1,0 +1,105 @@
+"""Joins that keep null and heavy keys out of the shuffle, with adaptive execution off."""
+
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from salesmart.operators.joins import left_match, left_match_as
+from salesmart.operators.skew import SkewSettings, is_broadcast, key_profile, left_match_skewed
+from salesmart.plans.fact import build_fact_sales
+from checks import testbed
+from tests.frames import values
+from tests.test_plans import plan, sf_fact
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def keyed(spark, tmp_path_factory):
+    """9,000 facts from six tasks: a third null, a third of key 7, a ninth of key 8, the rest spread over 1,000 keys."""
+    path = str(tmp_path_factory.mktemp("skew") / "facts")
+    key = "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN 7 WHEN id % 9 = 2 THEN 8 ELSE 100 + id % 1000 END"
+    spark.range(0, 9000, 1, 6).selectExpr("id", f"CAST({key} AS bigint) AS k").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def dimension(spark, *keys):
+    return spark.createDataFrame([(k, "x") for k in keys], "d bigint, other string")
+
+
+@pytest.fixture
+def static(settings):
+    settings(
+        spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__shuffle__partitions="16"
+    )
+
+
+def test_the_sketch_finds_heavy_keys(keyed):
+    found = key_profile(keyed, "k", SkewSettings(heavy=0.05))
+    assert (found.rows, found.nulls, found.heavy) == (9000, 3000, {7: 3000, 8: 1000})
+    assert 0.77 < found.spared < 0.79
+    empty = key_profile(keyed.limit(0), "k")
+    assert (empty.rows, empty.nulls, empty.heavy, empty.spared) == (0, 0, {}, 0.0)
+
+
+def test_the_sketch_is_merged_from_map_tasks(spark):
+    """More keys than counters: what is heavy is found, and nothing that is not."""
+    draw = random.Random(5)
+    rows = [(draw.choice([1, 2, None]) if draw.random() < 0.5 else 10 + i,) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "k bigint").repartition(8)
+    counts = Counter(k for (k,) in rows)
+    found = key_profile(df, "k", SkewSettings(heavy=0.05, keys=10, tracked=100))
+    assert set(found.heavy) == {1, 2} and found.nulls == counts[None]
+    assert all(abs(found.heavy[k] - counts[k]) <= 0.05 * len(rows) for k in (1, 2))
+
+
+def test_null_and_heavy_keys_are_not_shuffled(spark, keyed, static):
+    others = dimension(spark, 7, 8, *range(100, 900), 105, None, 5000)
+    joined = left_match_skewed(keyed, others, "k", "d", keep_key=True, settings=SkewSettings(heavy=0.05))
+    text = plan(joined)
+    assert text.count("BroadcastHashJoin") == 1 and text.count("SortMergeJoin") == 1 and "Union" in text
+    aside, rest = text.split("SortMergeJoin")
+    assert "hashpartitioning" not in aside
+    assert "INSET" in rest or "IN (7,8)" in rest or "(k = 7)" in rest
+    plain = left_match_as(keyed, others, "k", "d")
+    assert values(joined) == values(plain)
+    size = lambda df: max(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+    assert size(plain) > 3000 and size(joined) < 1500
+
+
+def test_copies_of_heavy_keys(spark, keyed, static):
+    others = dimension(spark, 7, 7, 7, 8, 200, 200)
+    settings = SkewSettings(heavy=0.05)
+    for keep_key in (True, False):
+        joined = left_match_skewed(keyed, others, "k", "d", keep_key, settings)
+        plain = left_match_as(keyed, others, "k", "d") if keep_key else left_match(keyed, others.withColumnRenamed("d", "k"), "k")
+        assert values(joined) == values(plain.select(*joined.columns))
+    many = left_match_skewed(keyed, others, "k", "d", settings=SkewSettings(heavy=0.05, copies=2))
+    assert many.count() == 9000 + 2 * 3000 + keyed.where("k = 200").count()
+    assert "IN (7" not in plan(many) and "(k = 7)" not in plan(many)
+
+
+def test_the_plain_join_where_nothing_is_heavy(spark, keyed, static):
+    spread = keyed.where("k >= 100")
+    joined = left_match_skewed(spread, dimension(spark, 100), "k", "d", settings=SkewSettings(heavy=0.05))
+    assert "Union" not in plan(joined) and joined.count() == spread.count()
+    assert left_match_skewed(spread.limit(0), dimension(spark, 100), "k", "d").count() == 0
+    only_null = keyed.where("k IS NULL")
+    assert left_match_skewed(only_null, dimension(spark, None), "k", "d", keep_key=True).where("d IS NULL").count() == 3000
+
+
+def test_the_fact_uses_it_for_employees_too_large_to_broadcast(spark, static):
+    raw = testbed.RawTables(spark, SF, sales=testbed.skewed(testbed.raw_sales(spark, SF)))
+    assert not is_broadcast(raw["employees"])
+    built = build_fact_sales(raw)
+    assert "Union" in plan(built)
+    assert values(built) == values(sf_fact(spark, sales=raw["sales"]))
+
+
+def test_no_copies_are_made_where_no_key_repeats(spark):
+    text = plan(build_fact_sales(testbed.RawTables(spark, SF)))
+    assert "Generate" not in text and is_broadcast(testbed.raw_employees(spark, SF))
+    resent = testbed.RawTables(spark, SF, products=testbed.raw_products_resent(spark, SF))
+    assert "Generate" in plan(build_fact_sales(resent))
