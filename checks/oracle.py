@@ -263,6 +263,7 @@ ORACLE = {
     "stored_dim_dates": DATES.format(sales=UNDATED_SALES),
     "stored_fact_sales_undated": fact(UNDATED_SALES),
     "stored_overwrite": f"""SELECT * FROM ({fact()}) WHERE "SalesTimestamp" >= TIMESTAMP '1997-01-01'""",
+    "stored_kpi_top_products_versioned": exact({"ProductID": '"ProductID"'}, "Revenue", EVENT_SALES),
     "dim_dates_undated": DATES.format(sales=UNDATED_SALES),
     "kpi_customer_type_counts_undated": customer_types(UNDATED_SALES),
     "kpi_customer_type_counts_undated_day": customer_types(UNDATED_SALES, "day"),

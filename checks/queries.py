@@ -262,16 +262,30 @@ def stored_fact_sales_undated(spark, sf_dir):
     return store.read(spark, "fact_sales")
 
 
-@query
-def stored_overwrite(spark, sf_dir):
+def overwritten(spark: SparkSession, sf_dir: str, store: MartStore) -> DataFrame:
     """The fact, then only its sales of 1997 on: no earlier day is left."""
-    store = mart_store(spark)
     rows = fact(spark, sf_dir)
     store.write(rows, "fact_sales", by_day=True)
     store.write(rows.where("SalesTimestamp >= '1997-01-01'"), "fact_sales", by_day=True)
     return store.read(spark, "fact_sales")
 
 
+@query
+def stored_overwrite(spark, sf_dir):
+    """Published by commit records."""
+    return overwritten(spark, sf_dir, MartStore.versioned(new_folder(spark, "mart")))
+
+
+@query
+def stored_kpi_top_products_versioned(spark, sf_dir):
+    """A whole build, twice, into versioned folders."""
+    raw = RawFiles(spark, written_raw(spark, testbed.RawTables(spark, sf_dir, sales=events(spark, sf_dir))))
+    store = MartStore.versioned(new_folder(spark, "mart"), keep=1)
+    for grain in ("day", "second"):
+        build_mart(spark, raw, store, grain)
+    return store.read(spark, "kpi_top_products")
+
+
 @query
 def mart_table_counts(spark, sf_dir):
     """The whole mart with events as sales, built from written raw tables; rows per table."""

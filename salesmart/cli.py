@@ -29,6 +29,7 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     where.add_argument("--mart", help="folder of the mart tables")
     where.add_argument("--database", help="catalog database of the mart tables")
     where.add_argument("--dataset", help="dataset of a warehouse connector; needs --format")
+    parser.add_argument("--versioned", type=int, metavar="KEEP", help="with --mart: publish tables by commit records and keep this many versions")
     parser.add_argument("--format", default="parquet", help="format of the mart tables, or name of the connector")
     parser.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="connector option")
     parser.add_argument("--day-option", action="append", default=[], metavar="KEY=VALUE", help="connector option of tables by day")
@@ -59,6 +60,8 @@ def needs_catalog(spark: SparkSession, options: argparse.Namespace) -> None:
 
 def store_of(options: argparse.Namespace) -> MartStore:
     """Where the command line wants the tables."""
+    if options.mart and options.versioned:
+        return MartStore.versioned(options.mart, options.format, options.versioned)
     if options.mart:
         return MartStore.files(options.mart, options.format)
     if options.database:

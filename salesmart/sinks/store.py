@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from salesmart.sinks.files import replace_folder
+from salesmart.sinks.versions import Versions
 
 DAY_COLUMN = "SalesDay"
 
@@ -17,7 +20,7 @@ DAY_COLUMN = "SalesDay"
 class MartStore:
     """Full-overwrite storage for mart tables.
 
-    Use one of the three constructors. Partitioned tables get a ``SalesDay``
+    Use one of the constructors. Partitioned tables get a ``SalesDay``
     column, as partitioning on the timestamp itself would make one directory per
     second; ``read`` drops it again unless asked to keep it for pruning.
     """
@@ -28,12 +31,18 @@ class MartStore:
     options: Mapping[str, str] = field(default_factory=dict)
     name_option: str | None = None
     day_options: Mapping[str, str] = field(default_factory=dict)
+    keep_versions: int = 0
 
     @classmethod
     def files(cls, folder: str, format: str = "parquet") -> MartStore:
         """One directory per table under ``folder``."""
         return cls(root=folder.rstrip("/"), format=format)
 
+    @classmethod
+    def versioned(cls, folder: str, format: str = "parquet", keep: int = 2) -> MartStore:
+        """As ``files``, for object stores: each write is a new folder that one commit record publishes, and the last ``keep`` stay."""
+        return cls(root=folder.rstrip("/"), format=format, keep_versions=max(1, keep))
+
     @classmethod
     def database(cls, database: str, format: str = "parquet") -> MartStore:
         """Managed tables of a catalog database."""
@@ -73,6 +82,8 @@ class MartStore:
         elif self.name_option:
             day_options = self.day_options if by_day else {}
             writer.options(**day_options).option(self.name_option, self._name(table)).save()
+        elif self.keep_versions:
+            Versions(df.sparkSession, self._name(table)).publish(writer.save, df.schema.json(), self.keep_versions)
         else:
             replace_folder(df.sparkSession, self._name(table), writer.save)
 
@@ -84,6 +95,9 @@ class MartStore:
             reader = spark.read.format(self.format).options(**self.options)
             if self.name_option:
                 df = reader.option(self.name_option, self._name(table)).load()
+            elif self.keep_versions:
+                folder, schema = Versions(spark, self._name(table)).current()
+                df = reader.schema(StructType.fromJson(json.loads(schema))).load(folder)
             else:
                 df = reader.load(self._name(table))
         return df if keep_day else df.drop(DAY_COLUMN)
