@@ -4,18 +4,21 @@ Vectors become codes of ``rotations`` times as many bits as they have components
 learned, from different starts, to bring the components of a sample near plus or minus one. Vectors of unequal length
 first get one more component that makes them equally long, so that the angle to a query orders as the inner product does.
 
-The codes of a block of vectors are cut into substrings of 16 bits, and each substring is an index from its value to
-the vectors that have it. If two codes differ in at most ``m (e + 1) - 1`` bits, one of the m substrings differs in at most e. So probing
-all occupied buckets within e errors in every substring retrieves every code within that radius; e grows until the radius is certain to hold
-as many codes as are to be reranked. These are compared by their original components.
-
-Every query meets every block: (block, group of queries) is one task's work, of bounded size, and returns the
-best of that block. The best of all blocks are the result. Equal vectors are one entry of the index
+The codes of a block of vectors are cut into substrings of 16 bits, and each substring is an index from its distinct values to
+the vectors that have them. If two codes differ in at most ``m (e + 1) - 1`` bits, one of the m substrings differs in at most e. So opening
+all occupied buckets within e errors in every substring retrieves every code within that radius; e is, per query, the least whose radius
+holds as many codes as are to be reranked. These are compared by their original components. With a shortlist of 1 the result is exact.
+
+A block's index is built once, and the queries stream through it in groups: a group's errors against all distinct values of a
+substring are one array operation, and added up over the substrings they are the distances of what is opened. Rows and queries
+reach a block's task in one sorted shuffle, rows first, so that a task holds one block and one group. Each task returns the
+best of its block. The best of all blocks are the result. Equal vectors are one entry of the index
 that names the smallest of their ids, as many as a result can hold.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,7 +36,7 @@ _SUBSTRING = 16
 @dataclass(frozen=True)
 class SearchSettings:
     """``sample``: vectors the rotations are learned from. ``shortlist``: share of a block that is reranked per query,
-    and ``least`` its smallest number. ``block`` and ``queries``: vectors and queries that meet at once."""
+    and ``least`` its smallest number. ``block``: vectors in one index, at most about; there are ``blocks`` at least. ``queries``: queries probed at once."""
 
     k: int = 20
     rotations: int = 4
@@ -41,8 +44,9 @@ class SearchSettings:
     sample: int = 4096
     shortlist: float = 0.06
     least: int = 100
-    block: int = 8192
-    queries: int = 512
+    block: int = 32_768
+    blocks: int = 16
+    queries: int = 128
     seed: int = 3
 
 
@@ -75,73 +79,77 @@ def codes(values: np.ndarray, rotations: np.ndarray) -> np.ndarray:
 
 
 class BlockIndex:
-    """One index per substring over a block of codes."""
+    """One index per substring over a block of codes: its distinct values, and each member's bucket among them."""
 
     def __init__(self, block: np.ndarray):
-        self.codes = block
         self.count, self.substrings = block.shape
-        values, starts, sizes, members, owner = [], [], [], [], []
-        for s in range(self.substrings):
-            order = np.argsort(block[:, s], kind="stable")
-            distinct, first, number = np.unique(block[order, s], return_index=True, return_counts=True)
-            values.append(distinct)
-            starts.append(first + s * self.count)
-            sizes.append(number)
-            members.append(order)
-            owner.append(np.full(len(distinct), s))
-        self.values, self.starts, self.sizes = map(np.concatenate, (values, starts, sizes))
-        self.members, self.owner = np.concatenate(members), np.concatenate(owner)
+        found = [np.unique(block[:, s], return_inverse=True) for s in range(self.substrings)]
+        self.values, self.buckets = [v for v, _ in found], [b for _, b in found]
 
     def within(self, code: np.ndarray, wanted: int) -> np.ndarray:
-        """At least ``wanted`` members (or all): every member within some Hamming radius of ``code``."""
-        errors = np.bitwise_count(self.values ^ code[self.owner])
-        distance = np.full(self.count, -1, dtype=np.int32)
-        seen = 0
-        for level in range(_SUBSTRING + 1):
-            buckets = np.nonzero(errors == level)[0]
-            sizes = self.sizes[buckets]
-            ends = np.cumsum(sizes)
-            if len(buckets):
-                places = np.arange(ends[-1]) + np.repeat(self.starts[buckets] - (ends - sizes), sizes)
-                new = self.members[places]
-                new = new[distance[new] < 0]
-                distance[new] = np.bitwise_count(self.codes[new] ^ code).sum(axis=1)
-                new = np.unique(new)
-                seen += len(new)
-            radius = self.substrings * (level + 1) - 1
-            inside = (distance >= 0) & (distance <= radius)
-            if seen == self.count or np.count_nonzero(inside) >= wanted:
-                break
-        known = np.nonzero(inside)[0] if seen < self.count else np.arange(self.count)
-        if len(known) <= wanted:
-            return known
-        near = np.partition(distance[known], wanted - 1)[wanted - 1]
-        return known[distance[known] <= near]
+        """As ``within_all``, for one code."""
+        return self.within_all(code[None], wanted)[0]
+
+    def within_all(self, asked: np.ndarray, wanted: int) -> list[np.ndarray]:
+        """For each code at least ``wanted`` members (or all): every member within some Hamming radius of it."""
+        if wanted >= self.count:
+            return [np.arange(self.count)] * len(asked)
+        distance = np.zeros((len(asked), self.count), dtype=np.uint16)
+        least = np.full(distance.shape, _SUBSTRING, dtype=np.uint8)  # fewest errors in any substring: the level that opens a member
+        for s in range(self.substrings):
+            errors = np.bitwise_count(self.values[s] ^ asked[:, s : s + 1])
+            of_member = np.take(errors, self.buckets[s], axis=1)
+            distance += of_member
+            np.minimum(least, of_member, out=least)
+        nearest_of = np.partition(distance, wanted - 1, axis=1)[:, wanted - 1]
+        level = nearest_of // self.substrings  # the first whose radius, substrings * (level + 1) - 1, reaches that far
+        inside = (least <= level[:, None]) & (distance <= nearest_of[:, None])
+        return [np.nonzero(row)[0] for row in inside]
+
+
+def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, bool, pd.DataFrame]]:
+    """Rows that follow each other and are of one block and kind."""
+    for batch in batches:
+        block, asks = batch["block"].to_numpy(), batch["asks"].to_numpy()
+        edges = np.nonzero((np.diff(block) != 0) | (np.diff(asks.astype(np.int8)) != 0))[0] + 1
+        for start, end in zip([0, *edges], [*edges, len(batch)], strict=True):
+            if end > start:
+                yield int(block[start]), bool(asks[start]), batch.iloc[start:end]
 
 
 def _search(rotations: np.ndarray, longest: float, settings: SearchSettings):
-    """The nearest of one block for each query of one group."""
-
-    def work(_, entries: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        columns = ["query_class", "vec_id", "score"]
-        if not len(entries) or not len(asked):
-            return pd.DataFrame({c: pd.Series(dtype="float64" if c == "score" else "int64") for c in columns})
-        values, queries = matrix(entries["embedding"]), matrix(asked["embedding"])
-        index = BlockIndex(codes(lengthened(values, longest), rotations))
+    """The nearest of each block for each query; rows come by block, entries before queries."""
+
+    def best_of(values: np.ndarray, ids: list, index: BlockIndex, asked: pd.DataFrame) -> pd.DataFrame:
+        queries = matrix(asked["embedding"])
         norms = np.linalg.norm(queries, axis=1, keepdims=True)
         asked_codes = codes(np.column_stack([queries / norms, np.zeros(len(queries))]), rotations)
         wanted = max(settings.least, int(np.ceil(settings.shortlist * len(values))))
-        ids = entries["ids"].to_list()
         found: list[tuple] = []
-        for query_class, query, code in zip(asked["vec_id"], queries, asked_codes, strict=True):
-            near = index.within(code, wanted)
+        for query_class, query, near in zip(asked["vec_id"], queries, index.within_all(asked_codes, wanted), strict=True):
             scores = (values[near] * query).sum(axis=1)
             if len(near) > settings.k + 1:
                 limit = np.partition(scores, -settings.k - 1)[-settings.k - 1]
                 near, scores = near[scores >= limit], scores[scores >= limit]
             best = sorted((-s, int(i)) for n, s in zip(near, scores, strict=True) for i in ids[n])
             found += [(query_class, i, -s) for s, i in best[: settings.k + 1]]
-        return pd.DataFrame(found, columns=columns)
+        return pd.DataFrame(found, columns=["query_class", "vec_id", "score"])
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        current, ready = None, None
+        for block, asks, rows in _runs(batches):
+            if block != current:
+                held, current, ready = [], block, None
+            if not asks:
+                held.append(rows[["ids", "embedding"]])
+            elif held:
+                if ready is None:
+                    entries = pd.concat(held)
+                    values = matrix(entries["embedding"])
+                    ready = values, entries["ids"].to_list(), BlockIndex(codes(lengthened(values, longest), rotations))
+                for start in range(0, len(rows), settings.queries):
+                    yield best_of(*ready, rows.iloc[start : start + settings.queries])
 
     return work
 
@@ -177,22 +185,23 @@ def nearest(vectors: DataFrame, is_query: Column, settings: SearchSettings = Sea
     dimension = dimension_of(entries, "embedding")
     if dimension is None:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    counts = (entries.count(), asked.count())
+    count = entries.count()
     squares = F.aggregate(F.col("embedding").cast("array<double>"), F.lit(0.0), lambda s, x: s + x * x)
     longest = float(np.sqrt(entries.agg(F.max(squares)).first()[0])) * (1 + 1e-9)
     chosen = capped_sample(entries, "vec_id", settings.sample).select("embedding").collect()
     sample = lengthened(np.array([r["embedding"] for r in chosen], dtype=np.float64), longest)
     rotations = learn_rotations(sample, settings)
 
-    blocks, groups = max(4, -(-counts[0] // settings.block)), max(4, -(-counts[1] // settings.queries))
-    block, group = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)), F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(groups))
-    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = entries.select("vec_id", "ids", "embedding", block.cast("int").alias("block"), all_of(groups).alias("group"))
-    right = asked.select("vec_id", "embedding", group.cast("int").alias("group"), all_of(blocks).alias("block"))
+    blocks = max(settings.blocks, -(-count // settings.block))
+    block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    rows = entries.select(block.alias("block"), F.lit(False).alias("asks"), "vec_id", "ids", "embedding").unionByName(
+        asked.select(every.alias("block"), F.lit(True).alias("asks"), "vec_id", F.lit(None).cast("array<bigint>").alias("ids"), "embedding")
+    )
     found = (
-        left.groupBy("block", "group")
-        .cogroup(right.groupBy("block", "group"))
-        .applyInPandas(_search(rotations, longest, settings), "query_class bigint, vec_id bigint, score double")
+        rows.repartition(blocks, "block")
+        .sortWithinPartitions("block", "asks")
+        .mapInPandas(_search(rotations, longest, settings), "query_class bigint, vec_id bigint, score double")
     )
     best = Window.partitionBy("query_class").orderBy(F.desc("score"), "vec_id")
     of_class = stage(

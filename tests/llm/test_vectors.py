@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from salesmart.llm import ann, caps
 from salesmart.llm.components import connected_components
+from salesmart.llm.queries import QUERIES
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int, n_links string, score string"
 
@@ -124,3 +125,27 @@ def test_components_of_chains_and_stars(spark):
     assert {r["node"]: r["component"] for r in found} == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)}
     assert len(found) == 71
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_a_shortlist_of_everything_is_exact(spark):
+    rows = list(enumerate(some(8, 400)))
+    values = np.array([v for _, v in rows], dtype=np.float64)
+    found = ann.nearest(vectors(spark, rows), F.col("vec_id") % 20 == 0, ann.SearchSettings(shortlist=1.0, block=90, blocks=2, queries=3)).toPandas()
+    for query, group in found.sort_values("rank").groupby("query_id"):
+        scores = values @ values[query]
+        scores[query] = -np.inf
+        assert group["vec_id"].tolist() == np.lexsort((np.arange(400), -scores))[:20].tolist()
+
+
+def test_recall_of_the_query_over_the_smallest_embeddings(spark):
+    sf = "/root/testdata/sf0.001"
+    table = spark.read.parquet(f"{sf}/embeddings.parquet").collect()
+    ids, values = np.array([r["vec_id"] for r in table]), np.array([r["embedding"] for r in table], dtype=np.float64)
+    found = QUERIES["op9_nearest_neighbours"](spark, sf).toPandas()
+    assert set(found["query_id"]) == {i for i in ids if i % 20 == 0}
+    hits = 0
+    for query, group in found.groupby("query_id"):
+        scores = values @ values[ids == query][0]
+        scores[ids == query] = -np.inf
+        hits += len(set(group["vec_id"]) & set(ids[np.lexsort((ids, -scores))[:20]]))
+    assert hits >= 0.95 * len(found)
