@@ -91,13 +91,15 @@ def sign(docs: DataFrame, settings: NearCopySettings) -> DataFrame:
                     for row, value, bit in zip(full, values[:, :positions], bits, strict=True):
                         signature[row], sketch[row] = value, bit
                 part["signature"], part["sketch"] = signature, sketch
-                yield part.astype({"doc_id": "Int64"})
+                yield part
 
+    # Ids go as text, since pandas would turn whole numbers beside nulls into doubles.
     schema = (
-        "doc_id bigint, text_hash bigint, n_shingles bigint, set_a bigint, set_b bigint,"
+        "doc_id string, text_hash bigint, n_shingles bigint, set_a bigint, set_b bigint,"
         " signature array<int>, sketch array<bigint>"
     )
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInPandas(work, schema)
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+    return rows.mapInPandas(work, schema).withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
 def keys(settings: NearCopySettings) -> list:
@@ -131,7 +133,8 @@ def _compare(settings: NearCopySettings):
     """One link towards its component for every member of a pair of blocks that has a near copy there."""
 
     def work(group: pd.DataFrame) -> pd.DataFrame:
-        sets = shingle_sets([(t or "").encode() for t in group["text"]], settings.width)
+        texts = [(t or "").encode() for t in group["text"]]
+        sets = [s for rows in _portions([len(t) for t in texts]) for s in shingle_sets(texts[rows], settings.width)]
         sizes = np.array([len(s) for s in sets])
         shingles, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
         row = np.repeat(np.arange(len(sets)), sizes)
@@ -214,7 +217,7 @@ def near_copies(docs: DataFrame, settings: NearCopySettings = NearCopySettings()
         .distinct(),
         "near-pairs",
     )
-    texts = _texts(docs, classes)
+    texts = _texts(docs, classes, signed)
     with_a = pairs.join(texts.withColumnsRenamed({"doc_id": "a", "text": "text_a"}), "a")
     with_both = with_a.join(texts.withColumnsRenamed({"doc_id": "b", "text": "text_b"}), "b")
     links = stage(with_both.select("a", "b", "text_a", "text_b").mapInPandas(_confirm(settings), "a bigint, b bigint"), "near-links")
@@ -241,10 +244,22 @@ def near_copies(docs: DataFrame, settings: NearCopySettings = NearCopySettings()
     )
 
 
-def _texts(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """doc_id and text of the first document of each class."""
+def _texts(docs: DataFrame, classes: DataFrame, signed: DataFrame) -> DataFrame:
+    """doc_id and text of the first document of each class, once also where its row is repeated.
+
+    Only repeated rows, normally none, are gathered to take one of each; the other texts are not shuffled for it.
+    """
+    identity = ["doc_id", "text_hash"]
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    return rows.join(classes.select("doc_id", "text_hash"), ["doc_id", "text_hash"], "left_semi").select("doc_id", "text")
+    first = rows.join(classes.select(*identity), identity, "left_semi")
+    repeated = stage(
+        signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*identity).agg(F.count(F.lit(1)).alias("times")).where("times > 1"),
+        "near-repeated",
+    )
+    if repeated.isEmpty():
+        return first.select("doc_id", "text")
+    one_of_each = first.join(repeated, identity, "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    return first.join(repeated, identity, "left_anti").select("doc_id", "text").unionByName(one_of_each)
 
 
 def _links_of_rest(

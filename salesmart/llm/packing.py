@@ -16,8 +16,11 @@ a task that is run again gives the same sequences with the same numbers.
 from __future__ import annotations
 
 import base64
-from collections.abc import Callable, Iterator
+import json
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
+from functools import partial
+from types import MappingProxyType
 
 import numpy as np
 import pandas as pd
@@ -34,7 +37,7 @@ class Limits:
     tokens: int = 1024
     segments: int = 64
     loss_tokens: int = 1024
-    window: int = 1024
+    window: int = 4096
     shortest_cut: int = 16
 
 
@@ -148,25 +151,37 @@ def pack_examples(examples: DataFrame, limits: Limits = Limits(), partitions: in
                 out = []
         yield pd.DataFrame(out, columns=["example_id", "sequence_id", "offset"])
 
-    kind = examples.schema["example_id"].dataType.simpleString()
-    return rows.mapInPandas(work, f"example_id {kind}, sequence_id bigint, offset bigint")
+    # As text, since pandas would turn whole numbers beside nulls into doubles.
+    kind = examples.schema["example_id"].dataType
+    named = rows.withColumn("example_id", F.col("example_id").cast("string"))
+    found = named.mapInPandas(work, "example_id string, sequence_id bigint, offset bigint")
+    return found.withColumn("example_id", F.col("example_id").cast(kind))
 
 
 # ---- documents
 
-def _encoder(ranks_path: str, pattern: str):
+def _encoder(ranks_path: str, pattern: str, specials: Mapping[str, int]) -> Callable[[str], list[int]]:
     import tiktoken
 
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=dict(specials))
+    return partial(encoding.encode, allowed_special="all") if specials else encoding.encode_ordinary
 
 
-def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, limits: Limits = Limits()) -> DataFrame:
+def special_tokens(tokenizer_path: str) -> dict[str, int]:
+    """Spelling and id of the special tokens in a ``tokenizers`` file."""
+    with open(tokenizer_path, encoding="utf-8") as file:
+        return {t["content"]: t["id"] for t in json.load(file).get("added_tokens", ()) if t.get("special")}
+
+
+def pack_documents(
+    docs: DataFrame, ranks_path: str, pattern: str, limits: Limits = Limits(), specials: Mapping[str, int] = MappingProxyType({})
+) -> DataFrame:
     """Token sequences of all documents.
 
     ``ranks_path`` is a rank file of a byte-level vocabulary, present on every executor, and ``pattern`` the pattern
-    its pre-tokens are split by; a special token's spelling in a text is ordinary text. A document is
+    its pre-tokens are split by. The spelling of a token in ``specials`` becomes its id; without them it is ordinary text. A document is
     its text's ids, then id 0. It is cut at the sequence length; a shorter rest is one piece. The loss-bearing
     tokens of a piece are all but its first, which nothing predicts.
 
@@ -174,10 +189,12 @@ def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, limits: Limit
     sequence_id, offset. Null and empty texts are the one id 0. Rows with equal or null doc_id are separate documents.
     Other columns are not looked at. An empty table gives no pieces.
     """
-    rows = docs.select("doc_id", "text").withColumn("part", F.spark_partition_id())
+    # Ids go as text, since pandas would turn whole numbers beside nulls into doubles.
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").withColumn("part", F.spark_partition_id())
+    specials = dict(specials)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = _encoder(ranks_path, pattern).encode_ordinary
+        encode = _encoder(ranks_path, pattern, specials)
         part = [0]
 
         def piece(doc_id, start: int, data: bytes, total: int) -> tuple:
@@ -194,8 +211,7 @@ def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, limits: Limit
         def pieces():
             for batch in batches:
                 part[0] = int(batch["part"].iloc[0]) if len(batch) else part[0]
-                doc_ids = batch["doc_id"].astype("Int64")
-                for doc_id, text in zip(doc_ids, batch["text"], strict=True):
+                for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                     data = np.array([*encode(text or ""), 0], dtype="<u4").tobytes()
                     total = len(data) // 4
                     for start in range(0, total, limits.tokens):
@@ -206,7 +222,6 @@ def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, limits: Limit
 
         def frame() -> pd.DataFrame:
             made = pd.DataFrame(out, columns=columns)
-            made["doc_id"] = made["doc_id"].astype("Int64")
             made.insert(2, "length", [len(row[2]) // 4 for row in out])
             return made
 
@@ -218,8 +233,8 @@ def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, limits: Limit
         yield frame()
 
     schema = (
-        "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
+        "doc_id string, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
     )
-    return rows.mapInPandas(work, schema)
+    return rows.mapInPandas(work, schema).withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 

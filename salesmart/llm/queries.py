@@ -132,9 +132,10 @@ def op3_sharding(spark, sf_dir):
 
 
 def packed(docs: DataFrame) -> DataFrame:
-    """Pieces with a digest of their ids; the vocabulary is the one of byte_bpe_50k.json, as ranks."""
+    """Pieces with a digest of their ids; the vocabulary and special tokens are those of byte_bpe_50k.json, the vocabulary as ranks."""
+    specials = packing.special_tokens(public_tokenizers.path("byte_bpe_50k.json"))
     pieces = packing.pack_documents(
-        docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+        docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, specials=specials
     )
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 

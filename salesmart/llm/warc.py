@@ -235,19 +235,18 @@ def write_archives(
         compressor = zstandard.ZstdCompressor(level=settings.level, dict_data=known)
         lead = [dictionary_frame(dictionary)] if dictionary else []
         for batch in batches:
-            refers = batch["refers_to"].astype("Int64")
             out = [
-                compressor.compress(
-                    build_record(int(page), url, html.encode(), digest, None if to is pd.NA else int(to), settings.date)
-                )
+                compressor.compress(build_record(int(page), url, html.encode(), digest, None if to is None else int(to), settings.date))
                 for page, url, html, digest, to in zip(
-                    batch["page_id"], batch["url"], batch["html"], batch["payload_digest"], refers, strict=True
+                    batch["page_id"], batch["url"], batch["html"], batch["payload_digest"], batch["refers_to"], strict=True
                 )
             ]
             yield pd.DataFrame({"frame": lead + out if out else []})
             lead = [] if out else lead
 
-    frames_ = marked.where(F.col("page_id").isNotNull()).mapInPandas(records, "frame binary")
+    # Ids go as text, since pandas would turn whole numbers beside nulls into doubles.
+    named = marked.where(F.col("page_id").isNotNull()).withColumn("refers_to", F.col("refers_to").cast("string"))
+    frames_ = named.mapInPandas(records, "frame binary")
     text = frames_.select(F.col("frame").cast("string").alias("value"))
     text.write.option("lineSep", EMPTY_SKIPPABLE.decode()).text(folder)
 

@@ -95,3 +95,11 @@ def test_shingles_of_bytes_match_words():
                 assert known.setdefault(shingle, found[0]) == found[0]
         assert len(set(known.values())) == len(known)
     assert np.array_equal(shingle_sets([b"a b", b"A  b"], 4)[0], shingle_sets([b"A  b"], 4)[0])
+
+
+def test_large_ids_beside_nulls(spark):
+    rows = [(2**60 + 1, "a b c d e f"), (None, "a b c d e f"), (2**60 + 3, "A b c d e f"), (2**60 + 3, "A b c d e f"), (2**60 + 5, "x y")]
+    found = near_copies(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)).collect()
+    first = 2**60 + 1
+    expected = [(first, first, True), (first + 2, first, False), (first + 2, first, False), (first + 4, first + 4, True), (None, None, False)]
+    assert sorted(((r["doc_id"], r["component_id"], r["kept"]) for r in found), key=lambda r: (r[0] is None, r)) == expected

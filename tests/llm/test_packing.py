@@ -1,6 +1,7 @@
 """Vector packing: limits, little padding, and exact round trips of the tokens."""
 
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -8,6 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from salesmart.llm.packing import Limits, pack_documents, pack_examples
+from salesmart.llm.queries import QUERIES
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 SCHEMA = "doc_id bigint, text string, ids string, sequence_id string"
@@ -79,3 +81,40 @@ def test_an_example_over_a_limit_fails(spark):
     examples = spark.createDataFrame([(1, 5000, 1, 1)], "example_id bigint, tokens bigint, segments bigint, loss_tokens bigint")
     with pytest.raises(Exception, match="fits no sequence"):
         pack_examples(examples).collect()
+
+
+def test_large_ids_beside_nulls(spark):
+    large = [2**60 + 1, None, 2**60 + 3]
+    found = pack_documents(spark.createDataFrame([(i, "a") for i in large], "doc_id bigint, text string").coalesce(1), RANKS, PATTERN)
+    assert sorted(r["doc_id"] for r in found.collect() if r["doc_id"]) == [2**60 + 1, 2**60 + 3]
+    examples = spark.createDataFrame([(i, 1, 1, 1) for i in large], "example_id bigint, tokens bigint, segments bigint, loss_tokens bigint")
+    found = pack_examples(examples.coalesce(1))
+    assert dict(found.dtypes)["example_id"] == "bigint"
+    assert sorted(r["example_id"] for r in found.collect() if r["example_id"]) == [2**60 + 1, 2**60 + 3]
+
+
+def test_the_query_gives_the_ids_of_the_unchanged_tokenizer(spark, tmp_path):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>  y  ", "plain  text", "a\n<|endoftext|>\nb", "<|endoftext", None, " "]
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = {}
+    for r in sorted(QUERIES["op1_packing"](spark, str(tmp_path)).collect(), key=lambda r: (r["doc_id"], r["start"])):
+        found.setdefault(r["doc_id"], []).append((r["ids_crc32"], r["doc_tokens"]))
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for doc_id, text in enumerate(texts):
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+        assert found[doc_id] == [(zlib.crc32(np.array(ids, dtype="<u4").tobytes()), len(ids))]
+
+
+def test_the_query_over_the_smallest_documents(spark):
+    sf = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    found = QUERIES["op1_packing"](spark, sf).toPandas()
+    check_sequences(found, Limits())
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert set(found["doc_id"]) == set(texts)
+    for doc_id, pieces in found.sort_values("start").groupby("doc_id"):
+        ids = [*tokenizer.encode(texts[doc_id] or "", add_special_tokens=False).ids, 0]
+        crcs = [zlib.crc32(np.array(ids[s : s + n], dtype="<u4").tobytes()) for s, n in zip(pieces["start"], pieces["length"], strict=True)]
+        assert list(pieces["ids_crc32"]) == crcs and pieces["length"].sum() == len(ids)

@@ -93,3 +93,12 @@ def test_damaged_archives_fail_or_are_reported(spark, tmp_path):
         warc.read_archives(spark, str(tmp_path)).collect()
     errors = [r["error"] for r in warc.read_archives(spark, str(tmp_path), strict=False).collect()]
     assert errors[0] is None and "digest" in errors[1] and "cut short" in errors[2]
+
+
+def test_large_ids_beside_nulls(spark, tmp_path):
+    page = "x" * 200
+    rows = [(2**60 + 1, "u", page), (2**60 + 3, "u", page), (5, "u", "other")]
+    folder = str(tmp_path / "archives")
+    warc.archive_pages(spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1), folder)
+    found = {r["page_id"]: r["refers_to"] for r in warc.read_archives(spark, folder).collect()}
+    assert found == {2**60 + 1: None, 2**60 + 3: 2**60 + 1, 5: None}
