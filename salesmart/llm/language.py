@@ -24,6 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salesmart.llm.names import free_name
 from salesmart.llm.samples import hash_sample_per
 from salesmart.sinks.staging import stage
 
@@ -199,6 +200,39 @@ def train(docs: DataFrame, settings: TrainingSettings = TrainingSettings()) -> M
     return Model(counted.where(enough).select("lang", "kind", "item", "times").toArrow().to_pandas())
 
 
+def with_judgement(docs: DataFrame, model: Model, name: str) -> DataFrame:
+    """``docs`` with a column ``name``: struct of lang_pred and score, as ``identify`` gives them, and known, as ``Model.known_share``."""
+    # Plain values, bounded by max_words and max_grams.
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
+
+    @F.pandas_udf("lang_pred string, score double, known double")
+    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        scores: dict[str, np.ndarray] = {}
+        shares: dict[str, float] = {}
+        model_ = Model.from_values(shared.value)
+        for texts in batches:
+            found = [(*model_.predict(text, scores), model_.known_share(text, shares)) for text in texts]
+            yield pd.DataFrame(found, columns=["lang_pred", "score", "known"])
+
+    return docs.withColumn(name, judge("text"))
+
+
+def in_a_language(docs: DataFrame, model: Model, least_known: float, ahead: float = 1.05) -> DataFrame:
+    """The rows of ``docs`` whose text is in one of the model's languages.
+
+    Two conditions decide. ``identify`` finds a language, with a score of ``ahead`` times an even split over the languages at least: a text
+    of which nothing is known, such as one in an unlearned script, speaks for no language. And the model knows at least a share of
+    ``least_known`` of the text, by words, since letter noise may well look more like one language than another. A short text of known
+    words stays, even where several languages have them. A null text, or one without a letter, is in none.
+    """
+    name = free_name(docs.columns, "language_found")
+    judged = with_judgement(docs, model, name)
+    even = 1.0 / max(1, len(model.languages))
+    found, score, known = (F.col(name)[field] for field in ("lang_pred", "score", "known"))
+    clear = score >= min(1.0, ahead * even)
+    return judged.where((found != UNDETERMINED) & clear & (known >= least_known)).select(*docs.columns)
+
+
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (0 to 1), predicted from the whole text alone.
 
@@ -218,7 +252,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
             found = [known.predict(text, remembered) for text in texts]
             yield pd.DataFrame(found, columns=["lang_pred", "score"])
 
-    return docs.withColumn("lang_found", predict("text")).select(*docs.columns, "lang_found.lang_pred", "lang_found.score")
+    name = free_name(docs.columns, "lang_found")
+    return docs.withColumn(name, predict("text")).select(*docs.columns, f"{name}.lang_pred", f"{name}.score")
 
 
 def recognised(docs: DataFrame, model: Model, least: float) -> DataFrame:

@@ -22,6 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salesmart.llm.names import free_name
 from salesmart.llm.samples import capped_sample
 from salesmart.sinks.staging import stage
 
@@ -122,7 +123,10 @@ class Chain:
 
 
 def train(docs: DataFrame, labels: DataFrame, settings: ChainSettings = ChainSettings()) -> Chain:
-    """A chain for ``docs`` (doc_id, text) with ``labels`` (doc_id, toxic 0 or 1). Rows with nulls do not train."""
+    """A chain for ``docs`` (doc_id, text) with ``labels`` (doc_id, toxic 0 or 1). Rows with nulls do not train.
+
+    Of several texts under one doc_id the first in order trains; of several labels the highest counts.
+    """
     spark = docs.sparkSession
     categories = settings.categories
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
@@ -131,10 +135,9 @@ def train(docs: DataFrame, labels: DataFrame, settings: ChainSettings = ChainSet
         .groupBy("doc_id")
         .agg(F.max("toxic").cast("int").alias("toxic"))
     )
-    sample = stage(
-        docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(chosen), "doc_id"),
-        "toxicity-sample",
-    )
+    # One text per labelled doc_id, so that the bound holds for rows too, however often an id is repeated.
+    texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    sample = stage(texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")), "toxicity-sample")
 
     def truth(text: str, toxic: int) -> list[int]:
         words = set(WORD.findall(text.lower())) if toxic else set()
@@ -190,6 +193,12 @@ def _surprise(category: int, totals):
     return F.abs(F.col(f"held{category}") - expected) / F.sqrt(expected * (1 - share) + 1)
 
 
+def toxic_column(docs: DataFrame, chain: Chain, name: str) -> DataFrame:
+    """``docs`` with the boolean column ``name``, as ``toxic`` of ``score``; other columns are kept, whatever their names."""
+    found = score(docs.select(F.col("text"), F.struct(*docs.columns).alias("row")), chain)
+    return found.select("row.*", F.col("toxic").alias(name))
+
+
 def score(docs: DataFrame, chain: Chain) -> DataFrame:
     """``docs`` with ``p_<category>`` for each category, and ``toxic``: the last probability reaches the threshold.
 
@@ -210,7 +219,8 @@ def score(docs: DataFrame, chain: Chain) -> DataFrame:
         for texts in batches:
             yield pd.Series([known.predict(text) for text in texts], dtype=object)
 
-    scored = docs.withColumn("chain_scores", probabilities("text"))
-    values = [F.col("chain_scores")[i].alias(name) for i, name in enumerate(names)]
-    toxic = F.col("chain_scores")[len(names) - 1] >= chain.settings.threshold
+    found = free_name(docs.columns, "chain_scores")
+    scored = docs.withColumn(found, probabilities("text"))
+    values = [F.col(found)[i].alias(name) for i, name in enumerate(names)]
+    toxic = F.col(found)[len(names) - 1] >= chain.settings.threshold
     return scored.select(*docs.columns, *values, toxic.alias("toxic"))

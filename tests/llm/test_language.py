@@ -38,7 +38,7 @@ def test_unseen_words_back_off_to_shorter_ngrams(spark):
     assert "kalomitukalomitu" not in model.words
     assert model.predict("kalomitukalomitu", {})[0] == "aa"
     assert model.predict("grugrugruchenöl", {})[0] == "bb"
-    assert model.backed_off("♥").tolist() == model.backed_off("☃").tolist() or True
+    assert model.backed_off("♥").tolist() == model.backed_off("☃").tolist()
     assert model.predict("日本", {})[0] in model.languages
 
 

@@ -8,6 +8,7 @@ import pytest
 import __spark_entry__ as driver
 import corpus_pipeline
 from checks.compare import differences, duck
+from salesmart.llm import language
 from salesmart.llm.queries import ORACLE, QUERIES
 from salesmart.sinks.staging import stage
 from tests.llm.test_minhash import brute
@@ -78,3 +79,35 @@ def test_repeated_rows_and_null_ids_in_the_near_copy_stage(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
     kept = corpus_pipeline.near_copy_stage(spark, docs, SF).collect()
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept) == [(False, 1), (True, 0)]
+
+
+def test_rows_with_equal_ids_and_different_texts_are_kept(spark):
+    words = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(5, words, "a"), (5, "quite another text with words of its own", "b"), (5, words.upper(), "c"), (3, words + " ", "d"), (9, None, "e"), (9, "", "f")]
+    schema = "doc_id bigint, text string, row_number string"
+    docs = spark.createDataFrame(rows, schema)
+    kept = corpus_pipeline.near_copy_stage(spark, docs, SF)
+    assert kept.columns == docs.columns
+    assert sorted(r["row_number"] for r in kept.collect()) == ["b", "d", "e", "f"]
+
+
+def test_stages_keep_columns_with_clashing_names(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    extra = {name: docs["doc_id"] for name in ("lang_pred", "score", "known", "language_found", "toxic", "is_toxic", "chain_scores", "row", "p_toxic")}
+    docs = stage(docs.withColumns(extra), "clashing")
+    for name, function in corpus_pipeline.STAGES[:3]:
+        docs = stage(function(spark, docs, SF), name)
+        rows = docs.collect()
+        assert rows and all(r[column] == r["doc_id"] for r in rows for column in extra)
+
+
+def test_the_language_stage_decides_by_language(spark):
+    """What speaks for every language alike is rejected even if all of it were known."""
+    schema = "doc_id bigint, text string, lang string"
+    rows = [(i, "kalo mitu bera" if i % 2 else "grun schel oft", "aa" if i % 2 else "bb") for i in range(400)]
+    model = language.train(spark.createDataFrame(rows, schema))
+    asked = [(1, "kalo mitu", None), (2, "grun", None), (3, "日本 日本", None), (4, None, None), (5, "12", None)]
+    found = language.with_judgement(spark.createDataFrame(asked, schema), model, "found").collect()
+    assert {r["doc_id"]: r["found"]["lang_pred"] for r in found if r["doc_id"] in (1, 2)} == {1: "aa", 2: "bb"}
+    kept = lambda least, ahead: {r["doc_id"] for r in language.in_a_language(spark.createDataFrame(asked, schema), model, least, ahead).collect()}
+    assert kept(0.4, 1.05) == kept(0.0, 1.9) == {1, 2}
