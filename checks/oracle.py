@@ -324,4 +324,12 @@ ORACLE = {
     ),
     "lattice_top_products_events": exact({"ProductID": '"ProductID"'}, "Revenue", EVENT_SALES),
     "stored_kpi_sales_by_employee_exact": exact({"EmployeeID": '"EmployeeID"'}, "employee_sales", UNDATED_SALES),
+    "bitmap_customer_type_counts_day": customer_types(grain="day"),
+    "bitmap_customer_type_counts_month": f"""
+  SELECT CAST(date_trunc('month', "SalesTimestamp") AS TIMESTAMP) AS "SalesMonth", "CustomerType",
+         count(DISTINCT "CustomerID") AS "CustomerCount"
+  FROM ({labelled()}) GROUP BY 1, 2""",
+    "bitmap_customer_counts_undated_month": f"""
+  SELECT CAST(date_trunc('month', "SalesTimestamp") AS TIMESTAMP) AS "SalesMonth", count(DISTINCT "CustomerID") AS "CustomerCount"
+  FROM ({fact(UNDATED_SALES)}) WHERE "CustomerID" IS NOT NULL GROUP BY 1""",
 }

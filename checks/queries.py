@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salesmart.operators.aggregates import first_purchases
+from salesmart.operators.bitmaps import customer_bitmaps, customers_in
 from salesmart.operators.joins import left_match, left_match_as, left_match_copies, repeated_keys, with_first_purchase
 from salesmart.operators.skew import left_match_skewed
 from salesmart.plans import dimensions, kpis
@@ -603,3 +604,30 @@ def lattice_top_products_events(spark, sf_dir):
 def stored_kpi_sales_by_employee_exact(spark, sf_dir):
     """From a whole build, without rounding."""
     return whole_mart(spark, sf_dir).read(spark, "kpi_sales_by_employee")
+
+
+# ---- distinct customers from stored bitmaps
+
+
+def stored_bitmaps(spark: SparkSession, facts: DataFrame) -> DataFrame:
+    store = mart_store(spark)
+    store.write(customer_bitmaps(facts), "customer_bitmaps")
+    return store.read(spark, "customer_bitmaps")
+
+
+@query
+def bitmap_customer_type_counts_day(spark, sf_dir):
+    return customers_in(stored_bitmaps(spark, fact(spark, sf_dir)), "SalesTimestamp", "CustomerType")
+
+
+@query
+def bitmap_customer_type_counts_month(spark, sf_dir):
+    month = F.date_trunc("month", "SalesTimestamp").alias("SalesMonth")
+    return customers_in(stored_bitmaps(spark, fact(spark, sf_dir)), month, "CustomerType")
+
+
+@query
+def bitmap_customer_counts_undated_month(spark, sf_dir):
+    """Both types together, with undated sales, at times finer than a second."""
+    month = F.date_trunc("month", "SalesTimestamp").alias("SalesMonth")
+    return customers_in(stored_bitmaps(spark, fact_of_undated(spark, sf_dir)), month)
