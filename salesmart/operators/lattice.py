@@ -46,15 +46,14 @@ def nodes_of(rows: DataFrame, nodes: Sequence[Keys], value: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Lattice:
-    """Stored nodes, and how many rows each has."""
+    """Stored nodes."""
 
     nodes: dict[Keys, DataFrame]
-    sizes: dict[Keys, int]
 
     @classmethod
     def build(cls, rows: DataFrame, value: str, first: Sequence[Keys], then: Sequence[Keys], keep: Keep) -> Lattice:
         """Store ``first`` from one scan of ``rows``, then each node of ``then`` from its smallest stored parent."""
-        lattice = cls({}, {})
+        lattice = cls({})
         lattice._add(keep(nodes_of(rows, first, value), "lattice_base", NODE), first)
         for node in then:
             if node not in lattice.nodes:
@@ -64,14 +63,17 @@ class Lattice:
     def _add(self, stored: DataFrame, nodes: Sequence[Keys]) -> None:
         for node in nodes:
             self.nodes[node] = stored.where(F.col(NODE) == _name(node)).select(*node, STATE)
-            self.sizes[node] = self.nodes[node].count()
 
     def parent(self, keys: Keys) -> Keys:
-        """The stored node with the fewest rows that has the keys."""
+        """The stored node with the fewest rows that has the keys.
+
+        A node with a part of another's keys has no more rows than it; rows are counted only where that does not decide.
+        """
         fitting = [node for node in self.nodes if set(keys) <= set(node)]
         if not fitting:
             raise ValueError(f"no stored node has {', '.join(keys)}")
-        return min(fitting, key=lambda node: (self.sizes[node], len(node), node))
+        least = [node for node in fitting if not any(set(other) < set(node) for other in fitting)]
+        return least[0] if len(least) == 1 else min(least, key=lambda node: (self.nodes[node].count(), node))
 
     def _merged(self, keys: Keys) -> DataFrame:
         parent = self.parent(keys)

@@ -120,17 +120,17 @@ def build_mart(
         return
     area = staging.Area(spark)
     try:
-        held: list[Lattice] = []
         rest = [name for name in KPI_TABLES if name not in kpis.FROM_LATTICE]
-        lattice = partial(_hold_lattice, held, inputs, area)
-        _run_together([lattice, *[partial(_build, name, inputs) for name in rest]], inputs, concurrent_tables)
-        _build_together(kpis.FROM_LATTICE, replace(inputs, lattice=held[0]), concurrent_tables)
+        revenue = partial(_build_from_lattice, inputs, area, concurrent_tables)
+        _run_together([revenue, *[partial(_build, name, inputs) for name in rest]], inputs, concurrent_tables)
     finally:
         area.remove()
 
 
-def _hold_lattice(held: list[Lattice], inputs: Inputs, area: staging.Area) -> None:
-    held.append(kpis.sales_lattice(inputs.stored("fact_sales"), area.stage_by, inputs.grain))
+def _build_from_lattice(inputs: Inputs, area: staging.Area, concurrent_tables: int) -> None:
+    """The lattice, then its tables, while the other KPIs are built."""
+    lattice = kpis.sales_lattice(inputs.stored("fact_sales"), area.stage_by, inputs.grain)
+    _build_together(kpis.FROM_LATTICE, replace(inputs, lattice=lattice), concurrent_tables)
 
 
 def _build(name: str, inputs: Inputs) -> None:
