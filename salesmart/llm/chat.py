@@ -49,8 +49,8 @@ def unescape_role(role: Column) -> Column:
     return unescape(F.regexp_replace(F.regexp_replace(role, "%0A", "\n"), "%25", "%"))
 
 
-def fold_events(events: DataFrame) -> DataFrame:
-    """Final messages: conv_id, messages = array of (message, role, text) in order of ``message``.
+def final_messages(events: DataFrame) -> DataFrame:
+    """Final messages, one row each: conv_id, message, role, text.
 
     ``events``: conv_id, seq, message, kind, role, text. The role is that of the last ``start``
     of the message, or of its first surviving event if it has none; a ``regenerate`` has no text. Null texts and roles are empty. A null
@@ -77,7 +77,7 @@ def fold_events(events: DataFrame) -> DataFrame:
         .withColumn("was_reset", F.coalesce(F.max(resets).over(same), F.lit(False)))
         .withColumn("started_as", F.first(F.when(F.col("kind") == "start", F.col("role")), ignorenulls=True).over(any_of_it))
     )
-    messages = (
+    return (
         kept.where(~F.col("was_reset"))
         .groupBy("conv_id", "message")
         .agg(
@@ -86,75 +86,94 @@ def fold_events(events: DataFrame) -> DataFrame:
         )
         .select(
             "conv_id",
-            F.struct(
-                "message",
-                F.coalesce("started_as", F.element_at(F.col("parts").getField("role"), 1)).alias("role"),
-                F.array_join(F.col("parts").getField("text"), "").alias("text"),
-            ).alias("one"),
+            "message",
+            F.coalesce("started_as", F.element_at(F.col("parts").getField("role"), 1)).alias("role"),
+            F.array_join(F.col("parts").getField("text"), "").alias("text"),
         )
     )
-    return messages.groupBy("conv_id").agg(F.sort_array(F.collect_list("one")).alias("messages"))
+
+
+def fold_events(events: DataFrame) -> DataFrame:
+    """``final_messages`` of each conversation: conv_id, messages = array of (message, role, text) in order of ``message``."""
+    one = F.struct("message", "role", "text")
+    return final_messages(events).groupBy("conv_id").agg(F.sort_array(F.collect_list(one)).alias("messages"))
 
 
 def render(conversations: DataFrame, loss_role: str = "assistant") -> DataFrame:
-    """Rendered conversations: conv_id, formatted, loss_spans.
+    """Rendered conversations (conv_id, messages as of ``fold_events``): conv_id, formatted, text_spans.
 
     Each message becomes ``<|im_start|>role``, a line break, the escaped text, ``<|im_end|>`` and a
-    line break. ``loss_spans`` has the start (from 0) and length, in code points of ``formatted``,
-    of every text of ``loss_role``: the part that bears loss. A conversation without messages is empty text.
+    line break. ``text_spans`` has, for every message in order, the start (from 0) and length, in code points of ``formatted``,
+    of its text, and ``loss``: whether it is a text of ``loss_role``, which bears loss. A conversation without messages is empty text.
     """
-    pieces = F.transform(
-        "messages",
-        lambda m: F.struct(
-            F.concat(F.lit(START), escape_role(m["role"]), F.lit("\n")).alias("head"),
-            escape(m["text"]).alias("body"),
-            (m["role"] == F.lit(loss_role)).alias("loss"),
-        ),
-    )
+    rows = conversations.select("conv_id", F.posexplode_outer("messages").alias("message", "one"))
+    return _rendered(rows.select("conv_id", "message", "one.role", "one.text"), loss_role)
+
+
+def format_log(events: DataFrame, loss_role: str = "assistant") -> DataFrame:
+    """``final_messages``, rendered as by ``render``."""
+    return _rendered(final_messages(events), loss_role)
+
+
+def _rendered(messages: DataFrame, loss_role: str) -> DataFrame:
+    """Positions are running sums over the rows of a conversation, so that the work is linear in its messages."""
     tail = f"{END}\n"
-    starts = F.aggregate(
-        "pieces",
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans")),
-        lambda done, p: F.struct(
-            (done["at"] + F.length(p["head"]) + F.length(p["body"]) + F.lit(len(tail))).alias("at"),
-            F.when(
-                p["loss"],
-                F.concat(
-                    done["spans"],
-                    F.array(F.struct((done["at"] + F.length(p["head"])).alias("start"), F.length(p["body"]).alias("length"))),
-                ),
-            )
-            .otherwise(done["spans"])
-            .alias("spans"),
-        ),
-    )
-    whole = F.array_join(F.transform("pieces", lambda p: F.concat(p["head"], p["body"], F.lit(tail))), "")
+    present = F.col("role").isNotNull()
+    before = Window.partitionBy("conv_id").orderBy("message").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = messages.select(
+        "conv_id",
+        "message",
+        F.when(present, F.concat(F.lit(START), escape_role(F.col("role")), F.lit("\n"))).alias("head"),
+        escape(F.col("text")).alias("body"),
+        (F.col("role") == F.lit(loss_role)).alias("loss"),
+    ).withColumn("at", F.coalesce(F.sum(F.length("head") + F.length("body") + F.lit(len(tail))).over(before), F.lit(0)))
+    start = (F.col("at") + F.length("head")).cast("int").alias("start")
+    span = F.struct(start, F.length("body").alias("length"), "loss").alias("span")
+    one = F.when(F.col("head").isNotNull(), F.struct("message", F.concat("head", "body", F.lit(tail)).alias("piece"), span))
+    parts = F.sort_array(F.collect_list(one))
     return (
-        conversations.select("conv_id", pieces.alias("pieces"))
-        .select("conv_id", whole.alias("formatted"), starts["spans"].alias("loss_spans"))
+        pieces.groupBy("conv_id")
+        .agg(parts.alias("parts"))
+        .select(
+            "conv_id",
+            F.array_join(F.col("parts").getField("piece"), "").alias("formatted"),
+            F.col("parts").getField("span").alias("text_spans"),
+        )
     )
 
 
-def format_log(events: DataFrame, loss_role: str = "assistant") -> DataFrame:
-    """``fold_events``, then ``render``."""
-    return render(fold_events(events), loss_role)
+def _segments(formatted: Column) -> Column:
+    """One per message: all between its ``<|im_start|>`` and the next."""
+    return F.filter(F.split(formatted, r"<\|im_start\|>"), lambda s, i: i > 0)
+
+
+def _body(segment: Column) -> Column:
+    """The escaped text of a segment."""
+    line = F.instr(segment, "\n")
+    return F.substring(segment, line + 1, F.instr(segment, END) - line - 1)
 
 
 def read_back(formatted: Column) -> Column:
     """Messages of a rendered conversation: array of (role, text), unescaped."""
-    segments = F.filter(F.split(formatted, r"<\|im_start\|>"), lambda s, i: i > 0)
 
     def message(segment: Column) -> Column:
-        line = F.instr(segment, "\n")
-        end = F.instr(segment, END)
-        return F.struct(
-            unescape_role(F.substring(segment, F.lit(1), line - 1)).alias("role"),
-            unescape(F.substring(segment, line + 1, end - line - 1)).alias("text"),
-        )
+        role = F.substring(segment, F.lit(1), F.instr(segment, "\n") - 1)
+        return F.struct(unescape_role(role).alias("role"), unescape(_body(segment)).alias("text"))
 
-    return F.transform(segments, message)
+    return F.transform(_segments(formatted), message)
 
 
 def loss_text(formatted: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped, one span after another."""
-    return F.array_join(F.transform(spans, lambda s: unescape(F.substring(formatted, s["start"] + 1, s["length"]))), "")
+    """All text under the loss mask, unescaped, one span after another.
+
+    The rendered text is split once and its messages meet their spans in order, as cutting each span out of the whole would
+    search it from the start every time. A span that does not have its message's length is an error.
+    """
+
+    def under(segment: Column, span: Column) -> Column:
+        body = _body(segment)
+        return F.when(F.length(body).eqNullSafe(span["length"]), F.when(span["loss"], unescape(body)).otherwise("")).otherwise(
+            F.raise_error(F.lit("the spans are not those of this text"))
+        )
+
+    return F.array_join(F.zip_with(_segments(formatted), spans, under), "")

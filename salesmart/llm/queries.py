@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salesmart.llm import ann, caps, chat, language, minhash, mixing, packing, pii, positions, sharding, spelling, toxicity, warc
@@ -33,25 +33,40 @@ DELTA_CHARS = 1024
 
 
 def conversation_events(conversations: DataFrame) -> DataFrame:
-    """The log that would have led to the conversations: each message is started, and its text arrives in deltas.
+    """A log that leads to the conversations: each message is started, and its text arrives in deltas.
 
+    Every rule of the fold decides something: before each message, the one after it was begun too early, which the start of this one
+    takes back; an assistant's text is regenerated after a draft, and the draft of any other text is edited.
     Every row is a message, also one with the turn of another.
     """
     turns = conversations.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
     in_order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    turns = turns.withColumn("message", (F.row_number().over(in_order) - 1).cast("bigint"))
-    pieces = F.sequence(F.lit(0), F.ceil(F.length("text") / DELTA_CHARS).cast("int"))
-    return turns.select("conv_id", "message", "role", "text", F.explode(pieces).alias("piece")).select(
+    pieces = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{DELTA_CHARS}}}"), F.lit(0))
+    turns = turns.select(
         "conv_id",
-        "message",
-        (F.col("message") * 1_000_000 + F.col("piece")).alias("seq"),
-        F.when(F.col("piece") == 0, "start").otherwise("delta").alias("kind"),
+        (F.row_number().over(in_order) - 1).cast("bigint").alias("message"),
         "role",
-        F.when(F.col("piece") == 0, "")
-        .otherwise(F.substring("text", (F.col("piece") - 1) * DELTA_CHARS + 1, F.lit(DELTA_CHARS)))
-        .alias("text"),
+        F.coalesce(F.col("role") == "assistant", F.lit(False)).alias("reply"),
+        pieces.alias("pieces"),
     )
 
+    def event(step, kind, text, message=F.col("message")):
+        step, kind, text = (value if isinstance(value, Column) else F.lit(value) for value in (step, kind, text))
+        return F.struct(
+            message.alias("message"), (F.col("message") * 1_000_000 + step).alias("seq"), kind.alias("kind"), "role", text.alias("text")
+        )
+
+    first = F.coalesce(F.get("pieces", F.lit(0)), F.lit(""))
+    opening = F.array(
+        event(0, "start", "begun too early", F.col("message") + 1),
+        event(1, "start", ""),
+        event(2, "delta", "a draft"),
+        event(3, F.when(F.col("reply"), "regenerate").otherwise("edit"), F.when(F.col("reply"), "").otherwise(first)),
+    )
+    rest = F.slice("pieces", F.when(F.col("reply"), 1).otherwise(2), F.size("pieces"))
+    deltas = F.transform(rest, lambda piece, i: event(i + 4, "delta", piece))
+    return turns.select("conv_id", F.explode(F.concat(opening, deltas)).alias("event")).select("conv_id", "event.*")
+
 
 @query
 def op6_chat_formatting(spark, sf_dir):
@@ -65,7 +80,7 @@ def op6_chat_formatting(spark, sf_dir):
     formatted = chat.format_log(conversation_events(conversations))
     turns = chat.read_back(F.col("formatted"))
     digest = F.array_join(F.transform(turns, lambda m: F.concat(m["role"], F.lit("\n"), m["text"], F.lit("\n"))), "")
-    loss = chat.loss_text(F.col("formatted"), F.col("loss_spans"))
+    loss = chat.loss_text(F.col("formatted"), F.col("text_spans"))
     return formatted.select(
         "conv_id",
         F.size(turns).cast("bigint").alias("n_turns"),

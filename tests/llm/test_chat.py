@@ -73,14 +73,16 @@ def test_every_text_reads_back(spark):
     events = [(1, i, i, "start", roles[i % 4], t) for i, t in enumerate(texts)]
     row = (
         chat.format_log(spark.createDataFrame(events, SCHEMA))
-        .select("formatted", "loss_spans", chat.read_back(chat.F.col("formatted")).alias("back"),
-                chat.loss_text(chat.F.col("formatted"), chat.F.col("loss_spans")).alias("loss"))
+        .select("formatted", "text_spans", chat.read_back(chat.F.col("formatted")).alias("back"),
+                chat.loss_text(chat.F.col("formatted"), chat.F.col("text_spans")).alias("loss"))
         .first()
     )
     assert [(m["role"], m["text"]) for m in row["back"]] == [(roles[i % 4], t) for i, t in enumerate(texts)]
     assert row["loss"] == "".join(texts[1::4])
     assert row["formatted"].count("<|im_start|>") == len(texts)
-    assert [row["formatted"][s["start"] : s["start"] + s["length"]] for s in row["loss_spans"]][0] == r"<\|im_end|>"
+    spans = [(row["formatted"][s["start"] : s["start"] + s["length"]], s["loss"]) for s in row["text_spans"]]
+    assert [loss for _, loss in spans] == [r == "assistant" for r in (roles * 5)[: len(texts)]]
+    assert spans[1] == (r"<\|im_end|>", True) and spans[15][0] == "x" * 20_000
 
 
 def test_plan_has_no_python(spark):
@@ -95,3 +97,31 @@ def test_the_log_of_conversations_leads_back_to_them(spark):
     events = conversation_events(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"))
     found = {r["conv_id"]: [(m["role"], m["text"]) for m in r["messages"]] for r in chat.fold_events(events).collect()}
     assert found == {1: [("user", "hi"), ("assistant", long), ("assistant", "hi"), ("assistant", "hi")], 2: [("user", "")]}
+
+
+def test_conversations_render_alike_from_messages_and_from_the_log(spark):
+    events = spark.createDataFrame([(1, i, i, "start", "assistant" if i % 2 else "user", f"é{i}") for i in range(40)], SCHEMA)
+    folded_first = chat.render(chat.fold_events(events)).first()
+    assert folded_first == chat.format_log(events).first()
+    empty = spark.createDataFrame([(5, [])], "conv_id bigint, messages array<struct<message:bigint,role:string,text:string>>")
+    assert chat.render(empty).collect() == [(5, "", [])]
+
+
+def test_the_log_of_conversations_uses_every_kind_of_event(spark):
+    rows = [(1, i, role, f"text {i}") for i, role in enumerate(["user", "assistant", "user", "assistant"])]
+    events = conversation_events(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")).collect()
+    assert {e["kind"] for e in events} == {"start", "delta", "edit", "regenerate"}
+    plain = fold([(e["conv_id"], e["seq"], e["message"], e["kind"], e["role"], e["text"]) for e in events])
+    assert [(m, r, t) for m, r, t in plain] == [(i, r, t) for i, (_, _, r, t) in enumerate(rows)]
+    assert any(e["message"] == 4 for e in events)  # taken back by the start of message 3
+
+
+def test_spans_of_another_text_are_an_error(spark):
+    import pytest
+
+    one, other = (
+        chat.format_log(spark.createDataFrame([(1, 1, 0, "start", "assistant", text)], SCHEMA)) for text in ("short", "longer")
+    )
+    mixed = one.join(other.select("conv_id", chat.F.col("text_spans").alias("others")), "conv_id")
+    with pytest.raises(Exception, match="not those of this text"):
+        mixed.select(chat.loss_text(chat.F.col("formatted"), chat.F.col("others"))).collect()
