@@ -10,7 +10,8 @@ Medians are found without sorting. All nodes of a level are searched at once by
 narrowing an interval of the dimension: each round sums the bytes of a fixed number of
 bins per node, combined in the map tasks, and keeps the bin the median falls into. Rows that
 share one value of the dimension (a hot source, a common length) are split by a hash of
-the row, searched in the same way.
+the row and its text, searched in the same way. Only rows equal in all of these are left; if there are many, all rows are written
+once with a number, which then splits them too.
 
 The driver sees the tree and, per round, one histogram per node: at most ``shards * bins``
 numbers whatever the size of the table. The rows are read from a narrow staged table of
@@ -25,6 +26,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from salesmart.llm.names import free_name
 from salesmart.sinks.staging import stage
 
 # The row hash that splits ties has this many values.
@@ -45,9 +47,13 @@ class Node:
 
 
 def text_code(column: Column) -> Column:
-    """A number in the order of the text: its first seven bytes. Null is -1."""
-    start = F.substring(F.hex(F.encode(column, "UTF-8")), 1, 14)
-    return F.coalesce(F.conv(F.rpad(start, 14, "0"), 16, 10).cast("bigint"), F.lit(-1))
+    """A number for a text: in the order of the first four bytes, and by a hash of the whole text among texts that share them.
+
+    So different texts have different numbers, but for collisions of 30 bits. Null is -1.
+    """
+    start = F.rpad(F.substring(F.hex(F.encode(column, "UTF-8")), 1, 8), 8, "0")
+    code = F.conv(start, 16, 10).cast("bigint") * F.lit(2**30) + F.pmod(F.xxhash64(column), F.lit(2**30))
+    return F.when(column.isNotNull(), code).otherwise(F.lit(-1).cast("bigint"))
 
 
 def with_sizes(docs: DataFrame, overhead: int = 16) -> DataFrame:
@@ -69,24 +75,48 @@ def kd_shards(
     ``dimensions``: metadata expressions of integer type; nulls count as the smallest value.
     Give the number of shards, or the bytes a leaf should have. ``tolerance``: a median is
     close enough when what is left undecided is that share of a leaf. Every row gets a shard. Rows equal in
-    doc_id, size and all dimensions stay together. An empty table gives an empty result. The columns
-    shard and slot are replaced if ``docs`` has them.
+    doc_id, size, text (if there is one) and all dimensions stay together, unless there are more of them than a run holds or
+    than 1 % of a leaf's rows (30 at least). An empty table gives an empty result. The columns shard and slot are replaced if
+    ``docs`` has them.
     """
     docs = docs.drop("shard", "slot")
     names = {name: f"kd_{i}" for i, name in enumerate(dimensions)}
     expressions = {names[name]: F.coalesce(value.cast("bigint"), F.lit(-(2**62))) for name, value in dimensions.items()}
-    key = F.pmod(F.xxhash64("doc_id", "size", *expressions.values()), F.lit(2**_TIE_BITS))
-    meta = stage(docs.select("size", key.alias("kd_tie"), *[e.alias(n) for n, e in expressions.items()]), "kd-rows")
+    row = [F.col(name) for name in ("doc_id", "size", "text") if name in docs.columns]
+    meta, key = _metadata(docs, [*row, *expressions.values()], expressions)
 
-    totals = meta.agg(F.sum("size").alias("bytes")).first()
+    totals = meta.agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows")).first()
     if totals["bytes"] is None:
         return docs.withColumn("shard", F.lit(0)).withColumn("slot", F.lit(0).cast("bigint"))
     count = shards or max(1, round(totals["bytes"] / target_bytes))
+    number = None
+    if _repeats(meta, totals["rows"], min(rows_per_run, max(30, totals["rows"] // (100 * count)))):
+        number = free_name(docs.columns, "kd_number")
+        docs = stage(docs.withColumn(number, F.monotonically_increasing_id()), "kd-numbered")
+        row.append(F.col(number))
+        meta, key = _metadata(docs, [*row, *expressions.values()], expressions)
     tree = build_tree(meta, list(names.values()), count, totals["bytes"] / count * tolerance, bins)
 
-    columns = {f"{n}_of": e for n, e in expressions.items()} | {"kd_tie_of": key}
-    placed = docs.withColumns(columns).withColumn("shard", _leaf(tree, list(names.values()), "_of")).drop(*columns)
-    return _with_slots(placed, rows_per_run)
+    suffix = "_of"
+    while any(f"kd_tie{suffix}" == c.lower() or f"{n}{suffix}" == c.lower() for c in docs.columns for n in names.values()):
+        suffix += "_"
+    columns = {f"{n}{suffix}": e for n, e in expressions.items()} | {f"kd_tie{suffix}": key}
+    placed = docs.withColumns(columns).withColumn("shard", _leaf(tree, list(names.values()), suffix)).drop(*columns)
+    slotted = _with_slots(placed, row, totals["rows"], rows_per_run)
+    return slotted.drop(number) if number else slotted
+
+
+def _metadata(docs: DataFrame, row: list[Column], expressions: Mapping[str, Column]) -> tuple[DataFrame, Column]:
+    """The narrow staged table that the tree is searched in, and the hash that splits ties."""
+    key = F.pmod(F.xxhash64(*row), F.lit(2**_TIE_BITS))
+    return stage(docs.select("size", key.alias("kd_tie"), *[e.alias(n) for n, e in expressions.items()]), "kd-rows"), key
+
+
+def _repeats(meta: DataFrame, rows: int, most: int) -> bool:
+    """Whether some row repeats more than about ``most`` times: its part of the hash's values then holds more rows than chance gives."""
+    parts = 4096
+    fullest = meta.groupBy(F.pmod("kd_tie", F.lit(parts))).count().agg(F.max("count")).first()[0]
+    return fullest > rows / parts + 6 * (rows / parts) ** 0.5 + most
 
 
 def build_tree(meta: DataFrame, dimensions: list[str], leaves: int, slack: float, bins: int) -> Node:
@@ -242,25 +272,21 @@ def _leaf(root: Node, dimensions: list[str], suffix: str) -> Column:
     return F.element_at(shards, _number(root, dimensions, suffix))
 
 
-def _with_slots(placed: DataFrame, rows_per_run: int) -> DataFrame:
-    """Number the rows of each shard. A shard is dealt into runs by a hash; a row's slot is its place
-    in its run after all earlier runs, so that no task gets a whole shard."""
-    rows = placed.select("shard").count()
+def _with_slots(placed: DataFrame, row: list[Column], rows: int, rows_per_run: int) -> DataFrame:
+    """Number the rows of each shard. A shard is dealt into runs by a hash of ``row``, the columns that tell rows apart; a row's slot
+    is its place in its run after all earlier runs, so that no task gets a whole shard."""
+    hash_, run, held, place, start = (free_name(placed.columns, f"kd_{n}") for n in ("row", "run", "rows", "place", "start"))
     runs = max(1, -(-rows // rows_per_run))
-    placed = placed.withColumn("kd_row", F.xxhash64(F.lit(7), "doc_id", "size")).withColumn(
-        "kd_run", F.pmod("kd_row", F.lit(runs))
-    )
-    counts = placed.groupBy("shard", "kd_run").agg(F.count(F.lit(1)).alias("kd_rows"))
-    earlier = Window.partitionBy("shard").orderBy("kd_run").rowsBetween(Window.unboundedPreceding, -1)
-    starts = stage(
-        counts.select("shard", "kd_run", F.coalesce(F.sum("kd_rows").over(earlier), F.lit(0)).alias("kd_start")), "kd-runs"
-    )
-    in_run = Window.partitionBy("shard", "kd_run").orderBy("kd_row", "doc_id", "size")
+    placed = placed.withColumn(hash_, F.xxhash64(F.lit(7), *row)).withColumn(run, F.pmod(hash_, F.lit(runs)))
+    counts = placed.groupBy("shard", run).agg(F.count(F.lit(1)).alias(held))
+    earlier = Window.partitionBy("shard").orderBy(run).rowsBetween(Window.unboundedPreceding, -1)
+    starts = stage(counts.select("shard", run, F.coalesce(F.sum(held).over(earlier), F.lit(0)).alias(start)), "kd-runs")
+    in_run = Window.partitionBy("shard", run).orderBy(hash_, *row)
     return (
-        placed.withColumn("kd_place", F.row_number().over(in_run) - 1)
-        .join(starts, ["shard", "kd_run"])
-        .withColumn("slot", (F.col("kd_start") + F.col("kd_place")).cast("bigint"))
-        .drop("kd_row", "kd_run", "kd_place", "kd_start")
+        placed.withColumn(place, F.row_number().over(in_run) - 1)
+        .join(starts, ["shard", run])
+        .withColumn("slot", (F.col(start) + F.col(place)).cast("bigint"))
+        .drop(hash_, run, place, start)
     )
 
 

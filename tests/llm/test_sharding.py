@@ -54,3 +54,45 @@ def test_empty_table_and_written_shards(spark, tmp_path):
     back = sharding.read_shards(spark, str(tmp_path / "out")).toPandas()
     check(back, rows)
     assert sorted(back["text"]) == sorted(t for _, t, _ in rows)
+
+
+def test_a_row_that_makes_up_a_third_of_the_table_is_split(spark):
+    rows = [(5, "the same text", "s")] * 700 + [(i, "other text " * (i % 9), "t") for i in range(1400)]
+    found = sharded(spark, rows, shards=8).toPandas()
+    check(found, rows)
+    assert found[found["doc_id"] == 5]["shard"].nunique() >= 2
+    bytes_ = found.groupby("shard")["size"].sum()
+    assert len(bytes_) == 8 and bytes_.max() < 1.1 * bytes_.mean()
+
+
+def test_texts_of_one_beginning_differ_and_clashing_names_stay(spark):
+    texts = ["crawl-2023-a", "crawl-2023-b", "", "aaaa", "zzzz", None]
+    codes = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(sharding.text_code(F.col("t"))).collect()]
+    assert len(set(codes)) == 6 and codes[3] < codes[0] < codes[4] and codes[5] == -1 and codes[0] // 2**30 == codes[1] // 2**30
+    own = ("kd_0_of", "kd_tie_of", "kd_row", "kd_run", "kd_rows", "kd_place", "kd_start", "kd_number", "kd_tie")
+    docs = spark.createDataFrame([(i, f"text {i % 3}", *[f"{i}"] * len(own)) for i in range(50)], ["doc_id", "text", *own])
+    sharded_ = sharding.kd_shards(sharding.with_sizes(docs), {"doc_id": F.col("doc_id")}, shards=3)
+    found = sharded_.toPandas()
+    check(found, range(50))
+    assert all((found[name] == found["doc_id"].astype(str)).all() for name in own)
+
+
+def median_tree(rows, leaves, first=0):
+    """Leaves of a tree over sorted rows: (value, size) pairs split where half the leaves' bytes are reached."""
+    if leaves == 1:
+        return {value: first for value, _ in rows}
+    low, total, below = leaves // 2, sum(size for _, size in rows), 0
+    for at, (_, size) in enumerate(rows):
+        if below + size > total * low / leaves:
+            cut = at if total * low / leaves - below < below + size - total * low / leaves else at + 1
+            break
+        below += size
+    return median_tree(rows[:cut], low, first) | median_tree(rows[cut:], leaves - low, first + low)
+
+
+def test_one_dimension_equals_a_tree_of_sorted_medians(spark):
+    draw = random.Random(9)
+    rows = [(i, "x" * draw.randint(0, 500), "s") for i in range(900)]
+    docs = sharding.with_sizes(spark.createDataFrame([(*r, "", "") for r in rows], SCHEMA))
+    found = sharding.kd_shards(docs, {"doc_id": F.col("doc_id")}, shards=7, tolerance=0.0).select("doc_id", "shard").collect()
+    assert dict(found) == median_tree([(i, len(t) + 16) for i, t, _ in rows], 7)
