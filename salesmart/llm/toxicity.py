@@ -5,7 +5,11 @@ that the earlier models gave, so that a later category can build on an earlier o
 fold: each document's come from models that have not seen it, as they will in use.
 
 Features are the presence of words and of word beginnings, which carry over inflected forms. Those that are
-most unevenly spread over the categories are chosen by counts over the training documents.
+most unevenly spread over toxic and other documents are chosen by counts over the training documents.
+
+The labels have one class, ``toxic``, the last category. The earlier ones are kinds of toxic text found in the training documents:
+the words that toxic texts hold far more often than others are grouped by the company they keep, and a toxic text is of the kinds whose
+words it holds. So they follow the corpus, whatever its languages.
 
 Training reads a bounded, hash-chosen sample of labelled documents (``max_training_docs``); counting is distributed, and the driver
 fits models on a matrix of at most that many rows and ``max_features`` columns. Scoring sees every whole text.
@@ -14,8 +18,8 @@ fits models on a matrix of at most that many rows and ``max_features`` columns.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Mapping
-from dataclasses import dataclass, field
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -34,15 +38,11 @@ _BEGINNINGS = (4, 5, 6)
 
 @dataclass(frozen=True)
 class ChainSettings:
-    """``terms``: categories, in the order of the chain, each a kind of toxic text told by words it holds; the last
-    category, ``toxic``, is the label itself."""
-
-    terms: Mapping[str, tuple[str, ...]] = field(
-        default_factory=lambda: {
-            "insult": ("clown", "idiot", "loser", "moron", "scum", "trash"),
-            "contempt": ("disgusting", "pathetic", "stupid", "worthless"),
-        }
-    )
+    """``kinds``: how many kinds of toxic text precede the label in the chain. ``least_surprise``: deviations from its expected number
+    of toxic texts from which a word tells of toxicity."""
+
+    kinds: int = 2
+    least_surprise: float = 4.0
     threshold: float = 0.5
     max_training_docs: int = 10_000
     max_features: int = 512
@@ -53,7 +53,7 @@ class ChainSettings:
 
     @property
     def categories(self) -> list[str]:
-        return [*self.terms, "toxic"]
+        return [*[f"kind_{i + 1}" for i in range(self.kinds)], "toxic"]
 
 
 def features_of(text: str | None) -> set[str]:
@@ -62,6 +62,36 @@ def features_of(text: str | None) -> set[str]:
     return words.union(f"{w[:n]}-" for w in words for n in _BEGINNINGS if len(w) > n)
 
 
+def telling_words(names: list[str], x: np.ndarray, toxic: np.ndarray, settings: ChainSettings) -> list[list[int]]:
+    """Features that tell of toxicity, in groups: one per kind, the strongest first.
+
+    Words, not beginnings, count if toxic texts hold them more often than chance gives. A kind starts with the word that is strongest
+    and least often met with the earlier kinds' first words; every other word joins the kind whose first word it is met with most, by
+    cosine over toxic texts, or else the smaller kind. Ties go to the smaller name and the earlier kind.
+    """
+    groups: list[list[int]] = [[] for _ in range(settings.kinds)]
+    share = toxic.mean() if len(toxic) else 0.0
+    expected = x.sum(axis=0) * share
+    surprise = (x[toxic > 0].sum(axis=0) - expected) / np.sqrt(expected * (1 - share) + 1)
+    words = [i for i, name in enumerate(names) if not name.endswith("-") and surprise[i] >= settings.least_surprise]
+    words.sort(key=lambda i: (-surprise[i], names[i]))
+    held = x[toxic > 0]
+    held /= np.maximum(np.linalg.norm(held, axis=0), 1e-9)
+    together = held.T @ held
+    firsts: list[int] = []
+    for group in groups[: len(words)]:
+        rest = [i for i in words if i not in firsts]
+        first = max(rest, key=lambda i: (surprise[i] * (1 - max((together[i, f] for f in firsts), default=0.0)), -words.index(i)))
+        firsts.append(first)
+        group.append(first)
+    for word in words:
+        if word not in firsts:
+            met = [together[word, f] for f in firsts]
+            best = met.index(max(met)) if max(met) > 0 else min(range(len(firsts)), key=lambda k: len(groups[k]))
+            groups[best].append(word)
+    return groups
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
@@ -94,6 +124,7 @@ class Chain:
         self.index = {name: i for i, name in enumerate(features)}
         self.beginnings = {name[:-1] for name in features if name.endswith("-")}
         self.weights: list[np.ndarray] = []
+        self.kinds: list[list[str]] = []
 
     def fit(self, x: np.ndarray, y: np.ndarray, folds: np.ndarray) -> None:
         s = self.settings
@@ -128,7 +159,6 @@ def train(docs: DataFrame, labels: DataFrame, settings: ChainSettings = ChainSet
     Of several texts under one doc_id the first in order trains; of several labels the highest counts.
     """
     spark = docs.sparkSession
-    categories = settings.categories
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
     chosen = (
         capped_sample(usable, "doc_id", settings.max_training_docs, settings.seed)
@@ -139,58 +169,52 @@ def train(docs: DataFrame, labels: DataFrame, settings: ChainSettings = ChainSet
     texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     sample = stage(texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")), "toxicity-sample")
 
-    def truth(text: str, toxic: int) -> list[int]:
-        words = set(WORD.findall(text.lower())) if toxic else set()
-        return [int(not words.isdisjoint(terms)) for terms in settings.terms.values()] + [int(toxic)]
-
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found: dict[str, list[int]] = {}
             for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
-                add = [1, *truth(text, toxic)]
                 for name in [*features_of(text), ""]:
-                    held = found.setdefault(name, [0] * len(add))
-                    for i, one in enumerate(add):
-                        held[i] += one
-            yield pd.DataFrame([(name, v[0], v[1:]) for name, v in found.items()], columns=["name", "docs", "held"])
+                    held = found.setdefault(name, [0, 0])
+                    held[0] += 1
+                    held[1] += toxic
+            yield pd.DataFrame([(name, *held) for name, held in found.items()], columns=["name", "docs", "held"])
 
-    sums = [F.sum(F.col("held")[i]).alias(f"held{i}") for i in range(len(categories))]
     counted = (
-        sample.mapInPandas(count, "name string, docs bigint, held array<bigint>")
+        sample.mapInPandas(count, "name string, docs bigint, held bigint")
         .groupBy("name")
-        .agg(F.sum("docs").alias("docs"), *sums)
+        .agg(F.sum("docs").alias("docs"), F.sum("held").alias("held"))
         .where((F.col("docs") >= 5) | (F.col("name") == ""))
     )
     totals = counted.where(F.col("name") == "").first()
     if totals is None:
         return Chain(settings, [])
-    uneven = F.greatest(*[_surprise(i, totals) for i in range(len(categories))], F.lit(0.0))
-    best = counted.where(F.col("name") != "").orderBy(uneven.desc(), "name").limit(settings.max_features)
+    best = counted.where(F.col("name") != "").orderBy(_surprise(totals).desc(), "name").limit(settings.max_features)
     chain = Chain(settings, [row["name"] for row in best.select("name").collect()])
 
     known = spark.sparkContext.broadcast(chain.index)  # at most max_features names
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [
-                (sorted(known.value[f] for f in features_of(text) if f in known.value), truth(text, toxic))
-                for text, toxic in zip(batch["text"], batch["toxic"], strict=True)
-            ]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "present": [r[0] for r in rows], "truth": [r[1] for r in rows]})
-
-    rows = sample.mapInPandas(encode, "doc_id bigint, present array<int>, truth array<int>").orderBy("doc_id").collect()
-    x, y = np.zeros((len(rows), len(chain.index)), dtype=np.float32), np.array([r["truth"] for r in rows], dtype=float)
+            present = [sorted(known.value[f] for f in features_of(text) if f in known.value) for text in batch["text"]]
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "present": present, "toxic": batch["toxic"]})
+
+    rows = sample.mapInPandas(encode, "doc_id bigint, present array<int>, toxic int").orderBy("doc_id").collect()
+    x, toxic = np.zeros((len(rows), len(chain.index)), dtype=np.float32), np.array([r["toxic"] for r in rows], dtype=float)
     for i, row in enumerate(rows):
         x[i, row["present"]] = 1
-    chain.fit(x, y, np.arange(len(rows)) % settings.folds)
+    names = list(chain.index)
+    groups = telling_words(names, x, toxic, settings)
+    chain.kinds = [[names[i] for i in group] for group in groups]
+    kinds = [x[:, group].any(axis=1) * toxic for group in groups]
+    chain.fit(x, np.column_stack([*kinds, toxic]), np.arange(len(rows)) % settings.folds)
     return chain
 
 
-def _surprise(category: int, totals):
-    """How many deviations a feature's share of a category is from the category's share of all documents."""
-    share = max(1e-6, min(1 - 1e-6, totals[f"held{category}"] / totals["docs"]))
+def _surprise(totals):
+    """How many deviations a feature's share of toxic texts is from that of all documents."""
+    share = max(1e-6, min(1 - 1e-6, totals["held"] / totals["docs"]))
     expected = F.col("docs") * share
-    return F.abs(F.col(f"held{category}") - expected) / F.sqrt(expected * (1 - share) + 1)
+    return F.abs(F.col("held") - expected) / F.sqrt(expected * (1 - share) + 1)
 
 
 def toxic_column(docs: DataFrame, chain: Chain, name: str) -> DataFrame:
