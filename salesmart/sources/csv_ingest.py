@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from salesmart.sinks.files import replace_folder
+from salesmart.sinks.staging import Area
+from salesmart.sources.csv_records import csv_records
 from salesmart.sources.schemas import NANO_COLUMNS, RAW_DDL, raw_schema
 
 # Spellings that stand for null in columns that are not text.
@@ -69,7 +71,7 @@ def csv_tables(spark: SparkSession, folder: str) -> dict[str, str]:
 class CsvOptions:
     """``strict``: the first misfit or malformed row fails the job, and so does a declared column that the header lacks.
     Without it misfits become null and are counted. ``allow_absent``: such columns read as null, also when strict.
-    ``multiline``: quoted values may hold line breaks; files are then not split, so only small ones should need it.
+    ``multiline``: quoted values may hold line breaks. Files are split all the same (see ``csv_records``), for two more scans of their text.
     ``types``: per table, types of columns that are not declared (``bigint``, ``boolean``, ``date``, ``timestamp_ntz``,
     ``double``, ``nanos`` or ``string``), which saves the pass that infers them."""
 
@@ -104,8 +106,18 @@ def convert_csv(
     spark: SparkSession, table: str, path: str, target: str, options: CsvOptions = CsvOptions()
 ) -> dict[str, int]:
     """Convert one CSV table. See ``csv_to_parquet``."""
+    area = Area(spark)
+    try:
+        return _convert(spark, table, path, target, options, area)
+    finally:
+        area.remove()
+
+
+def _convert(
+    spark: SparkSession, table: str, path: str, target: str, options: CsvOptions, area: Area
+) -> dict[str, int]:
     strict = options.strict
-    header, text = _read_text(spark, path, options)
+    header, text = _read_text(spark, path, options, area)
     absent = _absent(table, header)
     if absent and strict and not options.allow_absent:
         raise ValueError(f"{table}: the header lacks {', '.join(absent)}")
@@ -142,22 +154,41 @@ def _absent(table: str, header: list[str]) -> list[str]:
     return [f.name for f in raw_schema(table) if f.name.lower() not in given] if table in RAW_DDL else []
 
 
-def _read_text(spark: SparkSession, path: str, options: CsvOptions) -> tuple[list[str], DataFrame]:
+def _read_text(spark: SparkSession, path: str, options: CsvOptions, area: Area) -> tuple[list[str], DataFrame]:
     """The header, and all columns as text named c0, c1, …; empty fields are null."""
     reader = spark.read.option("header", True).option("escape", '"').option("multiLine", options.multiline)
     header = reader.csv(path).columns
+    parsing = {
+        "emptyValue": "",
+        "mode": "FAILFAST" if options.strict else "PERMISSIVE",
+        "columnNameOfCorruptRecord": _MALFORMED,
+    }
     fields = [StructField(name, StringType()) for name in [*header, _MALFORMED]]
+    if options.multiline:
+        return header, _parsed_records(csv_records(spark, path, area), header, parsing)
     text = (
         reader.option("enforceSchema", False)  # compares every file's header
-        .option("emptyValue", "")
-        .option("mode", "FAILFAST" if options.strict else "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _MALFORMED)
+        .options(**parsing)
         .schema(StructType(fields))
         .csv(path)
     )
     return header, text.toDF(*[f"c{i}" for i in range(len(header))], _MALFORMED)
 
 
+def _parsed_records(records: DataFrame, header: list[str], parsing: Mapping[str, str]) -> DataFrame:
+    """The columns of records that were put together before; every file's first record must be the header."""
+    names = [*[f"c{i}" for i in range(len(header))], _MALFORMED]
+    options = {**parsing, "escape": '"', "multiLine": "true", "lineSep": "\n"}
+    fields = F.from_csv("text", ", ".join(f"{name} STRING" for name in names), options)
+    parsed = records.select("first", fields.alias("fields")).select("first", "fields.*")
+    other = F.lit(False)
+    for i, name in enumerate(header):
+        other = other | ~F.lower(f"c{i}").eqNullSafe(F.lit(name.lower()))
+    failed = F.raise_error(F.lit("CSV header does not conform to that of the first file")).cast("boolean")
+    is_row = F.when(F.col("first"), F.when(other | F.col(_MALFORMED).isNotNull(), failed).otherwise(False)).otherwise(True)
+    return parsed.where(is_row).drop("first")
+
+
 def _columns(table: str, header: list[str], text: DataFrame, given: Mapping[str, str]) -> list[tuple[str, str]]:
     """Name and type of every column. Declared names win over the header's case."""
     known = {name.lower(): (name, kind) for name, kind in given.items()}
