@@ -254,6 +254,10 @@ ORACLE = {
     CASE WHEN "SalesID" % 50 <> 7 THEN "SalesDateSeconds" END AS "SalesDateSeconds",
     CASE WHEN "SalesID" % 50 <> 7 THEN "SalesTimestamp" END AS "SalesTimestamp")
   FROM ({EVENT_SALES})""",
+    "csv_ingest_line_breaks": f"""
+  SELECT * REPLACE (
+    'order "' || "SalesID" || '",' || chr(10) || chr(10) || 'line ' || "ProductID" || chr(10) AS "TransactionNumber")
+  FROM ({SALES})""",
     "external_tables": row_counts({f"{name}_ext": sql for name, sql in RAW.items()}),
     "external_sales": SALES,
     "external_products": PRODUCTS,
@@ -264,6 +268,12 @@ ORACLE = {
     "stored_fact_sales_undated": fact(UNDATED_SALES),
     "stored_overwrite": f"""SELECT * FROM ({fact()}) WHERE "SalesTimestamp" >= TIMESTAMP '1997-01-01'""",
     "stored_kpi_top_products_versioned": exact({"ProductID": '"ProductID"'}, "Revenue", EVENT_SALES),
+    "stored_kpi_top_products_rank": f"""
+  SELECT *, row_number() OVER (ORDER BY "Revenue" DESC NULLS LAST, "ProductID" NULLS LAST) AS "rank"
+  FROM ({exact({"ProductID": '"CustomerID"'}, "Revenue", EVENT_SALES)})""",
+    "ranked_sales": f"""
+  SELECT *, row_number() OVER (ORDER BY "TotalPrice" DESC NULLS LAST, "SalesID", "ProductID") AS "rank"
+  FROM (SELECT "SalesID", "ProductID", "TotalPrice", CAST(sum("Quantity") AS BIGINT) AS "Quantity" FROM ({SALES}) GROUP BY 1, 2, 3)""",
     "dim_dates_undated": DATES.format(sales=UNDATED_SALES),
     "kpi_customer_type_counts_undated": customer_types(UNDATED_SALES),
     "kpi_customer_type_counts_undated_day": customer_types(UNDATED_SALES, "day"),

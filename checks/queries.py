@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from salesmart.operators.aggregates import first_purchases
 from salesmart.operators.bitmaps import customer_bitmaps, customers_in
 from salesmart.operators.joins import left_match, left_match_as, left_match_copies, repeated_keys, with_first_purchase
+from salesmart.operators.ordering import with_rank
 from salesmart.operators.skew import left_match_skewed
 from salesmart.plans import dimensions, kpis
 from salesmart.plans.fact import build_fact_sales
@@ -190,6 +191,22 @@ def csv_ingest_untidy(spark, sf_dir):
     return with_sales_times(RawFiles(spark, folder)["sales"])
 
 
+@query
+def csv_ingest_line_breaks(spark, sf_dir):
+    """Line breaks, quotes and commas in quoted text, in files that are split."""
+    sold_at = F.timestamp_micros(F.call_function("div", F.col("SalesDate"), F.lit(1000)))
+    number = F.col("SalesID").cast("string")
+    text = F.concat(F.lit('order "'), number, F.lit('",\n\nline '), F.col("ProductID").cast("string"), F.lit("\n"))
+    broken = testbed.raw_sales(spark, sf_dir).withColumns(
+        {"SalesDate": F.date_format(sold_at, "yyyy-MM-dd HH:mm:ss.SSSSSS"), "TransactionNumber": text}
+    )
+    folder = new_folder(spark, "csv")
+    as_written = {"header": True, "escape": '"', "ignoreTrailingWhiteSpace": False}
+    broken.write.options(**as_written).csv(f"{folder}/sales.csv")
+    csv_to_parquet(spark, folder, options=CsvOptions(multiline=True))
+    return with_sales_times(RawFiles(spark, folder)["sales"])
+
+
 def external(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One of the external tables over written raw tables."""
     root = written_raw(spark, testbed.RawTables(spark, sf_dir))
@@ -287,6 +304,25 @@ def stored_kpi_top_products_versioned(spark, sf_dir):
     return store.read(spark, "kpi_top_products")
 
 
+@query
+def stored_kpi_top_products_rank(spark, sf_dir):
+    """A stored order, from a whole build with events as sales and users as products."""
+    sold = events(spark, sf_dir).withColumn("ProductID", F.col("CustomerID"))
+    raw = RawFiles(spark, written_raw(spark, testbed.RawTables(spark, sf_dir, sales=sold)))
+    store = mart_store(spark)
+    build_mart(spark, raw, store, ranks=True)
+    return store.read(spark, "kpi_top_products")
+
+
+@query
+def ranked_sales(spark, sf_dir):
+    """Every sale's place by amount, ties by number and then by all other columns."""
+    sales = testbed.raw_sales(spark, sf_dir)
+    lines = sales.groupBy("SalesID", "ProductID", "TotalPrice").agg(F.sum("Quantity").alias("Quantity"))
+    tied = lines.withColumn("line", F.struct("SalesID", "ProductID"))
+    return with_rank(tied, "TotalPrice", "line").drop("line")
+
+
 @query
 def mart_table_counts(spark, sf_dir):
     """The whole mart with events as sales, built from written raw tables; rows per table."""

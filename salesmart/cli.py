@@ -39,6 +39,7 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--concurrent-tables", type=int, default=4, help="tables built or converted at the same time")
     parser.add_argument("--grain", choices=GRAINS, default="second", help="time grain of the KPI tables")
     parser.add_argument("--top", type=int, help="keep only this many products in kpi_top_products")
+    parser.add_argument("--ranks", action="store_true", help="store the order of kpi_top_products as a column rank")
     options = parser.parse_args(arguments)
     if options.task != INGEST and not (options.mart or options.database or options.dataset):
         parser.error("--mart, --database or --dataset is required to build a table")
@@ -86,9 +87,9 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {options.database}")
     raw = RawFiles(spark, options.raw)
     if options.task == ALL:
-        build_mart(spark, raw, store, options.grain, options.top, options.concurrent_tables)
+        build_mart(spark, raw, store, options.grain, options.top, options.concurrent_tables, options.ranks)
     else:
-        build_table(spark, options.task, raw, store, options.grain, options.top)
+        build_table(spark, options.task, raw, store, options.grain, options.top, options.ranks)
 
 
 def main(arguments: Sequence[str] | None = None) -> None:

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
 from salesmart.operators.joins import left_match, left_match_as, left_match_copies, repeated_keys
 from salesmart.operators.skew import is_broadcast, left_match_skewed
-from salesmart.sinks.staging import stage
+from salesmart.sinks.staging import Stage, stage
 from salesmart.sources.raw import with_sales_times
 
-Stage = Callable[[DataFrame, str], DataFrame]
-
 # The columns of the fact table.
 FACT_COLUMNS = [
     "SalesID", "SalesPersonID", "CustomerID", "ProductID", "Quantity",

@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DoubleType
 
 from salesmart.operators.lattice import Lattice
+from salesmart.operators.ordering import with_rank
 from salesmart.plans import dimensions, kpis
-from salesmart.plans.fact import Stage, build_fact_sales
+from salesmart.plans.fact import build_fact_sales
 from salesmart.sinks import staging
 from salesmart.sinks.store import MartStore
 
@@ -30,8 +31,9 @@ class Inputs:
     grain: str = "second"
     k: int | None = None
     opened: Mapping[str, DataFrame] = field(default_factory=dict)
-    stage: Stage = staging.stage
+    stage: staging.Stage = staging.stage
     lattice: Lattice | None = None
+    ranks: bool = False
 
     def stored(self, table: str) -> DataFrame:
         """A mart table built earlier; one that is already open is not listed again."""
@@ -43,12 +45,14 @@ class MartTable:
     """One mart table: its recipe, and whether it is partitioned by day.
 
     A table with a row or two per time is not worth partitioning at day grain,
-    where every partition would be a file of two rows.
+    where every partition would be a file of two rows. ``order``: the column that
+    rows are in descending order of, and the one that decides ties.
     """
 
     build: Callable[[Inputs], DataFrame]
     by_day: bool = False
     few_rows_per_time: bool = False
+    order: tuple[str, str] | None = None
 
     def partitioned(self, grain: str) -> bool:
         return self.by_day and not (self.few_rows_per_time and grain == "day")
@@ -69,7 +73,7 @@ KPI_TABLES = {
     "kpi_total_sales_by_date": MartTable(
         lambda i: kpis.total_sales_by_date(i.stored("fact_sales"), i.grain), by_day=True, few_rows_per_time=True
     ),
-    "kpi_top_products": MartTable(lambda i: kpis.top_products(i.stored("fact_sales"), i.k)),
+    "kpi_top_products": MartTable(lambda i: kpis.top_products(i.stored("fact_sales"), i.k), order=("Revenue", "ProductID")),
     "kpi_avg_order_value": MartTable(lambda i: kpis.avg_order_value(i.stored("fact_sales"))),
     "kpi_customer_type_counts": MartTable(
         lambda i: kpis.customer_type_counts(i.stored("fact_sales"), i.grain), by_day=True, few_rows_per_time=True
@@ -85,14 +89,21 @@ TABLES = {**DIMENSION_TABLES, **FACT_TABLES, **KPI_TABLES}
 
 
 def build_table(
-    spark: SparkSession, name: str, raw: Raw, store: MartStore, grain: str = "second", k: int | None = None
+    spark: SparkSession,
+    name: str,
+    raw: Raw,
+    store: MartStore,
+    grain: str = "second",
+    k: int | None = None,
+    ranks: bool = False,
 ) -> None:
     """Build one table and replace the stored one.
 
     KPI tables read ``fact_sales`` or ``dim_products`` back from the store, so that
-    has to be built first.
+    has to be built first. ``ranks``: a table with an order gets a column ``rank``,
+    as the order itself is lost in storage.
     """
-    _build(name, Inputs(spark, raw, store, grain, k))
+    _build(name, Inputs(spark, raw, store, grain, k, ranks=ranks))
 
 
 def build_mart(
@@ -102,6 +113,7 @@ def build_mart(
     grain: str = "second",
     k: int | None = None,
     concurrent_tables: int = 4,
+    ranks: bool = False,
 ) -> None:
     """Build all 14 tables in one application: dimensions and fact, then KPIs.
 
@@ -109,9 +121,9 @@ def build_mart(
     submitted together, and the many small tables run in the gaps the large ones
     leave. The fact is stored once. The four revenue tables come from a lattice of
     exact sums, which scans it once for all of them; the other KPIs scan the two or
-    three columns they need of it.
+    three columns they need of it. ``ranks`` as in ``build_table``.
     """
-    inputs = Inputs(spark, raw, store, grain, k)
+    inputs = Inputs(spark, raw, store, grain, k, ranks=ranks)
     _build_together([*FACT_TABLES, *DIMENSION_TABLES], inputs, concurrent_tables)
     opened = {table: store.read(spark, table) for table in ("fact_sales", "dim_products")}
     inputs = replace(inputs, opened=opened)
@@ -143,6 +155,8 @@ def _build(name: str, inputs: Inputs) -> None:
             df = kpis.FROM_LATTICE[name](inputs.lattice, inputs.k)
         else:
             df = table.build(replace(inputs, stage=area.stage))
+        if inputs.ranks and table.order:
+            df = with_rank(df, *table.order, area.stage)
         inputs.store.write(df, name, table.partitioned(inputs.grain))
     finally:
         area.remove()

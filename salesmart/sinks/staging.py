@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 from salesmart.sinks.files import remove_folder
 
+#: What ``stage`` and ``Area.stage`` are: a table and a name to a scan of the written table.
+Stage = Callable[[DataFrame, str], DataFrame]
+
 
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session.

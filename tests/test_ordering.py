@@ -1,0 +1,69 @@
+"""Ranks over range partitions."""
+
+import random
+
+import pytest
+
+from salesmart.operators.ordering import ranked, with_rank
+from salesmart.plans.mart import build_mart, build_table
+from salesmart.sinks.staging import Area
+from salesmart.sinks.store import MartStore
+from salesmart.sources.schemas import RAW_DDL
+from tests.frames import sales, table
+from tests.test_plans import plan
+
+
+def random_rows(spark, count, distinct):
+    draw = random.Random(count)
+    rows = [(i, draw.choice([None, *map(float, range(distinct))])) for i in range(count)]
+    return rows, spark.createDataFrame(rows, "id bigint, amount double")
+
+
+@pytest.mark.parametrize(("count", "distinct"), [(0, 1), (1, 1), (5000, 4), (5000, 4000)])
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_ranks_follow_the_order(spark, settings, count, distinct, adaptive):
+    settings(spark__sql__adaptive__enabled=adaptive)
+    rows, df = random_rows(spark, count, distinct)
+    expected = sorted(rows, key=lambda row: (row[1] is None, -(row[1] or 0), row[0]))
+    found = with_rank(df, "amount", "id").orderBy("rank").collect()
+    assert [tuple(row) for row in found] == [(*row, place + 1) for place, row in enumerate(expected)]
+
+
+def test_rows_equal_in_both_columns_get_places_of_their_own(spark):
+    df = spark.range(0, 3000, 1, 5).selectExpr("1.0D AS amount", "id % 2 AS tie", "id")
+    found = with_rank(df, "amount", "tie").collect()
+    assert sorted(row["rank"] for row in found) == list(range(1, 3001))
+    assert all((row["rank"] <= 1500) == (row["tie"] == 0) for row in found)
+
+
+def test_no_task_gets_all_rows(spark, settings):
+    settings(spark__sql__adaptive__enabled="false")
+    staged = []
+
+    def keep(df, name):
+        staged.append(df)
+        return area.stage(df, name)
+
+    area = Area(spark)
+    try:
+        _, df = random_rows(spark, 5000, 4000)
+        result = with_rank(df, "amount", "id", keep)
+        assert "rangepartitioning" in plan(staged[0]) and "SinglePartition" not in plan(staged[0])
+        assert "Window" not in plan(result) and "SinglePartition" not in plan(result)
+    finally:
+        area.remove()
+
+
+def test_a_mart_stores_the_rank(spark, tmp_path):
+    rows = [{"SalesID": i, "ProductID": i % 7, "TotalPrice": float(i % 5), "SalesDate": i * 10**9} for i in range(50)]
+    raw = {name: table(spark, name, []) for name in RAW_DDL} | {"sales": sales(spark, *rows)}
+    store = MartStore.files(str(tmp_path))
+    build_mart(spark, raw, store, ranks=True)
+    expected = [tuple(row) for row in ranked(store.read(spark, "kpi_top_products").drop("rank"), "Revenue", "ProductID").collect()]
+    stored = store.read(spark, "kpi_top_products").orderBy("rank").collect()
+    assert [tuple(row) for row in stored] == [(*row, place + 1) for place, row in enumerate(expected)]
+    assert "rank" not in store.read(spark, "kpi_sales_by_employee").columns
+    build_table(spark, "kpi_top_products", raw, store, k=3, ranks=True)
+    assert [tuple(row) for row in store.read(spark, "kpi_top_products").orderBy("rank").collect()] == [
+        (*row, place + 1) for place, row in enumerate(expected[:3])
+    ]
