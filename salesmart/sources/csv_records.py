@@ -3,7 +3,8 @@
 A file is read as lines, in splits. Whether a line begins inside a quoted value depends on all lines before it, but a
 line, and so a split, only maps the two possibilities at its start to those at its end. One scan finds that map per
 split, a prefix over the splits of a file gives the state at the start of each, and a second scan joins lines to
-records. What a split holds of a record that crosses its ends is put together by one small aggregation.
+records. The first scan also keeps, for either state, what a split holds of records that cross its ends; one small
+aggregation puts these pieces together. Only where they are long does a third scan get them.
 """
 
 from __future__ import annotations
@@ -26,6 +27,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: Splits whose states are broadcast, some 200 bytes each. Beyond, lines are shuffled to them and sorted again.
 BROADCAST_SPLITS = 200_000
 
+#: The longest piece of a crossing record that the first scan keeps.
+HELD_BYTES = 1 << 20
+
 # A quoted field ends at its first quote that is not doubled; what follows up to the comma belongs to it.
 _FIELD = r'(?:[^",][^,]*|"(?:[^"]|"")*"(?:[^",][^,]*)?)?'
 _OPEN = r'"(?:[^"]|"")*'
@@ -36,7 +40,8 @@ _STAYS = rf'^(?:[^"]|"")*(?:"(?:[^",][^,]*)?(?:,{_FIELD})*,{_OPEN})?$'
 
 _SPLIT = ["file", "start", "length"]
 _EFFECT = "file string, start long, length long, after_outside boolean, after_inside boolean"
-_PARTS = "file string, start long, piece int, first boolean, text string"
+_FOUND = f"{_EFFECT}, ended_outside boolean, ended_inside boolean, head string, tail_outside string, tail_inside string"
+_PARTS = "file long, start long, piece int, first boolean, text string"
 
 
 def csv_records(spark: SparkSession, path: str, area: Area) -> DataFrame:
@@ -48,14 +53,15 @@ def csv_records(spark: SparkSession, path: str, area: Area) -> DataFrame:
     Compressed files cannot be split and count as one split. Intermediate tables go to ``area``.
     """
     lines = _lines(spark, path)
-    effects = lines.mapInArrow(_effects, _EFFECT)
+    found = lines.mapInArrow(_effects, _FOUND).withColumn("file", F.col("file").cast("bigint"))
+    effects = area.stage(found, "effects")
     states = area.stage(split_states(effects), "split_states")
-    placed = _with_states(lines, states)
-    crossing = _with_states(lines, states, "inside OR inside_after")
-    pieces = crossing.mapInArrow(_parts, _PARTS).where("piece IS NOT NULL")
-    whole = placed.mapInArrow(_parts, _PARTS).where("piece IS NULL")
+    pieces = _pieces(lines, effects, states, area)
     joined = area.stage(_joined(pieces), "crossing_records")
-    records = whole.select("first", "text").unionAll(joined).withColumn("text", F.regexp_replace("text", "\r$", ""))
+    whole = _with_states(lines, states).mapInArrow(_parts, _PARTS).where("piece IS NULL")
+    records = whole.select("first", "text").unionAll(joined)
+    text = F.when(F.contains("text", F.lit("\r")), F.regexp_replace("text", "\r$", "")).otherwise(F.col("text"))
+    records = records.withColumn("text", text)
     return records.where("first OR trim(text) <> ''")
 
 
@@ -77,22 +83,45 @@ def split_states(effects: DataFrame) -> DataFrame:
         }
     )
     inside = F.expr("(coalesce(fixed.state, 0) + so_far - coalesce(fixed.swaps, 0)) % 2 = 1")
+    # Every file has a split that begins at 0, so two files under one number have two.
+    clash = F.raise_error(F.lit("two splits of the CSV files have the same number and start")).cast("boolean")
+    inside = F.when(F.lag("start").over(before) == F.col("start"), clash).otherwise(inside)
     return known.withColumn("inside", inside).select(
         *_SPLIT, "inside", F.expr("IF(inside, after_inside, after_outside)").alias("inside_after")
     )
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines, in order within a task, with the split that each begins in."""
+    """Lines, in order within a task, with the split that each begins in and a number for the name of its file."""
     text = spark.read.option("lineSep", "\n").text(path)
     return text.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.col("_metadata.file_block_length").alias("length"),
+        F.xxhash64(F.input_file_name()).alias("file"),
+        F.input_file_block_start().alias("start"),
+        F.input_file_block_length().alias("length"),
         "value",
     )
 
 
+def _pieces(lines: DataFrame, effects: DataFrame, states: DataFrame, area: Area) -> DataFrame:
+    """The pieces of crossing records, as of ``_parts``: those that the first scan kept, and all of a split where one was too long."""
+    piece = "IF({there}, struct({number} AS piece, {first} AS first, {text} AS text), NULL)"
+    begins = piece.format(there="inside", number=0, first="false", text="head")
+    after_inside = piece.format(there="inside AND ended_inside AND after_inside", number=1, first="false", text="tail_inside")
+    after_outside = piece.format(
+        there="NOT inside AND after_outside", number=1, first="start = 0 AND NOT ended_outside", text="tail_outside"
+    )
+    known = effects.join(states.withColumnRenamed("inside_after", "_after"), _SPLIT)
+    kept = known.withColumn("pieces", F.expr(f"array_compact(array({begins}, {after_inside}, {after_outside}))"))
+    kept = kept.withColumn("long", F.expr("exists(pieces, piece -> piece.text IS NULL)"))
+    pieces = area.stage(kept.select(*_SPLIT, "long", "pieces"), "pieces")
+    short = pieces.where("NOT long").select("file", "start", F.inline("pieces"))
+    long = pieces.where("long").select(*_SPLIT)
+    if long.isEmpty():
+        return short
+    again = _with_states(lines, states.join(long.withColumn("long", F.lit(True)), _SPLIT, "left"), "long")
+    return short.unionAll(again.mapInArrow(_parts, _PARTS).where("piece IS NOT NULL"))
+
+
 def _with_states(lines: DataFrame, states: DataFrame, condition: str | None = None) -> DataFrame:
     """Lines with the state that their split begins with, all or those of some splits, in order within a task.
 
@@ -145,30 +174,57 @@ def _after(opens: np.ndarray, stays: np.ndarray, inside: bool) -> np.ndarray:
     return fixed ^ (since % 2 == 1)
 
 
-def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], pa.RecordBatch]]:
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[int, int], pa.RecordBatch]]:
     """Consecutive rows of one split, with its file and start."""
-    file, start = batch.column("file"), batch.column("start")
-    here, there = slice(1, None), slice(None, -1)
-    starts = start.to_numpy()
-    changed = starts[here] != starts[there]
-    if batch.num_rows > 1:
-        changed |= _flags(pc.not_equal(file.slice(1), file.slice(0, batch.num_rows - 1)))
+    files, starts = (batch.column(name).to_numpy() for name in ("file", "start"))
+    changed = (starts[1:] != starts[:-1]) | (files[1:] != files[:-1])
     edges = [0, *(np.flatnonzero(changed) + 1).tolist(), batch.num_rows]
     for low, high in zip(edges[:-1], edges[1:], strict=True):
         if high > low:
-            yield (file[low].as_py(), int(starts[low])), batch.slice(low, high - low)
+            yield (int(files[low]), int(starts[low])), batch.slice(low, high - low)
+
+
+class _Side:
+    """A split's lines for one state at its start: the state after them, whether a record has ended, the lines up to the
+    first end and those after the last. Lines that are too long to keep are None."""
+
+    def __init__(self, inside: bool) -> None:
+        self.inside, self.ended = inside, False
+        self.head: list[pa.Array] | None = []
+        self.tail: list[pa.Array] | None = []
+
+    def add(self, lines: pa.Array, opens: np.ndarray, stays: np.ndarray) -> None:
+        after = _after(opens, stays, self.inside)
+        self.inside = bool(after[-1])
+        ends = np.flatnonzero(~after) + 1
+        if not self.ended:
+            self.head = _held(self.head, lines.slice(0, int(ends[0])) if len(ends) else lines)
+        if len(ends):
+            self.ended, self.tail = True, []
+            lines = lines.slice(int(ends[-1]))
+        if len(lines):
+            self.tail = _held(self.tail, lines)
+
+
+def _held(before: list[pa.Array] | None, lines: pa.Array) -> list[pa.Array] | None:
+    if before is None or lines.nbytes + sum(part.nbytes for part in before) > HELD_BYTES:
+        return None
+    return [*before, lines]
 
 
 def _effects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per split: the state at its end for either state at its start."""
-    split, length, states = None, 0, (False, True)
+    """One row per split: for either state at its start that at its end, whether a record ends in it, and its pieces of
+    records that cross its ends."""
+    split, length, sides = None, 0, []
 
     def row() -> pa.RecordBatch:
-        columns = [[split[0]], [split[1]], [length], [states[0]], [states[1]]]
-        types = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()]
+        outside, inside = sides
+        texts = [_text([pa.concat_arrays(held)]) if held else pa.nulls(1, pa.string()) for held in (inside.head, outside.tail, inside.tail)]
+        columns = [[str(split[0])], [split[1]], [length], [outside.inside], [inside.inside], [outside.ended], [inside.ended]]
+        types = [pa.string(), pa.int64(), pa.int64(), *[pa.bool_()] * 4]
         return pa.RecordBatch.from_arrays(
-            [pa.array(column, kind) for column, kind in zip(columns, types, strict=True)],
-            names=[*_SPLIT, "after_outside", "after_inside"],
+            [*(pa.array(column, kind) for column, kind in zip(columns, types, strict=True)), *texts],
+            names=[*_SPLIT, "after_outside", "after_inside", "ended_outside", "ended_inside", "head", "tail_outside", "tail_inside"],
         )
 
     for batch in batches:
@@ -176,9 +232,11 @@ def _effects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if found != split:
                 if split:
                     yield row()
-                split, length, states = found, rows.column("length")[0].as_py(), (False, True)
-            steps = _steps(rows.column("value"))
-            states = tuple(bool(_after(*steps, state)[-1]) for state in states)
+                split, length, sides = found, rows.column("length")[0].as_py(), [_Side(False), _Side(True)]
+            lines = rows.column("value").cast(pa.string())
+            steps = _steps(lines)
+            for side in sides:
+                side.add(lines, *steps)
     if split:
         yield row()
 
@@ -192,8 +250,8 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = len(texts)
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([split[0]] * count, pa.string()),
-                pa.array([split[1]] * count, pa.int64()),
+                pa.array(np.full(count, split[0]), pa.int64()),
+                pa.array(np.full(count, split[1]), pa.int64()),
                 pa.array(pieces, pa.int32()),
                 pa.array(firsts, pa.bool_()),
                 texts,

@@ -94,6 +94,36 @@ def test_other_headers_and_malformed_rows(spark, tmp_path):
     assert counts["stores"]["rows"] == 3 and counts["stores"]["malformed"] == 2
 
 
+@pytest.mark.parametrize("held", [0, 40])
+def test_pieces_too_long_for_the_first_scan(spark, tmp_path, small_splits, monkeypatch, held):
+    monkeypatch.setattr(records, "HELD_BYTES", held)
+    rows = random_rows(300, 6)
+    (tmp_path / "stores.csv").write_text(as_csv(rows))
+    small_splits(200)
+    assert converted(spark, tmp_path) == rows
+
+
+def test_text_is_scanned_twice_and_no_line_carries_its_file_name(spark, tmp_path, small_splits, monkeypatch):
+    (tmp_path / "stores.csv").write_text(as_csv(random_rows(300, 7)))
+    small_splits(300)
+    scans, with_states = [], records._with_states
+    monkeypatch.setattr(records, "_with_states", lambda *given: scans.append(1) or with_states(*given))
+    area = Area(spark)
+    try:
+        found = records.csv_records(spark, f"{tmp_path}/stores.csv", area)
+        assert found.count() == 301 and len(scans) == 1
+    finally:
+        area.remove()
+    lines = records._lines(spark, f"{tmp_path}/stores.csv")
+    assert dict(lines.dtypes) == {"file": "bigint", "start": "bigint", "length": "bigint", "value": "string"}
+
+
+def test_two_files_under_one_number_are_an_error(spark):
+    rows = [("f", 0, 10, False, True), ("f", 0, 10, False, True)]
+    with pytest.raises(Exception, match="same number and start"):
+        records.split_states(spark.createDataFrame(rows, records._EFFECT)).collect()
+
+
 def test_states_follow_from_the_splits_before(spark):
     effects = [(False, True), (True, False), (True, False), (True, True), (True, False), (False, False), (False, True), (True, True)]
     expected, state = [], False
