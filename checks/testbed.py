@@ -46,9 +46,16 @@ def undated(sales: DataFrame) -> DataFrame:
     return sales.withColumn("SalesDate", F.when(F.col("SalesID") % 10 != 3, F.col("SalesDate")))
 
 
-def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines with their order."""
+def line_count(spark: SparkSession, sf_dir: str) -> int:
+    """Order lines, counted from the files' footers."""
+    return _test_table(spark, sf_dir, "lineitem").count()
+
+
+def raw_sales(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    """Order lines with their order, joined in that many partitions if given."""
     lines = _test_table(spark, sf_dir, "lineitem")
+    if partitions:
+        lines = lines.repartition(partitions, "l_orderkey")
     orders = _test_table(spark, sf_dir, "orders")
     return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).select(
         F.col("l_orderkey").alias("SalesID"),

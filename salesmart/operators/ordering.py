@@ -23,15 +23,20 @@ def ranked(df: DataFrame, by: str, tie: str, k: int | None = None) -> DataFrame:
     return ordered if k is None else ordered.limit(k)
 
 
-def with_rank(df: DataFrame, by: str, tie: str, stage: Stage = stage, name: str = "rank") -> DataFrame:
+def with_rank(
+    df: DataFrame, by: str, tie: str, stage: Stage = stage, name: str = "rank", partitions: int | None = None
+) -> DataFrame:
     """Adds the place of each row in the order of ``ranked``, from 1, without gaps and each once.
 
     Rows are sorted by range, and each takes the number of rows in the partitions before its own, plus its place there.
     The sorted rows are staged, so that partitions and their counts belong together whatever is computed again; only
     one count per partition goes to the driver. Rows equal in both columns are ranked in any order.
+    ``partitions`` is the number of ranges, which bounds the rows that one task sorts; without it the session decides.
     """
     place = F.monotonically_increasing_id()
-    ordered = stage(ranked(df, by, tie).withColumn(name, place), "ranked")
+    order = [F.desc_nulls_last(by), F.asc_nulls_last(tie)]
+    sorted_rows = df.repartitionByRange(partitions, *order).sortWithinPartitions(*order) if partitions else ranked(df, by, tie)
+    ordered = stage(sorted_rows.withColumn(name, place), "ranked")
     part = F.shiftright(name, _ROW_BITS)
     counts = ordered.groupBy(part.alias("part")).count().orderBy("part").collect()
     before = accumulate((row["count"] for row in counts), initial=0)

@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from checks import queries
 from salesmart.operators.ordering import ranked, with_rank
 from salesmart.plans.mart import build_mart, build_table
 from salesmart.sinks.staging import Area
@@ -67,3 +68,47 @@ def test_a_mart_stores_the_rank(spark, tmp_path):
     assert [tuple(row) for row in store.read(spark, "kpi_top_products").orderBy("rank").collect()] == [
         (*row, place + 1) for place, row in enumerate(expected[:3])
     ]
+
+
+def test_a_given_number_of_ranges_bounds_what_a_task_sorts(spark, settings):
+    settings(spark__sql__adaptive__enabled="true")
+    staged = []
+
+    def keep(df, name):
+        staged.append(df)
+        return area.stage(df, name)
+
+    area = Area(spark)
+    try:
+        rows, df = random_rows(spark, 5000, 4)
+        expected = sorted(rows, key=lambda row: (row[1] is None, -(row[1] or 0), row[0]))
+        found = with_rank(df, "amount", "id", keep, partitions=20).orderBy("rank").collect()
+        assert [tuple(row) for row in found] == [(*row, place + 1) for place, row in enumerate(expected)]
+        assert staged[0].rdd.getNumPartitions() == 20
+        assert max(len(part) for part in staged[0].rdd.glom().collect()) < 500
+    finally:
+        area.remove()
+
+
+def test_ranked_sales_groups_and_sorts_a_bounded_number_of_rows_per_task(spark, tmp_path, monkeypatch):
+    lines = spark.range(4000).selectExpr(
+        "id % 900 AS l_orderkey", "id AS l_partkey", "1L AS l_suppkey", "2.0D AS l_quantity", "double(id % 50) AS l_extendedprice",
+        "0.0D AS l_discount", "'N' AS l_returnflag",
+    )
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = spark.range(900).selectExpr(
+        "id AS o_orderkey", "id AS o_custkey", "timestamp_ntz'1995-01-01' AS o_orderdate", "'1-URGENT' AS o_orderpriority"
+    )
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    partitions, with_ranks = [], queries.with_rank
+
+    def watched(df, *given, **more):
+        partitions.append((df.rdd.getNumPartitions(), max(len(part) for part in df.rdd.glom().collect())))
+        return with_ranks(df, *given, **more)
+
+    monkeypatch.setattr(queries, "ROWS_A_TASK", 500)
+    monkeypatch.setattr(queries, "with_rank", watched)
+    found = queries.QUERIES["ranked_sales"](spark, str(tmp_path)).orderBy("rank").collect()
+    assert [row["rank"] for row in found] == list(range(1, 4001))
+    order = [(-row["TotalPrice"], row["SalesID"], row["ProductID"]) for row in found]
+    assert order == sorted(order) and partitions[0][0] == 9 and partitions[0][1] < 1000
