@@ -74,7 +74,7 @@ def csv_tables(spark: SparkSession, folder: str) -> dict[str, str]:
 class CsvOptions:
     """``strict``: the first misfit or malformed row fails the job, and so does a declared column that the header lacks.
     Without it misfits become null and are counted. ``allow_absent``: such columns read as null, also when strict.
-    ``multiline``: quoted values may hold line breaks. Files are split all the same (see ``csv_records``), for two more scans of their text.
+    ``multiline``: quoted values may hold line breaks. Files are split all the same (see ``csv_records``), for one more scan of their text, two where pieces are long.
     ``types``: per table, types of columns that are not declared (``bigint``, ``boolean``, ``date``, ``timestamp_ntz``,
     ``double``, ``nanos`` or ``string``), which saves the pass that infers them."""
 
