@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from salesmart.llm.components import connected_components
 from salesmart.llm.shingles import MinHash, mixed, shingle_sets
-from salesmart.sinks.staging import stage
+from salesmart.sinks.staging import shuffle_files_removed, stage
 
 
 @dataclass(frozen=True)
@@ -177,8 +177,26 @@ def near_copies(docs: DataFrame, settings: NearCopySettings = NearCopySettings()
     no part: their component is null and they are not kept. Repeated rows are near copies of each other with the same doc_id, so
     each of them is kept or none is. An empty table gives an empty result. Other columns are not looked at.
     """
-    signed = stage(sign(docs, settings), "near-signed")
     identity = ["n_shingles", "set_a", "set_b"]
+    with shuffle_files_removed(docs.sparkSession):
+        signed = stage(sign(docs, settings), "near-signed")
+        of_class = _components_of_classes(docs, signed, identity, settings)
+    takes_part = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
+    component = F.when(takes_part, F.col("component")).otherwise(F.col("doc_id"))
+    return (
+        signed.select("doc_id", *identity)
+        .join(of_class, identity, "left")
+        .select(
+            "doc_id",
+            "n_shingles",
+            component.alias("component_id"),
+            F.coalesce(component == F.col("doc_id"), F.lit(False)).alias("kept"),
+        )
+    )
+
+
+def _components_of_classes(docs: DataFrame, signed: DataFrame, identity: list[str], settings: NearCopySettings) -> DataFrame:
+    """``identity`` and component of each class of texts with equal sets."""
     classes = stage(
         signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy(*identity)
@@ -217,7 +235,8 @@ def near_copies(docs: DataFrame, settings: NearCopySettings = NearCopySettings()
         .distinct(),
         "near-pairs",
     )
-    texts = _texts(docs, classes, signed)
+    compared = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).unionByName(large.select("doc_id"))
+    texts = _texts(docs, classes, signed, compared)
     with_a = pairs.join(texts.withColumnsRenamed({"doc_id": "a", "text": "text_a"}), "a")
     with_both = with_a.join(texts.withColumnsRenamed({"doc_id": "b", "text": "text_b"}), "b")
     links = stage(with_both.select("a", "b", "text_a", "text_b").mapInPandas(_confirm(settings), "a bigint, b bigint"), "near-links")
@@ -226,32 +245,22 @@ def near_copies(docs: DataFrame, settings: NearCopySettings = NearCopySettings()
     if more is not None:
         links = links.unionByName(more)
     components = connected_components(links).withColumnRenamed("node", "doc_id")
-    of_class = stage(
+    return stage(
         classes.join(components, "doc_id", "left").select(*identity, F.coalesce("component", "doc_id").alias("component")),
         "near-components",
     )
-    takes_part = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
-    component = F.when(takes_part, F.col("component")).otherwise(F.col("doc_id"))
-    return (
-        signed.select("doc_id", *identity)
-        .join(of_class, identity, "left")
-        .select(
-            "doc_id",
-            "n_shingles",
-            component.alias("component_id"),
-            F.coalesce(component == F.col("doc_id"), F.lit(False)).alias("kept"),
-        )
-    )
 
 
-def _texts(docs: DataFrame, classes: DataFrame, signed: DataFrame) -> DataFrame:
-    """doc_id and text of the first document of each class, once also where its row is repeated.
+def _texts(docs: DataFrame, classes: DataFrame, signed: DataFrame, compared: DataFrame) -> DataFrame:
+    """doc_id and text of the first document of each class whose doc_id is in ``compared``, once also where its row is repeated.
 
-    Only repeated rows, normally none, are gathered to take one of each; the other texts are not shuffled for it.
+    All texts are shuffled once, to find those; only they are shuffled again, for each comparison. Of these, repeated rows, normally none,
+    are gathered to take one of each.
     """
     identity = ["doc_id", "text_hash"]
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    first = rows.join(classes.select(*identity), identity, "left_semi")
+    wanted = stage(classes.select(*identity).join(compared.distinct(), "doc_id", "left_semi"), "near-compared")
+    first = stage(rows.join(wanted, identity, "left_semi").select(*identity, "text"), "near-texts")
     repeated = stage(
         signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*identity).agg(F.count(F.lit(1)).alias("times")).where("times > 1"),
         "near-repeated",

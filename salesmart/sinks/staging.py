@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,6 +74,25 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return _written(df, new_folder(df.sparkSession, name))
 
 
+#: Spark's setting that a query's shuffle files are removed as it ends.
+_REMOVES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffle_files_removed(spark: SparkSession) -> Iterator[None]:
+    """Within it, the shuffle files of a query, such as ``stage`` runs, go as it ends.
+
+    Otherwise they stay until the driver happens to collect its garbage, and those of many steps may lie on the disks together. The
+    session's setting is put back afterwards. Nothing in it should run one DataFrame object twice: it would be shuffled again.
+    """
+    before = spark.conf.getAll.get(_REMOVES)
+    spark.conf.set(_REMOVES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_REMOVES) if before is None else spark.conf.set(_REMOVES, before)
+
+
 def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

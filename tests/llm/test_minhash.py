@@ -1,12 +1,17 @@
 """Near copies of texts, against all pairs of full sets."""
 
+import os
 import random
 import re
+import time
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from salesmart.llm.minhash import NearCopySettings, near_copies
 from salesmart.llm.shingles import shingle_sets
+from salesmart.sinks.staging import shared_folder, shuffle_files_removed
 
 SCHEMA = "doc_id bigint, text string, component_id string, kept string"
 
@@ -103,3 +108,59 @@ def test_large_ids_beside_nulls(spark):
     first = 2**60 + 1
     expected = [(first, first, True), (first + 2, first, False), (first + 2, first, False), (first + 4, first + 4, True), (None, None, False)]
     assert sorted(((r["doc_id"], r["component_id"], r["kept"]) for r in found), key=lambda r: (r[0] is None, r)) == expected
+
+
+def shuffle_files(spark):
+    """Path and bytes of each."""
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    found = [os.path.join(at, name) for top in folders for at, _, names in os.walk(top.getPath()) for name in names if name.startswith("shuffle_")]
+    return {path: os.path.getsize(path) for path in found if os.path.exists(path)}
+
+
+def test_only_compared_texts_are_gathered_and_nothing_shuffled_stays(spark, settings, tmp_path):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")  # as with larger texts
+    draw = random.Random(4)
+    texts = [" ".join(str(draw.getrandbits(64)) for _ in range(400)) for _ in range(120)]
+    rows = [*enumerate(texts), (200, texts[7] + " more"), (201, texts[8]), (202, texts[9] + " more"), (202, texts[9] + " more")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "docs"))
+    staged = lambda: {x for x in os.listdir(shared_folder(spark)) if x.startswith("near-texts-")}
+    before, staged_before = shuffle_files(spark), staged()
+    found = near_copies(spark.read.parquet(str(tmp_path / "docs")))
+    until = time.time() + 20
+    left = lambda: sum(size for path, size in shuffle_files(spark).items() if path not in before)
+    while left() > sum(map(len, texts)) / 20 and time.time() < until:  # Spark removes them in the background
+        time.sleep(0.2)
+    assert left() <= sum(map(len, texts)) / 20
+    (folder,) = staged() - staged_before
+    gathered = spark.read.parquet(f"{shared_folder(spark)}/{folder}").collect()
+    assert sorted(r["doc_id"] for r in gathered) == [7, 9, 200, 202, 202]
+    for _ in range(2):  # what is returned can be run again
+        copies = {r["doc_id"]: r["component_id"] for r in found.collect()}
+        assert {i: c for i, c in copies.items() if i != c} == {200: 7, 201: 8, 202: 9} and len(copies) == 123
+
+
+def test_whole_texts_are_read_twice_for_signatures_and_for_the_compared_ones(spark, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")  # as with larger texts
+    rows, read = corpus(5), spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        read.add(1)
+        return text
+
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("text", counted("text"))
+    found = near_copies(docs, NearCopySettings(small=4, block=16)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {i: root for i, (_, root) in brute(rows, 5).items()}
+    assert read.value == 2 * len(rows)
+
+
+@pytest.mark.parametrize("before", [None, "false", "true"])
+def test_the_setting_for_shuffle_files_is_put_back(spark, settings, before):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    if before is not None:
+        settings(**{name.replace(".", "__"): before})
+    held = spark.conf.getAll.get(name)
+    with pytest.raises(ValueError, match="ended"), shuffle_files_removed(spark):
+        assert spark.conf.getAll[name] == "true"
+        raise ValueError("ended")
+    assert spark.conf.getAll.get(name) == held == before
