@@ -51,8 +51,9 @@ def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     nameless, named = docs.where("doc_id IS NULL"), docs.where("doc_id IS NOT NULL")
     if named.groupBy("doc_id").count().where("count > 1").isEmpty():
-        kept = stage(minhash.near_copies(named).where("kept").select("doc_id"), "kept-documents")
-        return named.join(kept, "doc_id", "left_semi").select(*docs.columns).unionByName(nameless)
+        # What goes is mostly the shorter list, so that the texts need no shuffle for longer.
+        dropped = stage(minhash.near_copies(named).where("NOT kept").select("doc_id"), "dropped-documents")
+        return named.join(dropped, "doc_id", "left_anti").select(*docs.columns).unionByName(nameless)
     number = free_name(docs.columns, "row_number")
     rows = stage(named.withColumn(number, F.monotonically_increasing_id()), "numbered-documents")
     copies = minhash.near_copies(rows.select(F.col(number).alias("doc_id"), "text"))
