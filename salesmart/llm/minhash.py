@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from salesmart.llm.components import connected_components
 from salesmart.llm.shingles import MinHash, mixed, shingle_sets
-from salesmart.sinks.staging import shuffle_files_removed, stage
+from salesmart.sinks.staging import shuffle_files_removed, small_batches, stage
 
 
 @dataclass(frozen=True)
@@ -47,11 +47,11 @@ class NearCopySettings:
 
 
 #: Characters of text handled at once in a task.
-_AT_ONCE = 1_500_000
+_AT_ONCE = 500_000
 
 
 def _portions(lengths: list[int]) -> Iterator[slice]:
-    """Slices of rows of a few million characters each."""
+    """Slices of rows of about so many characters each."""
     start = total = 0
     for i, length in enumerate(lengths):
         total += length
@@ -178,7 +178,7 @@ def near_copies(docs: DataFrame, settings: NearCopySettings = NearCopySettings()
     each of them is kept or none is. An empty table gives an empty result. Other columns are not looked at.
     """
     identity = ["n_shingles", "set_a", "set_b"]
-    with shuffle_files_removed(docs.sparkSession):
+    with shuffle_files_removed(docs.sparkSession), small_batches(docs.sparkSession):
         signed = stage(sign(docs, settings), "near-signed")
         of_class = _components_of_classes(docs, signed, identity, settings)
     takes_part = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)

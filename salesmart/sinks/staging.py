@@ -85,12 +85,33 @@ def shuffle_files_removed(spark: SparkSession) -> Iterator[None]:
     Otherwise they stay until the driver happens to collect its garbage, and those of many steps may lie on the disks together. The
     session's setting is put back afterwards. Nothing in it should run one DataFrame object twice: it would be shuffled again.
     """
-    before = spark.conf.getAll.get(_REMOVES)
-    spark.conf.set(_REMOVES, "true")
+    with _set_to(spark, _REMOVES, "true"):
+        yield
+
+
+#: Spark's limit of the bytes that a Python function gets at once.
+_AT_ONCE = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, most: int = 4 << 20) -> Iterator[None]:
+    """Within it, a query passes about ``most`` bytes, or one row, to a Python function at once, unless the session sets a limit itself.
+
+    Otherwise it passes 10,000 rows; with whole texts these are many megabytes, held by the JVM and several times over by Python. The
+    session's setting is put back afterwards.
+    """
+    with _set_to(spark, _AT_ONCE, spark.conf.getAll.get(_AT_ONCE, str(most))):
+        yield
+
+
+@contextmanager
+def _set_to(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.getAll.get(name)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.unset(_REMOVES) if before is None else spark.conf.set(_REMOVES, before)
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
 def _written(df: DataFrame, path: str) -> DataFrame:
