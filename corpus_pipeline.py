@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.llm import language, minhash, mixing, packing, toxicity
+from salesmart.llm.marks import marks_of
 from salesmart.llm.names import free_name
 from salesmart.sinks.staging import stage
 
@@ -51,9 +52,11 @@ def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     nameless, named = docs.where("doc_id IS NULL"), docs.where("doc_id IS NOT NULL")
     if named.groupBy("doc_id").count().where("count > 1").isEmpty():
-        # What goes is mostly the shorter list, so that the texts need no shuffle for longer.
+        # What goes is mostly the shorter list. Texts whose bit among its marks is not set stay without a shuffle.
         dropped = stage(minhash.near_copies(named).where("NOT kept").select("doc_id"), "dropped-documents")
-        return named.join(dropped, "doc_id", "left_anti").select(*docs.columns).unionByName(nameless)
+        marks = marks_of(dropped, ["doc_id"])
+        kept = marks.likely(named).join(dropped, "doc_id", "left_anti").select(*docs.columns)
+        return marks.others(named).unionByName(kept).unionByName(nameless)
     number = free_name(docs.columns, "row_number")
     rows = stage(named.withColumn(number, F.monotonically_increasing_id()), "numbered-documents")
     copies = minhash.near_copies(rows.select(F.col(number).alias("doc_id"), "text"))

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.llm.components import connected_components
+from salesmart.llm.marks import marks_of
 from salesmart.llm.shingles import MinHash, mixed, shingle_sets
 from salesmart.sinks.staging import shuffle_files_removed, small_batches, stage
 
@@ -208,7 +209,7 @@ def _components_of_classes(docs: DataFrame, signed: DataFrame, identity: list[st
     groups = stage(
         keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("doc_id").alias("center")).where("members > 1"), "near-groups"
     )
-    grouped = stage(keyed.join(groups, "key"), "near-grouped")
+    grouped = stage(marks_of(groups, ["key"]).likely(keyed).join(groups, "key"), "near-grouped")
 
     # Candidates: all pairs of small groups, and the members of larger ones with their smallest.
     small = grouped.where(F.col("members") <= settings.small).select("key", "doc_id", "n_shingles", "sketch")
@@ -252,21 +253,23 @@ def _components_of_classes(docs: DataFrame, signed: DataFrame, identity: list[st
 
 
 def _texts(docs: DataFrame, classes: DataFrame, signed: DataFrame, compared: DataFrame) -> DataFrame:
-    """doc_id and text of the first document of each class whose doc_id is in ``compared``, once also where its row is repeated.
+    """doc_id and text of the first document of each class whose doc_id is in ``compared``, once also where its row is repeated; some others beside.
 
-    All texts are shuffled once, to find those; only they are shuffled again, for each comparison. Of these, repeated rows, normally none,
-    are gathered to take one of each.
+    The texts are not shuffled to find those: the bits of the wanted ones go to all tasks. Where doc_ids repeat, which they normally don't,
+    what that leaves is joined exactly, and repeated rows are gathered to take one of each.
     """
     identity = ["doc_id", "text_hash"]
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     wanted = stage(classes.select(*identity).join(compared.distinct(), "doc_id", "left_semi"), "near-compared")
-    first = stage(rows.join(wanted, identity, "left_semi").select(*identity, "text"), "near-texts")
+    likely = marks_of(wanted, identity).likely(rows)
+    taking_part = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
+    if taking_part.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return stage(likely.select("doc_id", "text"), "near-texts")
+    first = stage(likely.join(wanted, identity, "left_semi").select(*identity, "text"), "near-texts")
     repeated = stage(
-        signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*identity).agg(F.count(F.lit(1)).alias("times")).where("times > 1"),
+        taking_part.groupBy(*identity).agg(F.count(F.lit(1)).alias("times")).where("times > 1"),
         "near-repeated",
     )
-    if repeated.isEmpty():
-        return first.select("doc_id", "text")
     one_of_each = first.join(repeated, identity, "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
     return first.join(repeated, identity, "left_anti").select("doc_id", "text").unionByName(one_of_each)
 
